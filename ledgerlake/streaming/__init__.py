@@ -1,0 +1 @@
+"""Incremental landing of newly arrived documents with Structured Streaming."""
