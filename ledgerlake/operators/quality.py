@@ -34,6 +34,19 @@ def metric_coverage(facts: DataFrame, k: int = S.TOP_K_PERIODS) -> DataFrame:
     return per_ticker.select("ticker", F.inline(rows))
 
 
+def coverage_from_documents(km: DataFrame, doc: str = "km") -> DataFrame:
+    """Q1 straight from key-metric documents: records kept per allow-listed metric and
+    whether the metric was absent from the filing. Per row, no shuffle."""
+    d = F.col(doc)
+    rows = F.array(*[
+        F.struct(F.lit(m).alias("metric_name"),
+                 F.coalesce(F.size(d["metrics"][m]), F.lit(0)).cast("bigint").alias("records_found"),
+                 d["metrics"][m].isNull().alias("missing"))
+        for m in S.FACT_METRICS
+    ])
+    return km.select(d["ticker"].alias("ticker"), F.inline(rows))
+
+
 def key_uniqueness(relations: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     """Q2: for each relation and key, rows, distinct keys, keys seen more than once and
     the largest multiplicity. Two-level aggregate, partial on both levels."""

@@ -16,13 +16,20 @@ Every rule has a twin in `plans/oracle.py`, written independently in DuckDB SQL.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas as S
 
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One DataFrame handle per table and session (a plan, not data: nothing is cached).
+
+    Reusing the handle saves re-reading the Parquet footer for every query that
+    derives a source from the same table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -43,6 +50,7 @@ def _pct_int(c: Column) -> Column:
 # Company snapshot (raw, all text, CSV header names)
 # ---------------------------------------------------------------------------
 
+@lru_cache(maxsize=64)
 def raw_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_partkey",
@@ -95,6 +103,7 @@ def raw_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Statements, one report per (supplier, ship year)
 # ---------------------------------------------------------------------------
 
+@lru_cache(maxsize=64)
 def _supplier_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey",
@@ -115,6 +124,7 @@ def _supplier_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=64)
 def raw_income_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flattened statement rows (`ticker` + report fields, all text), as loaded."""
     sy = _supplier_years(spark, sf_dir)
@@ -205,6 +215,7 @@ def _metric_expr() -> Column:
     return expr
 
 
+@lru_cache(maxsize=64)
 def raw_sec_facts(spark: SparkSession, sf_dir: str, with_order: bool = True) -> DataFrame:
     """D5 rows plus `doc_seq` (position of the fact in its source document)."""
     li = table(spark, sf_dir, "lineitem")
@@ -213,7 +224,7 @@ def raw_sec_facts(spark: SparkSession, sf_dir: str, with_order: bool = True) ->
         ticker.alias("ticker"),
         F.concat(F.lit("Company "), ticker).alias("company_name"),
         _metric_expr().alias("metric_name"),
-        F.date_format("l_shipdate", "yyyy-MM-dd").alias("period_end"),
+        F.to_date("l_shipdate").cast("string").alias("period_end"),
         F.when(F.col("l_tax") == 0, F.lit(None).cast("bigint"))
          .otherwise(_cents(F.col("l_extendedprice"))).alias("value"),
         F.when(F.col("l_linenumber") % 2 == 1, F.lit("10-K")).otherwise(F.lit("10-Q")).alias("form"),
@@ -231,16 +242,21 @@ def filing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     seven lines) however the data grows; array order is line order, so a document's
     array position is the tie-break of the source system.
     """
-    facts = raw_sec_facts(spark, sf_dir)
+    facts = raw_sec_facts(spark, sf_dir).filter(F.col("metric_name").isNotNull())
     fact = F.struct(F.col("period_end").alias("end"), F.col("value").alias("val"),
                     F.col("form").alias("form"))
-    per_metric = facts.groupBy("ticker", "company_name", "doc_id", "metric_name").agg(
-        F.sort_array(F.collect_list(F.struct("line_no", "value", fact.alias("f")))).alias("xs"))
-    metric_entry = F.struct(
-        F.col("metric_name"),
-        F.struct(F.create_map(F.lit(S.UNIT), F.col("xs.f")).alias("units")))
-    docs = per_metric.groupBy("ticker", "company_name", "doc_id").agg(
-        F.map_from_entries(F.collect_list(metric_entry)).alias("m"))
+    # One shuffle: a document's facts in line order, then its metric map is built
+    # with array functions inside the row.
+    docs = facts.groupBy("ticker", "company_name", "doc_id").agg(
+        F.sort_array(F.collect_list(
+            F.struct("line_no", "value", "metric_name", fact.alias("f")))).alias("xs"))
+    names = F.array_distinct(F.transform("xs", lambda x: x["metric_name"]))
+    entries = F.transform(names, lambda m: F.struct(
+        m.alias("key"),
+        F.struct(F.create_map(F.lit(S.UNIT), F.transform(
+            F.filter("xs", lambda x: x["metric_name"] == m), lambda x: x["f"]))
+         .alias("units")).alias("value")))
+    docs = docs.select("ticker", "company_name", "doc_id", F.map_from_entries(entries).alias("m"))
     body = F.to_json(F.struct(
         F.col("company_name").alias("entityName"),
         F.create_map(F.lit(S.TAXONOMY), F.col("m")).alias("facts")))

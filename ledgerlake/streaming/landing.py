@@ -1,0 +1,39 @@
+"""Incremental raw-zone landing with Structured Streaming.
+
+The source system re-lands every document on each daily run. Here newly arrived
+documents are picked up from a folder by the file stream source and appended to the
+landed Parquet table exactly once: the checkpoint records which files were taken, so
+a restarted or re-scheduled run (or a lost executor mid-batch) neither skips nor
+duplicates a document. `availableNow` processes what is there and stops, which fits
+a daily schedule.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ledgerlake.session import ensure_checkpoint_dir
+
+
+def land_new_documents(spark: SparkSession, src: str, glob: str, source: str, out: str,
+                       checkpoint: str | None = None,
+                       max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Append every not-yet-landed `glob` file under `src` as `(source, file_name, body)`
+    rows of the Parquet table `out` (partitioned by source)."""
+    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/landing-{source}"
+    reader = (spark.readStream.format("text").option("wholetext", True)
+              .option("pathGlobFilter", glob))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    docs = reader.load(src).select(
+        F.lit(source).alias("source"),
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("value").alias("body"))
+    return (docs.writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint)
+            .partitionBy("source")
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start(out))
