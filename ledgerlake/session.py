@@ -23,7 +23,11 @@ DEFAULTS = {
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "ledgerlake") -> SparkSession:
-    """A local session for tests and benchmarks (never used by library code)."""
+    """A local session for tests and benchmarks (never used by library code).
+
+    Each session gets a fresh warehouse folder, so managed tables of one run never
+    collide with another's."""
+    warehouse = tempfile.mkdtemp(prefix="ledgerlake-wh-", dir=os.environ.get("TMPDIR", "/tmp"))
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -31,6 +35,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.warehouse.dir", warehouse)
     )
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)

@@ -65,8 +65,9 @@ def land_documents(spark: SparkSession, src: str, glob: str, source: str, out: s
     """K7: raw-zone landing. Documents are kept unparsed as rows `(source, file_name,
     body)` of a Parquet table partitioned by source; parsing later runs per row with
     `from_json`, so one large document is one row, not one serial multi-line scan."""
-    docs = (spark.read.option("wholetext", True).option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", True).text(src)
+    # `wholetext` must go through `text()`: its keyword default overrides an option.
+    docs = (spark.read.option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", True).text(src, wholetext=True)
             .select(F.lit(source).alias("source"),
                     F.col("_metadata.file_name").alias("file_name"),
                     F.col("value").alias("body")))
@@ -83,9 +84,15 @@ def write_key_metric_docs(docs: DataFrame, path: str, mode: str = "overwrite") -
 
 
 def register_external(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """Serve curated files as an external catalog table over `path`."""
+    """Serve curated files as an external catalog table over `path`.
+
+    Partition folders (`col=value/`) are registered too, so readers prune them."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    return spark.catalog.createTable(name, path=path, source=fmt)
+    table = spark.catalog.createTable(name, path=path, source=fmt)
+    if table.schema and spark.sql(f"DESCRIBE TABLE {name}").filter(
+            "col_name = '# Partition Information'").count() > 0:
+        spark.catalog.recoverPartitions(name)
+    return spark.table(name)
 
 
 def register_views(frames: dict[str, DataFrame]) -> None:
