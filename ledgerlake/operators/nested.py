@@ -63,36 +63,32 @@ def metric_values(doc: Column, metric: str) -> Column:
 def latest_annual_in_array(values: Column, k: int = S.TOP_K_PERIODS) -> Column:
     """N2 + N3: keep annual entries, order by period end descending, first k.
 
-    The array position is carried into the sort key, so equal periods keep document
-    order whatever the sort algorithm.
+    Each kept entry is keyed `(end or '', -position)` and the keys are sorted
+    descending with the built-in struct ordering (no comparator lambda), so equal
+    periods keep document order and a missing period sorts last.
     """
     vals = F.coalesce(values, F.array().cast(S.FACT_LIST))
-    indexed = F.transform(vals, lambda x, i: F.struct(x.alias("f"), i.alias("i")))
-    annual = F.filter(indexed, lambda e: e["f"]["form"] == F.lit(S.ANNUAL_FORM))
-
-    def cmp(a, b):
-        ea, eb = F.coalesce(a["f"]["end"], F.lit("")), F.coalesce(b["f"]["end"], F.lit(""))
-        return (F.when(ea > eb, -1).when(ea < eb, 1)
-                .when(a["i"] < b["i"], -1).when(a["i"] > b["i"], 1).otherwise(0))
-
-    ordered = F.array_sort(annual, cmp)
+    keyed = F.transform(vals, lambda x, i: F.struct(
+        F.coalesce(x["end"], F.lit("")).alias("k"), (-i).alias("n"), x.alias("f")))
+    annual = F.filter(keyed, lambda e: e["f"]["form"] == F.lit(S.ANNUAL_FORM))
+    ordered = F.sort_array(annual, asc=False)
     return F.transform(F.slice(ordered, 1, k), lambda e: e["f"])
 
 
 def key_metrics_document(doc: Column, ticker: Column, k: int = S.TOP_K_PERIODS) -> Column:
     """D3 document -> D4 `{ticker, company_name, metrics}`.
 
-    A metric absent from the document is absent from `metrics`; a metric present
-    with no annual USD values maps to an empty list.
+    `map_filter` keeps the allow-listed metrics of the taxonomy (F7) and
+    `transform_values` cuts each one's USD list (F9, N2, N3), so the array work runs
+    only on metrics the document has. A metric absent from the document is absent
+    from `metrics`; a metric present with no annual USD values maps to an empty list.
     """
-    entries = F.array(*[
-        F.struct(F.lit(m).alias("key"),
-                 latest_annual_in_array(metric_values(doc, m), k).alias("value"),
-                 doc["facts"][S.TAXONOMY][m].isNotNull().alias("present"))
-        for m in S.FACT_METRICS
-    ])
-    kept = F.filter(entries, lambda e: e["present"])
-    metrics = F.map_from_entries(F.transform(kept, lambda e: F.struct(e["key"], e["value"])))
+    wanted = F.array(*[F.lit(m) for m in S.FACT_METRICS])
+    taxonomy = F.coalesce(doc["facts"][S.TAXONOMY],
+                          F.create_map().cast(S.FILING_DOC["facts"].dataType.valueType))
+    kept = F.map_filter(taxonomy, lambda name, _: F.array_contains(wanted, name))
+    metrics = F.transform_values(
+        kept, lambda _, v: latest_annual_in_array(v["units"][S.UNIT], k))
     return F.struct(ticker.alias("ticker"),
                     F.coalesce(doc["entityName"], F.lit("")).alias("company_name"),
                     metrics.alias("metrics"))

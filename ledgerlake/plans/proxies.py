@@ -242,21 +242,36 @@ def filing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     seven lines) however the data grows; array order is line order, so a document's
     array position is the tie-break of the source system.
     """
-    facts = raw_sec_facts(spark, sf_dir).filter(F.col("metric_name").isNotNull())
-    fact = F.struct(F.col("period_end").alias("end"), F.col("value").alias("val"),
-                    F.col("form").alias("form"))
-    # One shuffle: a document's facts in line order, then its metric map is built
-    # with array functions inside the row.
-    docs = facts.groupBy("ticker", "company_name", "doc_id").agg(
-        F.sort_array(F.collect_list(
-            F.struct("line_no", "value", "metric_name", fact.alias("f")))).alias("xs"))
+    li = table(spark, sf_dir, "lineitem")
+    fact = F.struct(
+        F.to_date("l_shipdate").cast("string").alias("end"),
+        F.when(F.col("l_tax") == 0, F.lit(None).cast("bigint"))
+         .otherwise(_cents(F.col("l_extendedprice"))).alias("val"),
+        F.when(F.col("l_linenumber") % 2 == 1, F.lit("10-K")).otherwise(F.lit("10-Q")).alias("form"))
+    # One shuffle on the numeric document key. A document holds only a few facts, so
+    # a map-side partial aggregate cannot shrink anything: the raw columns are
+    # hash-partitioned first, and facts are built and collected after the exchange,
+    # once per document, across all reducers.
+    keyed = li.select("l_suppkey", "l_orderkey", "l_linenumber", "l_shipdate", "l_tax",
+                      "l_extendedprice", "l_returnflag", "l_linestatus") \
+              .repartition("l_suppkey", "l_orderkey")
+    per_doc = (keyed.select("l_suppkey", "l_orderkey", "l_linenumber",
+                            _metric_expr().alias("metric_name"), fact.alias("f"))
+               .filter(F.col("metric_name").isNotNull())
+               .groupBy("l_suppkey", "l_orderkey")
+               .agg(F.sort_array(F.collect_list(F.struct(
+                   "l_linenumber", F.col("f.val").alias("v"), "metric_name", "f"))).alias("xs")))
     names = F.array_distinct(F.transform("xs", lambda x: x["metric_name"]))
     entries = F.transform(names, lambda m: F.struct(
         m.alias("key"),
         F.struct(F.create_map(F.lit(S.UNIT), F.transform(
             F.filter("xs", lambda x: x["metric_name"] == m), lambda x: x["f"]))
          .alias("units")).alias("value")))
-    docs = docs.select("ticker", "company_name", "doc_id", F.map_from_entries(entries).alias("m"))
+    ticker = F.col("l_suppkey").cast("string")
+    docs = per_doc.select(ticker.alias("ticker"),
+                          F.concat(F.lit("Company "), ticker).alias("company_name"),
+                          F.col("l_orderkey").alias("doc_id"),
+                          F.map_from_entries(entries).alias("m"))
     body = F.to_json(F.struct(
         F.col("company_name").alias("entityName"),
         F.create_map(F.lit(S.TAXONOMY), F.col("m")).alias("facts")))
