@@ -50,3 +50,8 @@ def sector_distribution(companies: DataFrame) -> DataFrame:
 def ebitda_vs_market_cap(companies: DataFrame) -> DataFrame:
     """Scatter points."""
     return companies.select("ticker", "sector", "ebitda", "market_cap")
+
+
+def preview(df: DataFrame, n: int = 20) -> DataFrame:
+    """L1: the first `n` rows of an ordered result (a sample for inspection)."""
+    return df.limit(n)

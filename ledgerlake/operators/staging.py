@@ -55,10 +55,16 @@ def pivot_metrics(cleaned: DataFrame, keys: list[str]) -> DataFrame:
     return cleaned.groupBy(*keys).agg(*aggs)
 
 
-def stg_sec_facts(raw_facts: DataFrame) -> DataFrame:
-    """F5, X13, A2 over long facts; grouped by (ticker, company_name, fiscal_year)."""
+def stg_sec_facts(raw_facts: DataFrame, ordered: bool = False) -> DataFrame:
+    """F5, X13, A2 over long facts; grouped by (ticker, company_name, fiscal_year).
+
+    O3: the source orders this view by ticker and latest year; a sort inside a view
+    does not reach its consumers, so it is off unless asked for."""
     cleaned = (raw_facts
                .filter(F.col("value").isNotNull() & F.col("ticker").isNotNull())
                .select("ticker", "company_name", "metric_name",
                        year_of("period_end").alias("fiscal_year"), "value"))
-    return pivot_metrics(cleaned, ["ticker", "company_name", "fiscal_year"])
+    out = pivot_metrics(cleaned, ["ticker", "company_name", "fiscal_year"])
+    if ordered:
+        out = out.orderBy(F.col("ticker").asc_nulls_last(), F.col("fiscal_year").desc_nulls_first())
+    return out

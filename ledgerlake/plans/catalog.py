@@ -35,6 +35,11 @@ def company_metrics(spark, d):
     return metrics.company_metrics(company_clean(spark, d))
 
 
+def company_metrics_normalised(spark, d):
+    """G2 transform: P2, F1 (three columns), F2, X1, X2."""
+    return metrics.company_metrics_normalised(P.raw_companies(spark, d))
+
+
 def sector_summary(spark, d):
     """A1, O1."""
     return reports.sector_summary(company_metrics(spark, d))
@@ -170,6 +175,16 @@ def mart_financials(spark, d):
                      stg_financials(spark, d))
 
 
+def mart_preview(spark, d):
+    """L1 over O2: the first 20 rows of the ordered mart."""
+    return reports.preview(mart_financials(spark, d), 20)
+
+
+def stg_sec_facts_ordered(spark, d):
+    """A2 with the O3 ordering option."""
+    return staging.stg_sec_facts(P.raw_sec_facts(spark, d, with_order=False), ordered=True)
+
+
 def mart_after_top5(spark, d):
     """G3 + G5: the mart over facts cut to the latest five annual records."""
     kept = _top5(spark, d).select(*FACT_OUT)
@@ -226,6 +241,7 @@ def lake_totals(spark, d):
 QUERIES: dict[str, Query] = {
     "company_clean": company_clean,
     "company_metrics": company_metrics,
+    "company_metrics_normalised": company_metrics_normalised,
     "sector_summary": sector_summary,
     "stg_financials": stg_financials,
     "stg_income_statements": stg_income_statements,
@@ -237,10 +253,12 @@ QUERIES: dict[str, Query] = {
     "facts_top5_array": facts_top5_array,
     "facts_explode": facts_explode,
     "stg_sec_facts": stg_sec_facts,
+    "stg_sec_facts_ordered": stg_sec_facts_ordered,
     "mart_combined": mart_combined,
     "mart_ratios": mart_ratios,
     "mart_financials": mart_financials,
     "mart_after_top5": mart_after_top5,
+    "mart_preview": mart_preview,
     "chart_avg_market_cap": chart_avg_market_cap,
     "chart_avg_pe": chart_avg_pe,
     "chart_distribution": chart_distribution,

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas as S
-from ledgerlake.functions import normalise_header
 from ledgerlake.operators import clean, mart, metrics, nested, quality, reports, staging
 from ledgerlake.sinks import files as sinks
 from ledgerlake.sources import files as sources
@@ -61,14 +60,9 @@ def company_etl(spark: SparkSession, csv_path: str, out_path: str,
 
 def company_etl_normalised(spark: SparkSession, csv_path: str, out_path: str) -> dict:
     """The normalised-header variant (3 required columns, two ratios) -> CSV."""
-    typed = clean.typed_company(sources.read_company_csv(spark, csv_path))
-    cleaned = clean.positive_market_cap(
-        clean.drop_incomplete(typed, ["ticker", "market_cap", "ebitda"]))
-    out = metrics.company_metrics(cleaned, only=["ebitda_to_market_cap", "price_range_pct"])
-    back = {c: normalise_header(h) for h, c in S.COMPANY_HEADER_TO_CANONICAL.items()}
     seen = Observation("rows")
-    out = out.select(*[F.col(c).alias(back.get(c, c)) for c in out.columns]) \
-             .observe(seen, F.count(F.lit(1)).alias("n"))
+    out = metrics.company_metrics_normalised(sources.read_company_csv(spark, csv_path)) \
+        .observe(seen, F.count(F.lit(1)).alias("n"))
     sinks.write_csv(out, out_path)
     return {"rows": seen.get["n"]}
 
@@ -179,7 +173,7 @@ def lake_publish(spark: SparkSession, lake: Lake, csv_path: str, api_dir: str, s
                  curated_financials: str | None = None, mart_name: str = "mart_financials") -> DataFrame:
     """Raw zone (CSV copy + landed JSON documents), curated zone (company Parquet
     and mart CSV), then the lake inventory."""
-    sinks.write_raw_csv(sources.read_company_csv(spark, csv_path), lake.raw("kaggle"))
+    sinks.write_raw_csv(sources.read_company_csv(spark, csv_path), lake.raw("company"))
     sinks.land_documents(spark, api_dir, "*.json", "api", lake.landed, mode="overwrite")
     sinks.land_documents(spark, sec_dir, "*.json", "sec", lake.landed, mode="append")
     if curated_financials:

@@ -108,7 +108,3 @@ def write_if_rows(df: DataFrame, write) -> bool:
         return False
     write(df)
     return True
-
-
-RAW_ZONE = {"kaggle": "raw/kaggle", "api": "raw/api", "sec": "raw/sec"}
-CURATED_ZONE = {"financials": "curated/financials", "mart": "curated/mart_financials"}

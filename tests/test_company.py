@@ -10,7 +10,7 @@ from ledgerlake.sources import files as sources
 
 @pytest.fixture(scope="module")
 def raw(spark, tmp_path_factory):
-    path = write_company_csv(str(tmp_path_factory.mktemp("kaggle")))
+    path = write_company_csv(str(tmp_path_factory.mktemp("company")))
     return sources.read_company_csv(spark, path)
 
 

@@ -15,7 +15,7 @@ from ledgerlake.streaming.landing import land_new_documents
 @pytest.fixture(scope="module")
 def inputs(tmp_path_factory):
     base = tmp_path_factory.mktemp("inputs")
-    csv = write_company_csv(str(base / "kaggle"))
+    csv = write_company_csv(str(base / "company"))
     api = write_statements(str(base / "api"))
     sec = write_filings(str(base / "sec_full"))
     return {"base": base, "csv": csv, "api": api, "sec_full": sec}
@@ -39,7 +39,7 @@ def test_g2_normalised_variant(spark, inputs, tmp_path):
 
 
 def test_g3_to_g5(spark, inputs, tmp_path):
-    sec_dir = str(tmp_path / "sec")
+    sec_dir = str(tmp_path / "facts")
     cov = jobs.facts_extraction(spark, inputs["sec_full"], sec_dir)
     assert cov.filter("missing").count() == 1 + 6 + 6        # AAA op. income, BBB, CCC
     # K9 layout -> rename to the `{ticker}_sec_facts.json` files the loader reads
@@ -85,7 +85,7 @@ def test_g6_lake_publish(spark, inputs, tmp_path):
     inv = jobs.lake_publish(spark, lake, inputs["csv"], inputs["api"], inputs["sec_full"],
                             curated_financials=curated)
     paths = [r.path for r in inv.collect()]
-    assert any("/raw/kaggle/" in p for p in paths)
+    assert any("/raw/company/" in p for p in paths)
     assert any("/raw/landed/source=api/" in p for p in paths)
     assert any("/curated/financials/" in p for p in paths)
     landed = sources.read_landed(spark, lake.landed, "api", nested.S.INCOME_DOC)
