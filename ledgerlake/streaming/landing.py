@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlake.session import ensure_checkpoint_dir
+from ledgerlake.session import checkpoint_dir
 
 
 def land_new_documents(spark: SparkSession, src: str, glob: str, source: str, out: str,
@@ -22,7 +22,12 @@ def land_new_documents(spark: SparkSession, src: str, glob: str, source: str, ou
                        max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Append every not-yet-landed `glob` file under `src` as `(source, file_name, body)`
     rows of the Parquet table `out` (partitioned by source)."""
-    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark)}/landing-{source}"
+    if checkpoint is None:
+        shared = checkpoint_dir(spark)
+        if not shared:
+            raise ValueError("no checkpoint location: pass one, or set spark.checkpoint.dir "
+                             "to a folder every executor and the driver can reach")
+        checkpoint = f"{shared}/landing-{source}"
     reader = (spark.readStream.format("text").option("wholetext", True)
               .option("pathGlobFilter", glob))
     if max_files_per_trigger:
