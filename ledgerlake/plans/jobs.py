@@ -185,4 +185,7 @@ def lake_publish(spark: SparkSession, lake: Lake, csv_path: str, api_dir: str, s
             sinks.write_parquet(company, lake.curated("financials"))
     if spark.catalog.tableExists(mart_name):
         sinks.write_csv(spark.table(mart_name), lake.curated("mart_financials"))
+    if spark.catalog.tableExists("raw_financials"):
+        # K6: the loaded company table as curated CSV (available even before the mart)
+        sinks.write_raw_csv(spark.table("raw_financials"), lake.curated("financials_csv"))
     return quality.lake_files(spark, lake.root)

@@ -124,3 +124,21 @@ def test_streaming_landing_exactly_once(spark, tmp_path):
     names = sorted(r.file_name for r in spark.read.parquet(out).collect())
     assert names == ["A_income_statement.json", "B_income_statement.json",
                      "C_income_statement.json"]
+
+
+def test_s2_profile_and_s9_table(spark, inputs):
+    prof = sources.profile_csv(spark, inputs["csv"])
+    assert prof["rows"] == 13 and len(prof["columns"]) == 14 and len(prof["sample"]) == 2
+    assert prof["types"]["Market Cap"] in ("double", "string")
+    sinks.register_views({"company_raw_view": sources.read_company_csv(spark, inputs["csv"])})
+    assert sources.read_table(spark, "company_raw_view").count() == 13
+    assert sources.has_rows(sources.read_table(spark, "company_raw_view"))
+
+
+def test_k6_raw_company_export(spark, inputs, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS raw_financials")
+    jobs.raw_table_load(spark, inputs["csv"], inputs["api"], str(tmp_path / "none"))
+    lake = jobs.Lake(str(tmp_path / "lake2"))
+    jobs.lake_publish(spark, lake, inputs["csv"], inputs["api"], inputs["sec_full"])
+    back = spark.read.option("header", True).csv(lake.curated("financials_csv"))
+    assert back.count() == 13 and "price_per_earnings" in back.columns
