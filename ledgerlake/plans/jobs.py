@@ -81,18 +81,8 @@ def facts_extraction(spark: SparkSession, filings_dir: str, out_dir: str,
     filings = sources.usable_filings(sources.read_filings(spark, filings_dir))
     km = filings.select(nested.key_metrics_document(F.col("doc"), F.col("ticker"), k).alias("km"))
     sinks.write_key_metric_docs(km, out_dir)
-    written = spark.read.json(out_dir, schema=_km_flat_schema())
-    return quality.coverage_from_documents(
-        written.select(F.struct("ticker", "company_name", "metrics").alias("km")))
-
-
-def _km_flat_schema():
-    from pyspark.sql import types as T
-    return T.StructType([
-        T.StructField("company_name", T.StringType(), True),
-        T.StructField("metrics", T.MapType(T.StringType(), S.FACT_LIST), True),
-        T.StructField("ticker", T.StringType(), True),
-    ])
+    written = sources.read_key_metrics(spark, out_dir, glob="*.json", multi_line=False)
+    return quality.coverage_from_documents(written)
 
 
 # ---------------------------------------------------------------------------
@@ -103,12 +93,14 @@ RAW_TABLES = ["raw_financials", "raw_income_statements", "raw_sec_facts"]
 
 
 def raw_table_load(spark: SparkSession, csv_path: str, api_dir: str, sec_dir: str,
-                   write=None) -> DataFrame:
+                   write=None, sec_glob: str = "*" + S.FACTS_DOC_SUFFIX,
+                   sec_multi_line: bool = True) -> DataFrame:
     """Load the three raw tables (full refresh) and report their row counts.
 
     A missing source is skipped and reported as absent; an empty one leaves its table
     untouched. `write(df, name)` defaults to a catalog table overwrite (K4); pass a
-    JDBC writer to load a database instead.
+    JDBC writer to load a database instead. `sec_glob` / `sec_multi_line` select
+    the key-metric files: one document per file (default) or the JSON Lines of G3.
     """
     write = write or (lambda df, name: sinks.overwrite_table(df, name))
     frames: dict[str, DataFrame | None] = {}
@@ -122,8 +114,9 @@ def raw_table_load(spark: SparkSession, csv_path: str, api_dir: str, sec_dir: st
     frames["raw_income_statements"] = (
         nested.explode_statements(stmts, S.INCOME_REPORT_FIELDS) if ok else None)
 
-    kms, ok = sources.optional(spark, lambda: sources.read_key_metrics(spark, sec_dir),
-                               S.KEY_METRICS_DOC)
+    kms, ok = sources.optional(
+        spark, lambda: sources.read_key_metrics(spark, sec_dir, sec_glob, sec_multi_line),
+        S.KEY_METRICS_DOC)
     frames["raw_sec_facts"] = (
         nested.explode_key_metrics(kms).drop("pos") if ok else None)
 

@@ -75,12 +75,18 @@ def land_documents(spark: SparkSession, src: str, glob: str, source: str, out: s
     return docs
 
 
-def write_key_metric_docs(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K9: one JSON key-metric document per ticker (`ticker=<t>/part-*.json`)."""
+def write_key_metric_docs(docs: DataFrame, path: str, mode: str = "overwrite",
+                          max_records_per_file: int | None = 100_000) -> None:
+    """K9: key-metric documents as JSON Lines, one `{ticker, company_name, metrics}`
+    document per line. No directory per ticker (thousands of tiny files at scale);
+    `maxRecordsPerFile` bounds each file instead."""
     flat = docs.select(F.col("km.ticker").alias("ticker"),
                        F.col("km.company_name").alias("company_name"),
                        F.col("km.metrics").alias("metrics"))
-    flat.write.mode(mode).partitionBy("ticker").json(path)
+    w = flat.write.mode(mode)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
+    w.json(path)
 
 
 def register_external(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:

@@ -50,9 +50,10 @@ def optional(spark: SparkSession, read, schema: T.StructType) -> tuple[DataFrame
         raise
 
 
-def _json_docs(spark: SparkSession, folder: str, schema: T.StructType, glob: str) -> DataFrame:
+def _json_docs(spark: SparkSession, folder: str, schema: T.StructType, glob: str,
+               multi_line: bool = True) -> DataFrame:
     return (spark.read.schema(schema)
-            .option("multiLine", True)
+            .option("multiLine", multi_line)
             .option("mode", "PERMISSIVE")
             .option("pathGlobFilter", glob)
             .option("recursiveFileLookup", True)
@@ -67,9 +68,12 @@ def read_statements(spark: SparkSession, folder: str, kind: str = "income_statem
     return _json_docs(spark, folder, S.statement_doc(kind), "*" + S.STATEMENT_KINDS[kind])
 
 
-def read_key_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """`{ticker}_sec_facts.json` key-metric documents -> column `km`."""
-    df = _json_docs(spark, folder, S.KEY_METRICS_DOC, "*" + S.FACTS_DOC_SUFFIX)
+def read_key_metrics(spark: SparkSession, folder: str, glob: str = "*" + S.FACTS_DOC_SUFFIX,
+                     multi_line: bool = True) -> DataFrame:
+    """Key-metric documents -> column `km`. Defaults read one pretty-printed
+    `{ticker}_sec_facts.json` per ticker; `glob="*.json", multi_line=False` reads the
+    JSON Lines written by `sinks.files.write_key_metric_docs`."""
+    df = _json_docs(spark, folder, S.KEY_METRICS_DOC, glob, multi_line)
     return df.select(F.col("doc").alias("km"), "file_name")
 
 

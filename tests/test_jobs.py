@@ -42,22 +42,14 @@ def test_g3_to_g5(spark, inputs, tmp_path):
     sec_dir = str(tmp_path / "facts")
     cov = jobs.facts_extraction(spark, inputs["sec_full"], sec_dir)
     assert cov.filter("missing").count() == 1 + 6 + 6        # AAA op. income, BBB, CCC
-    # K9 layout -> rename to the `{ticker}_sec_facts.json` files the loader reads
-    km = spark.read.json(sec_dir)
+    km = spark.read.json(sec_dir)                            # JSON Lines, ticker inside
     assert sorted(r.ticker for r in km.select("ticker").collect()) == ["AAA", "BBB", "CCC"]
-    flat_dir = str(tmp_path / "sec_flat")
-    os.makedirs(flat_dir)
-    for t in ("AAA", "BBB", "CCC"):
-        part = [f for f in os.listdir(f"{sec_dir}/ticker={t}") if f.endswith(".json")][0]
-        with open(f"{sec_dir}/ticker={t}/{part}") as src, \
-                open(f"{flat_dir}/{t}_sec_facts.json", "w") as dst:
-            body = src.read().strip()
-            dst.write(body[:-1] + f',"ticker":"{t}"}}')
     spark.sql("DROP TABLE IF EXISTS raw_financials")
     spark.sql("DROP TABLE IF EXISTS raw_income_statements")
     spark.sql("DROP TABLE IF EXISTS raw_sec_facts")
     counts = {r.table_name: (r.row_count, r.present) for r in
-              jobs.raw_table_load(spark, inputs["csv"], inputs["api"], flat_dir).collect()}
+              jobs.raw_table_load(spark, inputs["csv"], inputs["api"], sec_dir,
+                                  sec_glob="*.json", sec_multi_line=False).collect()}
     assert counts["raw_financials"] == (13, True)
     assert counts["raw_income_statements"] == (9, True)
     assert counts["raw_sec_facts"] == (9, True)              # 5 + 2 + 2 facts of AAA
