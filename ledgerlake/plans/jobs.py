@@ -182,3 +182,24 @@ def lake_publish(spark: SparkSession, lake: Lake, csv_path: str, api_dir: str, s
         # K6: the loaded company table as curated CSV (available even before the mart)
         sinks.write_raw_csv(spark.table("raw_financials"), lake.curated("financials_csv"))
     return quality.lake_files(spark, lake.root)
+
+
+# ---------------------------------------------------------------------------
+# The daily refresh, in dependency order
+# ---------------------------------------------------------------------------
+
+def daily_refresh(spark: SparkSession, lake: Lake, csv_path: str, api_dir: str,
+                  filings_dir: str) -> dict[str, DataFrame]:
+    """Run the jobs in dependency order: company ETL (G1) and key-metric extraction
+    (G3), raw table load (G4), staging and mart (G5), then the lake publish with the
+    inventory (G6). Each step reads what the previous one wrote, and an exception in
+    any step stops the run (nothing downstream runs on stale inputs)."""
+    summary, counts = company_etl(spark, csv_path, lake.curated("financials"))
+    coverage = facts_extraction(spark, filings_dir, lake.curated("key_metrics"))
+    tables = raw_table_load(spark, csv_path, api_dir, lake.curated("key_metrics"),
+                            sec_glob="*.json", sec_multi_line=False)
+    mart_df = build_mart(spark, lake.curated("mart_parquet"))
+    inventory = lake_publish(spark, lake, csv_path, api_dir, filings_dir)
+    return {"sector_summary": summary, "coverage": coverage, "table_counts": tables,
+            "mart": mart_df, "inventory": inventory,
+            "clean_counts": spark.createDataFrame([counts])}

@@ -158,3 +158,17 @@ def test_streaming_extraction_matches_batch(spark, inputs, tmp_path):
     batch = sources.read_key_metrics(spark, batch_dir, glob="*.json", multi_line=False)
     want = sorted(json.dumps(r.km.asDict(recursive=True), sort_keys=True) for r in batch.collect())
     assert got == want and len(got) == 3                      # DDD ({}) skipped, no repeats
+
+
+def test_daily_refresh_order(spark, inputs, tmp_path):
+    for t in ("raw_financials", "raw_income_statements", "raw_sec_facts"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    lake = jobs.Lake(str(tmp_path / "daily"))
+    out = jobs.daily_refresh(spark, lake, inputs["csv"], inputs["api"], inputs["sec_full"])
+    counts = {r.table_name: r.row_count for r in out["table_counts"].collect()}
+    assert counts == {"raw_financials": 13, "raw_income_statements": 9, "raw_sec_facts": 9}
+    assert out["mart"].count() == 8
+    paths = [r.path for r in out["inventory"].collect()]
+    assert any("/curated/mart_financials/" in p for p in paths)
+    assert any("/curated/financials/" in p for p in paths)
+    assert out["clean_counts"].collect()[0].rows_out == 7
