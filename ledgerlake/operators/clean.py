@@ -15,9 +15,10 @@ def _typed_select(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
     Missing source columns become typed NULLs (schema union over differing files).
     """
+    present = set(df.columns)
     cols = []
     for src, dst in mapping.items():
-        c = F.col(f"`{src}`") if src in df.columns else F.lit(None).cast("string")
+        c = F.col(f"`{src}`") if src in present else F.lit(None).cast("string")
         if dst in S.COMPANY_NUMERIC:
             c = parse_double(c.cast("string"))
         elif dst == "ticker":
