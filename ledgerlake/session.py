@@ -72,3 +72,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="ledgerlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int,
+                  target_partition_bytes: int = 128 * 1024 * 1024,
+                  max_partitions: int = 200_000) -> int:
+    """Size shuffles for an input of `input_bytes` (e.g. 100 TB): start with one shuffle
+    partition per `target_partition_bytes` of input, so no reducer has to spill more than
+    about that much, and let AQE coalesce the small ones and split skewed ones. Settings
+    the session already has are left alone. Returns the partition count used."""
+    n = max(1, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    wanted = {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+    for k, v in wanted.items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+    return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n)))

@@ -83,3 +83,19 @@ def test_normalise_header_examples():
     assert normalise_header("Price/Earnings") == "price_per_earnings"
     assert normalise_header("52 Week Low") == "52_week_low"
     assert normalise_header("SEC Filings") == "sec_filings"
+
+
+def test_size_shuffles_for_100tb(spark):
+    from ledgerlake.session import size_shuffles
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        n = size_shuffles(spark, 100 * 1024 ** 4)
+        assert n == 200_000 or n == 100 * 1024 ** 4 // (128 * 1024 ** 2)
+        assert int(spark.conf.get(key)) == n
+    finally:
+        spark.conf.unset(key)
+        if before:
+            spark.conf.set(key, before)
