@@ -18,9 +18,13 @@ from ledgerlake.operators.nested import ticker_from_file
 def read_company_csv(spark: SparkSession, path: str,
                      schema: T.StructType = S.RAW_COMPANY) -> DataFrame:
     """Company CSV with header; every column read as text (raw zone semantics),
-    typed later by `operators.clean` with `try_cast`. Quoted commas are honoured."""
+    typed later by `operators.clean` with `try_cast`. Quoted commas are honoured.
+
+    The header is checked against the schema's names (`enforceSchema=false`): a file
+    whose columns are renamed or reordered fails instead of loading shifted values."""
     return (spark.read.schema(schema)
             .option("header", True)
+            .option("enforceSchema", False)
             .option("quote", '"').option("escape", '"')
             .option("mode", "PERMISSIVE")
             .csv(path))

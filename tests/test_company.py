@@ -101,3 +101,13 @@ def test_required_columns_parameter(raw):
     typed = clean.typed_company(raw)
     three = clean.drop_incomplete(typed, ["ticker", "market_cap", "ebitda"])
     assert three.filter(F.col("ticker") == "DDD").count() == 1  # bad price kept
+
+
+def test_reordered_header_is_rejected(spark, tmp_path):
+    from fixtures import COMPANY_HEADER, COMPANY_ROWS
+    cols = COMPANY_HEADER.split(",")
+    swapped = ",".join([cols[1], cols[0]] + cols[2:])
+    path = tmp_path / "swapped.csv"
+    path.write_text(swapped + "\n" + COMPANY_ROWS[1] + "\n")
+    with pytest.raises(Exception):
+        sources.read_company_csv(spark, str(path)).collect()
