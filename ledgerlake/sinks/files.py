@@ -49,6 +49,23 @@ def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet",
     w.saveAsTable(name)
 
 
+def swap_refresh(spark: SparkSession, df: DataFrame, name: str, fmt: str = "parquet") -> str:
+    """K4 without a window of missing data: write the new content to a fresh versioned
+    table `name__vN`, then repoint the view `name` at it in one catalog statement.
+    Readers of the previous version keep reading it; nothing they read is deleted
+    (old versions are left for a retention job). Returns the new table's name."""
+    prefix = f"{name}__v"
+    versions = [t.name for t in spark.catalog.listTables() if t.name.startswith(prefix)]
+    nxt = 1 + max([int(v[len(prefix):]) for v in versions if v[len(prefix):].isdigit()] or [0])
+    table = f"{prefix}{nxt}"
+    df.write.mode("errorifexists").format(fmt).saveAsTable(table)
+    if spark.catalog.tableExists(name) and not any(
+            t.name == name and t.tableType == "VIEW" for t in spark.catalog.listTables()):
+        raise ValueError(f"{name} exists and is not a view; refusing to replace a table")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
+    return table
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
                batchsize: int = 500, num_partitions: int | None = None,
                mode: str = "overwrite") -> None:

@@ -172,3 +172,14 @@ def test_daily_refresh_order(spark, inputs, tmp_path):
     assert any("/curated/mart_financials/" in p for p in paths)
     assert any("/curated/financials/" in p for p in paths)
     assert out["clean_counts"].collect()[0].rows_out == 7
+
+
+def test_swap_refresh_keeps_old_version(spark):
+    first = spark.createDataFrame([(1,), (2,)], "a int")
+    t1 = sinks.swap_refresh(spark, first, "refresh_demo")
+    held = spark.table("refresh_demo")                       # a reader of version 1
+    t2 = sinks.swap_refresh(spark, spark.createDataFrame([(3,)], "a int"), "refresh_demo")
+    assert (t1, t2) == ("refresh_demo__v1", "refresh_demo__v2")
+    assert [r.a for r in spark.table("refresh_demo").collect()] == [3]
+    assert sorted(r.a for r in spark.table(t1).collect()) == [1, 2]
+    assert held.count() in (1, 2)                            # never fails mid-swap
