@@ -66,3 +66,26 @@ def test_mart_fan_out_and_order(spark):
     assert rows[-1].ticker is None                           # NULLs last on ticker
     assert len(rows[0].asDict()) == 24
     assert rows[4].company_name is None                      # no company row for B
+
+
+def test_m12_two_name_spellings_fan_out(spark):
+    from ledgerlake.operators import staging
+    facts = spark.createDataFrame([
+        ("A", "Alpha Inc", "Assets", "2023-12-31", 10, "10-K", "USD"),
+        ("A", "ALPHA INC.", "Assets", "2023-06-30", 20, "10-K", "USD"),
+        ("A", "Alpha Inc", "NetIncomeLoss", "2023-12-31", 1, "10-K", "USD"),
+    ], "ticker string, company_name string, metric_name string, period_end string, "
+       "value bigint, form string, currency string")
+    sec = staging.stg_sec_facts(facts)
+    assert sec.count() == 2                                  # one row per spelling
+    income, _, comp = frames(spark)
+    combined = mart.combine(income.filter("ticker = 'A' AND fiscal_year = 2023"), sec)
+    assert sorted(r.total_assets for r in combined.collect()) == [10, 20]
+
+
+def test_m17_size_class_of_null_cap(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlake.functions import size_class
+    df = spark.createDataFrame([(None,)], "m double")
+    assert df.select(size_class(F.col("m")).alias("s")).collect()[0].s == "Small Cap"
