@@ -154,6 +154,15 @@ def statement_doc(kind: str) -> T.StructType:
 
 INCOME_DOC = statement_doc("income_statement")
 
+# Every statement field of every kind, for one scan over all statement documents.
+ALL_REPORT_FIELDS = list(dict.fromkeys(f for fields in REPORT_FIELDS.values() for f in fields))
+ANY_STATEMENT_DOC = T.StructType(
+    [
+        T.StructField("symbol", T.StringType(), True),
+        T.StructField("annualReports", T.ArrayType(report_struct(ALL_REPORT_FIELDS)), True),
+    ]
+)
+
 # ---------------------------------------------------------------------------
 # D3 / D4 filing facts
 # ---------------------------------------------------------------------------

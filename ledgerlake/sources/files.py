@@ -72,6 +72,16 @@ def read_statements(spark: SparkSession, folder: str, kind: str = "income_statem
     return _json_docs(spark, folder, S.statement_doc(kind), "*" + S.STATEMENT_KINDS[kind])
 
 
+def read_all_statements(spark: SparkSession, folder: str) -> DataFrame:
+    """S4 + S5 in one scan: every `{ticker}_{kind}.json` under `folder`, read with the
+    union of all kinds' fields; `kind` comes from the file name. Files of no known kind
+    are ignored."""
+    kinds = "|".join(k for k in S.STATEMENT_KINDS)
+    df = _json_docs(spark, folder, S.ANY_STATEMENT_DOC, "*.json")
+    kind = F.regexp_extract(F.col("file_name"), rf"_({kinds})\.json$", 1)
+    return df.select(kind.alias("kind"), "doc", "file_name").filter(F.col("kind") != "")
+
+
 def read_key_metrics(spark: SparkSession, folder: str, glob: str = "*" + S.FACTS_DOC_SUFFIX,
                      multi_line: bool = True) -> DataFrame:
     """Key-metric documents -> column `km`. Defaults read one pretty-printed

@@ -1,6 +1,7 @@
 """Statement documents: S4/S5, N4, P5-P7, P11, F4, X12-X14, U1."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import write_statements
 from ledgerlake import schemas as S
@@ -53,3 +54,21 @@ def test_missing_folder_is_optional(spark, tmp_path):
     df, ok = sources.optional(spark, lambda: sources.read_statements(spark, str(tmp_path / "nope")),
                               S.INCOME_DOC)
     assert ok is False and df.count() == 0
+
+
+def test_one_scan_over_all_kinds(spark, api_dir):
+    docs = sources.read_all_statements(spark, api_dir)
+    assert sorted(r.kind for r in docs.select("kind").distinct().collect()) == [
+        "balance_sheet", "cash_flow", "income_statement"]
+    rows = docs.select("kind", F.col("doc.symbol").alias("symbol"),
+                       F.explode("doc.annualReports").alias("r"))
+    def key(t):
+        return tuple("" if v is None else str(v) for v in t)
+
+    one_scan = sorted(((r.kind, r.symbol, r.r.fiscalDateEnding, r.r.totalAssets, r.r.totalRevenue)
+                       for r in rows.collect()), key=key)
+    frames = {k: nested.explode_statements(sources.read_statements(spark, api_dir, k), f)
+              for k, f in S.REPORT_FIELDS.items()}
+    per_kind = sorted(((r.kind, r.ticker, r.fiscalDateEnding, r.totalAssets, r.totalRevenue)
+                       for r in nested.union_statements(frames).collect()), key=key)
+    assert one_scan == per_kind
