@@ -30,16 +30,18 @@ def ticker_from_file(file_name: Column, suffix: str) -> Column:
 # statements
 # ---------------------------------------------------------------------------
 
-def explode_statements(docs: DataFrame, fields: list[str], doc: str = "doc") -> DataFrame:
+def explode_statements(docs: DataFrame, fields: list[str], doc: str = "doc",
+                       keep: tuple[str, ...] = ()) -> DataFrame:
     """`{symbol, annualReports:[...]}` -> one row per report with the parent ticker.
 
     A missing or empty report list yields no rows; a missing `symbol` gives a NULL
-    ticker (the source would give '', which then slips past NOT NULL filters).
+    ticker (the source would give '', which then slips past NOT NULL filters). `keep`
+    names document-level columns (e.g. `kind`) carried onto every report row.
     """
     d = F.col(doc)
-    rows = docs.select(F.nullif(F.trim(d["symbol"]), F.lit("")).alias("ticker"),
+    rows = docs.select(*keep, F.nullif(F.trim(d["symbol"]), F.lit("")).alias("ticker"),
                        F.explode(d["annualReports"]).alias("r"))
-    return rows.select("ticker", *[F.col("r")[f].alias(f) for f in fields])
+    return rows.select(*keep, "ticker", *[F.col("r")[f].alias(f) for f in fields])
 
 
 def union_statements(frames: dict[str, DataFrame]) -> DataFrame:

@@ -107,6 +107,19 @@ def statements_union(spark, d):
     })
 
 
+def statements_union_docs(spark, d):
+    """S5 + U1 from documents: the three statement kinds as JSON files, parsed in one
+    pass with the union schema, `kind` from the file name, then exploded."""
+    docs = None
+    for kind in S.STATEMENT_KINDS:
+        part = P.statement_documents(spark, d, kind)
+        docs = part if docs is None else docs.unionByName(part)
+    kinds = "|".join(S.STATEMENT_KINDS)
+    parsed = nested.parse_documents(docs, S.ANY_STATEMENT_DOC).select(
+        F.regexp_extract("file_name", rf"_({kinds})\.json$", 1).alias("kind"), "doc")
+    return nested.explode_statements(parsed, S.ALL_REPORT_FIELDS, keep=("kind",))
+
+
 # -- filing facts -----------------------------------------------------------
 
 def _facts(spark, d):
@@ -254,6 +267,7 @@ QUERIES: dict[str, Query] = {
     "stg_income_statements": stg_income_statements,
     "statements_explode": statements_explode,
     "statements_union": statements_union,
+    "statements_union_docs": statements_union_docs,
     "facts_annual": facts_annual,
     "facts_top5": facts_top5,
     "facts_top5_distinct_period": facts_top5_distinct_period,

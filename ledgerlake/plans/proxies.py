@@ -170,24 +170,31 @@ def raw_cash_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def income_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D2 documents `{symbol, annualReports}` as JSON text, one per ticker.
+def statement_documents(spark: SparkSession, sf_dir: str,
+                        kind: str = "income_statement") -> DataFrame:
+    """D2 documents `{symbol, annualReports}` as JSON text, one per ticker and kind,
+    named `{ticker}_{kind}.json`.
 
     A ticker's document holds one report per year, so its size is bounded by the
     number of years, not by the data volume.
     """
-    rows = raw_income_statements(spark, sf_dir)
-    report = F.struct(*[F.col(f) for f in S.INCOME_REPORT_FIELDS])
+    rows = {"income_statement": raw_income_statements, "balance_sheet": raw_balance_sheets,
+            "cash_flow": raw_cash_flows}[kind](spark, sf_dir)
+    report = F.struct(*[F.col(f) for f in S.REPORT_FIELDS[kind]])
     docs = rows.groupBy("ticker").agg(
         F.sort_array(F.collect_list(F.struct(F.col("fiscalDateEnding").alias("k"),
                                              report.alias("r")))).alias("reports"))
     return docs.select(
-        F.concat(F.col("ticker"), F.lit(S.STATEMENT_KINDS["income_statement"])).alias("file_name"),
+        F.concat(F.col("ticker"), F.lit(S.STATEMENT_KINDS[kind])).alias("file_name"),
         F.to_json(F.struct(F.col("ticker").alias("symbol"),
                            F.col("reports.r").alias("annualReports"))).alias("body"),
     )
 
 
+def income_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return statement_documents(spark, sf_dir, "income_statement")
+
+
 # ---------------------------------------------------------------------------
 # Long filing facts, one per lineitem
 # ---------------------------------------------------------------------------
