@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import schemas as S
 from ledgerlake.operators import clean, mart, metrics, nested, quality, reports, staging
+from ledgerlake.session import checkpoint_dir
 from ledgerlake.sinks import files as sinks
 from ledgerlake.sources import files as sources
 
@@ -137,10 +138,20 @@ def _in_catalog(spark: SparkSession, name: str) -> bool:
 # Staging views and the mart
 # ---------------------------------------------------------------------------
 
+def materialize(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Cut lineage with a reliable checkpoint in the shared folder the cluster names in
+    `spark.checkpoint.dir` (survives executor loss; `localCheckpoint` would not)."""
+    if not checkpoint_dir(spark):
+        raise ValueError("spark.checkpoint.dir is not set: name a folder every executor "
+                         "and the driver can reach, or write the result to a table")
+    return df.checkpoint(eager=True)
+
+
 def build_mart(spark: SparkSession, out_path: str | None = None,
-               raw: dict[str, DataFrame] | None = None) -> DataFrame:
+               raw: dict[str, DataFrame] | None = None, checkpoint: bool = False) -> DataFrame:
     """Staging views over the raw tables, then the mart; optionally written as
-    Parquet partitioned by fiscal year and sorted within files (O2 on write)."""
+    Parquet partitioned by fiscal year and sorted within files (O2 on write), or
+    checkpointed when several exports will read it."""
     raw = raw or {n: spark.table(n) for n in RAW_TABLES}
     stg = {
         "stg_financials": staging.stg_financials(raw["raw_financials"]),
@@ -154,6 +165,8 @@ def build_mart(spark: SparkSession, out_path: str | None = None,
         sinks.write_parquet(m, out_path, partition_by=["fiscal_year"],
                             sort_within=[F.col("ticker").asc_nulls_last()])
         m = spark.read.parquet(out_path)
+    elif checkpoint:
+        m = materialize(spark, m)
     m.createOrReplaceTempView("mart_financials")
     return m
 

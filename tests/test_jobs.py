@@ -183,3 +183,16 @@ def test_swap_refresh_keeps_old_version(spark):
     assert [r.a for r in spark.table("refresh_demo").collect()] == [3]
     assert sorted(r.a for r in spark.table(t1).collect()) == [1, 2]
     assert held.count() in (1, 2)                            # never fails mid-swap
+
+
+def test_mart_checkpoint_cuts_lineage(spark, inputs, tmp_path):
+    for t in ("raw_financials", "raw_income_statements", "raw_sec_facts"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    km_dir = str(tmp_path / "km")
+    jobs.facts_extraction(spark, inputs["sec_full"], km_dir)
+    jobs.raw_table_load(spark, inputs["csv"], inputs["api"], km_dir,
+                        sec_glob="*.json", sec_multi_line=False)
+    m = jobs.build_mart(spark, checkpoint=True)
+    plan = m._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan and "Join" not in plan      # reads the checkpoint, no recompute
+    assert m.count() == 8
