@@ -257,28 +257,25 @@ def filing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linenumber") % 2 == 1, F.lit("10-K")).otherwise(F.lit("10-Q")).alias("form"))
     # One shuffle on the numeric document key. A document holds only a few facts, so
     # a map-side partial aggregate cannot shrink anything: the raw columns are
-    # hash-partitioned first, and facts are built and collected after the exchange,
-    # once per document, across all reducers.
+    # hash-partitioned first, then facts are grouped per (document, metric) and per
+    # document. Both groupings contain the partition keys, so neither shuffles again.
     keyed = li.select("l_suppkey", "l_orderkey", "l_linenumber", "l_shipdate", "l_tax",
                       "l_extendedprice", "l_returnflag", "l_linestatus") \
               .repartition("l_suppkey", "l_orderkey")
-    per_doc = (keyed.select("l_suppkey", "l_orderkey", "l_linenumber",
-                            _metric_expr().alias("metric_name"), fact.alias("f"))
-               .filter(F.col("metric_name").isNotNull())
-               .groupBy("l_suppkey", "l_orderkey")
-               .agg(F.sort_array(F.collect_list(F.struct(
-                   "l_linenumber", F.col("f.val").alias("v"), "metric_name", "f"))).alias("xs")))
-    names = F.array_distinct(F.transform("xs", lambda x: x["metric_name"]))
-    entries = F.transform(names, lambda m: F.struct(
-        m.alias("key"),
-        F.struct(F.create_map(F.lit(S.UNIT), F.transform(
-            F.filter("xs", lambda x: x["metric_name"] == m), lambda x: x["f"]))
-         .alias("units")).alias("value")))
+    per_metric = (keyed.select("l_suppkey", "l_orderkey", "l_linenumber",
+                               _metric_expr().alias("metric_name"), fact.alias("f"))
+                  .filter(F.col("metric_name").isNotNull())
+                  .groupBy("l_suppkey", "l_orderkey", "metric_name")
+                  .agg(F.sort_array(F.collect_list(F.struct(
+                      "l_linenumber", F.col("f.val").alias("v"), "f"))).alias("xs")))
+    entry = F.struct(F.col("metric_name").alias("key"),
+                     F.struct(F.create_map(F.lit(S.UNIT), F.col("xs.f")).alias("units")).alias("value"))
+    per_doc = per_metric.groupBy("l_suppkey", "l_orderkey").agg(
+        F.map_from_entries(F.collect_list(entry)).alias("m"))
     ticker = F.col("l_suppkey").cast("string")
     docs = per_doc.select(ticker.alias("ticker"),
                           F.concat(F.lit("Company "), ticker).alias("company_name"),
-                          F.col("l_orderkey").alias("doc_id"),
-                          F.map_from_entries(entries).alias("m"))
+                          F.col("l_orderkey").alias("doc_id"), "m")
     body = F.to_json(F.struct(
         F.col("company_name").alias("entityName"),
         F.create_map(F.lit(S.TAXONOMY), F.col("m")).alias("facts")))
