@@ -40,3 +40,26 @@ def test_no_cartesian_products(spark):
     for name, q in QUERIES.items():
         p = plan(q(spark, SF0001))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def _scan_widths(p: str):
+    """(table file, number of columns read) for every Parquet scan in a plan string."""
+    import re
+    out = []
+    for m in re.finditer(r"FileScan parquet \[([^\]]*)\].*?Location: [^\[]*\[([^\]]*)\]", p):
+        cols, loc = m.group(1), m.group(2)
+        out.append((loc.rsplit("/", 1)[-1], len([c for c in cols.split(",") if c.strip()])))
+    return out
+
+
+def test_every_scan_reads_a_column_subset(spark):
+    full = {t: len(spark.read.parquet(f"{SF0001}/{t}.parquet").columns)
+            for t in ("lineitem", "part", "events")}
+    seen = 0
+    for name, q in QUERIES.items():
+        for table_file, width in _scan_widths(plan(q(spark, SF0001))):
+            t = table_file.replace(".parquet", "")
+            if t in full:
+                seen += 1
+                assert width < full[t], (name, t, width)
+    assert seen > 30
