@@ -131,3 +131,45 @@ def test_array_top5_property(spark, values):
     got = df.select(nested.latest_annual_in_array(F.col("xs")).alias("t")).collect()[0].t
     clean = [{k: x for k, x in v.items() if x is not None} for v in values]
     assert _as_dicts(got) == python_top5(clean)
+
+
+long_fact = st.tuples(
+    st.sampled_from(["A", "B"]),
+    st.sampled_from(["NetIncomeLoss", "Assets", "Goodwill"]),
+    st.one_of(st.none(), st.sampled_from(["2020-12-31", "2021-12-31", "2022-12-31"])),
+    st.one_of(st.none(), st.integers(-50, 50)),
+    st.sampled_from(["10-K", "10-K", "10-Q"]),
+)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(long_fact, max_size=40))
+def test_window_top5_property(spark, facts):
+    rows = [(t, "n", m, e, v, f, pos) for pos, (t, m, e, v, f) in enumerate(facts)]
+    df = spark.createDataFrame(rows, "ticker string, company_name string, metric_name string, "
+                                     "period_end string, value bigint, form string, pos long")
+    got = sorted((r.ticker, r.metric_name, r.pos, r.period_rank)
+                 for r in topk.latest_annual(df, tie_break=["pos"]).collect())
+    want = []
+    for t in ("A", "B"):
+        for m in S.FACT_METRICS:
+            group = [{"end": e, "pos": p} if e is not None else {"pos": p}
+                     for (tt, _, mm, e, _v, f, p) in rows if tt == t and mm == m and f == "10-K"]
+            ranked = sorted(group, key=lambda x: x.get("end", ""), reverse=True)[:5]
+            want += [(t, m, x["pos"], i + 1) for i, x in enumerate(ranked)]
+    assert got == sorted(want)
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(long_fact, min_size=1, max_size=40))
+def test_case_pivot_equals_builtin_pivot(spark, facts):
+    rows = [(t, "n", m, e, v, f) for (t, m, e, v, f) in facts]
+    df = spark.createDataFrame(rows, "ticker string, company_name string, metric_name string, "
+                                     "period_end string, value bigint, form string")
+    keys = ["ticker", "period_end"]
+    case_form = staging.pivot_metrics(df, keys)
+    builtin = df.groupBy(*keys).pivot("metric_name", S.FACT_METRICS).max("value")
+    builtin = builtin.select(*keys, *[F.col(m).alias(c) for m, c in S.METRIC_COLUMNS.items()])
+    key = lambda r: tuple("" if v is None else str(v) for v in r)
+    assert sorted(map(tuple, case_form.collect()), key=key) == \
+        sorted(map(tuple, builtin.select(*case_form.columns).collect()), key=key)
