@@ -86,6 +86,21 @@ def facts_extraction(spark: SparkSession, filings_dir: str, out_dir: str,
     return quality.coverage_from_documents(written)
 
 
+def facts_extraction_from_landed(spark: SparkSession, landed_path: str, out_dir: str,
+                                 source: str = "sec", suffix: str = ".json",
+                                 k: int = S.TOP_K_PERIODS) -> DataFrame:
+    """G3 from the raw zone: filing bodies landed as Parquet rows (K7) are parsed per row
+    with `from_json`, so many or very large filings parse in parallel across rows
+    instead of one multi-line file scan per task; the rest is as `facts_extraction`."""
+    landed = sources.read_landed(spark, landed_path, source, S.FILING_DOC)
+    filings = sources.usable_filings(landed.select(
+        nested.ticker_from_file(F.col("file_name"), suffix).alias("ticker"), "doc"))
+    km = filings.select(nested.key_metrics_document(F.col("doc"), F.col("ticker"), k).alias("km"))
+    sinks.write_key_metric_docs(km, out_dir)
+    written = sources.read_key_metrics(spark, out_dir, glob="*.json", multi_line=False)
+    return quality.coverage_from_documents(written)
+
+
 # ---------------------------------------------------------------------------
 # Raw table load
 # ---------------------------------------------------------------------------
