@@ -190,13 +190,18 @@ def build_mart(spark: SparkSession, out_path: str | None = None,
 # Lake publish
 # ---------------------------------------------------------------------------
 
-def lake_publish(spark: SparkSession, lake: Lake, csv_path: str, api_dir: str, sec_dir: str,
-                 curated_financials: str | None = None, mart_name: str = "mart_financials") -> DataFrame:
-    """Raw zone (CSV copy + landed JSON documents), curated zone (company Parquet
-    and mart CSV), then the lake inventory."""
+def land_raw(spark: SparkSession, lake: Lake, csv_path: str, api_dir: str, sec_dir: str) -> None:
+    """K1 + K7: the raw zone, before anything else runs. The company file is copied as
+    text; statement and filing documents are kept unparsed as rows of the landed table."""
     sinks.write_raw_csv(sources.read_company_csv(spark, csv_path), lake.raw("company"))
     sinks.land_documents(spark, api_dir, "*.json", "api", lake.landed, mode="overwrite")
     sinks.land_documents(spark, sec_dir, "*.json", "sec", lake.landed, mode="append")
+
+
+def publish_curated(spark: SparkSession, lake: Lake, curated_financials: str | None = None,
+                    mart_name: str = "mart_financials") -> DataFrame:
+    """K8 + K5 + K6, then the inventory (A4): company Parquet, mart CSV and the loaded
+    company table as CSV in the curated zone; a missing input is skipped (S3)."""
     if curated_financials:
         try:
             company = spark.read.parquet(curated_financials)
@@ -212,22 +217,32 @@ def lake_publish(spark: SparkSession, lake: Lake, csv_path: str, api_dir: str, s
     return quality.lake_files(spark, lake.root)
 
 
+def lake_publish(spark: SparkSession, lake: Lake, csv_path: str, api_dir: str, sec_dir: str,
+                 curated_financials: str | None = None, mart_name: str = "mart_financials") -> DataFrame:
+    """Raw zone (CSV copy + landed JSON documents), curated zone (company Parquet
+    and mart CSV), then the lake inventory."""
+    land_raw(spark, lake, csv_path, api_dir, sec_dir)
+    return publish_curated(spark, lake, curated_financials, mart_name)
+
+
 # ---------------------------------------------------------------------------
 # The daily refresh, in dependency order
 # ---------------------------------------------------------------------------
 
 def daily_refresh(spark: SparkSession, lake: Lake, csv_path: str, api_dir: str,
                   filings_dir: str) -> dict[str, DataFrame]:
-    """Run the jobs in dependency order: company ETL (G1) and key-metric extraction
-    (G3), raw table load (G4), staging and mart (G5), then the lake publish with the
-    inventory (G6). Each step reads what the previous one wrote, and an exception in
-    any step stops the run (nothing downstream runs on stale inputs)."""
-    summary, counts = company_etl(spark, csv_path, lake.curated("financials"))
-    coverage = facts_extraction(spark, filings_dir, lake.curated("key_metrics"))
-    tables = raw_table_load(spark, csv_path, api_dir, lake.curated("key_metrics"),
+    """Run the jobs in dependency order: land the raw zone (K1, K7) first; then company
+    ETL (G1) from the raw copy and key-metric extraction (G3) from the landed filing
+    bodies; raw table load (G4); staging and mart (G5); curated publish and inventory
+    (G6). Each step reads what the previous one wrote, and an exception in any step
+    stops the run (nothing downstream runs on stale inputs)."""
+    land_raw(spark, lake, csv_path, api_dir, filings_dir)
+    summary, counts = company_etl(spark, lake.raw("company"), lake.curated("financials_parquet"))
+    coverage = facts_extraction_from_landed(spark, lake.landed, lake.curated("key_metrics"))
+    tables = raw_table_load(spark, lake.raw("company"), api_dir, lake.curated("key_metrics"),
                             sec_glob="*.json", sec_multi_line=False)
     mart_df = build_mart(spark, lake.curated("mart_parquet"))
-    inventory = lake_publish(spark, lake, csv_path, api_dir, filings_dir)
+    inventory = publish_curated(spark, lake, lake.curated("financials_parquet"))
     return {"sector_summary": summary, "coverage": coverage, "table_counts": tables,
             "mart": mart_df, "inventory": inventory,
             "clean_counts": spark.createDataFrame([counts])}
