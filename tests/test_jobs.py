@@ -212,3 +212,20 @@ def test_g3_from_landed_raw_zone(spark, inputs, tmp_path):
         rows = sources.read_key_metrics(spark, d, glob="*.json", multi_line=False).collect()
         return sorted(json.dumps(r.km.asDict(recursive=True), sort_keys=True) for r in rows)
     assert docs(a_dir) == docs(b_dir)
+
+
+def test_command_line_daily(spark, inputs, tmp_path):
+    from ledgerlake.__main__ import main
+
+    for t in ("raw_financials", "raw_income_statements", "raw_sec_facts"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    out = main(["daily", "--lake", str(tmp_path / "cli_lake"), "--csv", inputs["csv"],
+                "--api", inputs["api"], "--filings", inputs["sec_full"]], spark=spark)
+    tables = {r["table_name"]: r["row_count"] for r in out["tables"]}
+    assert tables == {"raw_financials": 13, "raw_income_statements": 9, "raw_sec_facts": 9}
+    assert out["totals"][0]["total_files"] > 5
+    etl = main(["company-etl", "--csv", inputs["csv"], "--out", str(tmp_path / "etl")], spark=spark)
+    assert etl["counts"]["rows_out"] == 7 and etl["sector_summary"][0]["sector"] == "Tech"
+    ex = main(["extract-facts", "--filings", inputs["sec_full"], "--out", str(tmp_path / "kx")],
+              spark=spark)
+    assert ex["coverage"][0] == {"documents": 3, "missing_metric_pairs": 13, "records_kept": 9}
