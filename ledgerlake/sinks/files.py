@@ -25,14 +25,17 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: list[str] | None = None,
                   max_records_per_file: int | None = None,
-                  sort_within: list | None = None) -> None:
+                  sort_within: list | None = None,
+                  replace_partitions_only: bool = False) -> None:
     """K2/K8: Parquet write straight to the target URI (the committer writes `_SUCCESS`).
 
     `sort_within` orders rows inside each output file without a global sort (O2 on
-    write); `partition_by` gives directory pruning to later reads.
+    write); `partition_by` gives directory pruning to later reads. An overwrite is a full
+    refresh (partitions no longer produced are removed) unless `replace_partitions_only`.
     """
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
-    w = out.write.mode(mode)
+    w = out.write.mode(mode).option(
+        "partitionOverwriteMode", "dynamic" if replace_partitions_only else "static")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
@@ -88,7 +91,10 @@ def land_documents(spark: SparkSession, src: str, glob: str, source: str, out: s
             .select(F.lit(source).alias("source"),
                     F.col("_metadata.file_name").alias("file_name"),
                     F.col("value").alias("body")))
-    docs.write.mode(mode).partitionBy("source").parquet(out)
+    # Dynamic overwrite on this write: re-landing one source replaces only its own
+    # partition, whatever the session's default overwrite mode is.
+    (docs.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy("source").parquet(out))
     return docs
 
 

@@ -229,3 +229,30 @@ def test_command_line_daily(spark, inputs, tmp_path):
     ex = main(["extract-facts", "--filings", inputs["sec_full"], "--out", str(tmp_path / "kx")],
               spark=spark)
     assert ex["coverage"][0] == {"documents": 3, "missing_metric_pairs": 13, "records_kept": 9}
+
+
+def test_relanding_one_source_keeps_the_others(spark, inputs, tmp_path):
+    landed = str(tmp_path / "landed_multi")
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "static")
+    try:
+        sinks.land_documents(spark, inputs["api"], "*.json", "api", landed, mode="overwrite")
+        sinks.land_documents(spark, inputs["sec_full"], "*.json", "sec", landed, mode="append")
+        sinks.land_documents(spark, inputs["api"], "*.json", "api", landed, mode="overwrite")
+    finally:
+        spark.conf.set(key, before)
+    counts = {r.source: r["count"] for r in spark.read.parquet(landed).groupBy("source").count().collect()}
+    assert counts == {"api": 7, "sec": 4}
+
+
+def test_full_refresh_removes_stale_partitions(spark, tmp_path):
+    target = str(tmp_path / "by_year")
+    old = spark.createDataFrame([(2021, 1), (2022, 2)], "fiscal_year int, v int")
+    sinks.write_parquet(old, target, partition_by=["fiscal_year"])
+    new = spark.createDataFrame([(2022, 3)], "fiscal_year int, v int")
+    sinks.write_parquet(new, target, partition_by=["fiscal_year"])
+    assert [tuple(r) for r in spark.read.parquet(target).collect()] == [(3, 2022)]
+    sinks.write_parquet(old.filter("fiscal_year = 2021"), target, partition_by=["fiscal_year"],
+                        replace_partitions_only=True)
+    assert sorted(tuple(r) for r in spark.read.parquet(target).collect()) == [(1, 2021), (3, 2022)]
