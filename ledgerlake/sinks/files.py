@@ -71,12 +71,15 @@ def swap_refresh(spark: SparkSession, df: DataFrame, name: str, fmt: str = "parq
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
                batchsize: int = 500, num_partitions: int | None = None,
-               mode: str = "overwrite") -> None:
+               mode: str = "overwrite", truncate: bool = True) -> None:
     """K4 (JDBC form): full refresh in batches of `batchsize` rows per statement;
-    `num_partitions` caps concurrent connections to the target."""
+    `num_partitions` caps concurrent connections to the target. An existing table is
+    truncated, not dropped, so the database's views, grants and indexes on it survive
+    the refresh (a drop would take dependent views with it)."""
     out = df.coalesce(num_partitions) if num_partitions else df
     props = dict(properties or {})
     props.setdefault("batchsize", str(batchsize))
+    props.setdefault("truncate", "true" if truncate else "false")
     out.write.jdbc(url, table, mode=mode, properties=props)
 
 

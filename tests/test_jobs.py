@@ -94,6 +94,17 @@ def test_k4_jdbc_embedded(spark, inputs):
         pytest.skip(f"embedded Derby unavailable: {type(e).__name__}")
     back = sources.read_jdbc(spark, url, "raw_t", props, "id", 0, 1200, 4)
     assert back.count() == 1200
+    # a view in the database over the table survives a second full refresh
+    jvm = spark.sparkContext._jvm
+    conn = jvm.java.sql.DriverManager.getConnection(url)
+    conn.createStatement().execute(
+        'CREATE VIEW raw_t_small AS SELECT "id" FROM raw_t WHERE "id" < 10')
+    sinks.write_jdbc(df.filter("id < 100"), url, "raw_t", props)
+    rs = conn.createStatement().executeQuery("SELECT COUNT(*) FROM raw_t_small")
+    rs.next()
+    assert rs.getInt(1) == 10
+    conn.close()
+    assert sources.read_jdbc(spark, url, "raw_t", props).count() == 100
 
 
 def test_s11_empty_result_leaves_target(spark, tmp_path):
