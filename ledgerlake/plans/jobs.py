@@ -194,8 +194,9 @@ def land_raw(spark: SparkSession, lake: Lake, csv_path: str, api_dir: str, sec_d
     """K1 + K7: the raw zone, before anything else runs. The company file is copied as
     text; statement and filing documents are kept unparsed as rows of the landed table."""
     sinks.write_raw_csv(sources.read_company_csv(spark, csv_path), lake.raw("company"))
+    # Each source replaces only its own partition, so re-running a day never duplicates.
     sinks.land_documents(spark, api_dir, "*.json", "api", lake.landed, mode="overwrite")
-    sinks.land_documents(spark, sec_dir, "*.json", "sec", lake.landed, mode="append")
+    sinks.land_documents(spark, sec_dir, "*.json", "sec", lake.landed, mode="overwrite")
 
 
 def publish_curated(spark: SparkSession, lake: Lake, curated_financials: str | None = None,

@@ -267,3 +267,13 @@ def test_full_refresh_removes_stale_partitions(spark, tmp_path):
     sinks.write_parquet(old.filter("fiscal_year = 2021"), target, partition_by=["fiscal_year"],
                         replace_partitions_only=True)
     assert sorted(tuple(r) for r in spark.read.parquet(target).collect()) == [(1, 2021), (3, 2022)]
+
+
+def test_land_raw_is_idempotent(spark, inputs, tmp_path):
+    lake = jobs.Lake(str(tmp_path / "twice"))
+    for _ in range(2):
+        jobs.land_raw(spark, lake, inputs["csv"], inputs["api"], inputs["sec_full"])
+    counts = {r.source: r["count"] for r in
+              spark.read.parquet(lake.landed).groupBy("source").count().collect()}
+    assert counts == {"api": 7, "sec": 4}
+    assert sources.read_company_csv(spark, lake.raw("company")).count() == 13
