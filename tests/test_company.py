@@ -39,6 +39,7 @@ def test_metrics_edge_values(raw):
     assert m["AAA"].company_size == "Mega Cap"
     assert m["AAA"].value_score == 24.7
     assert m["CCC"].price_position_in_range is None          # high = low
+    assert m["CCC"].company_size == "Mid Cap"                # exactly 2e9
     assert m["HHH"].price_range_pct is None                  # low = 0
     assert m["KKK"].ebitda_to_market_cap == 0.13             # 0.125 -> half up
     assert m["KKK"].company_size == "Mid Cap"
