@@ -81,6 +81,27 @@ def clean_counts(typed: DataFrame, required: list[str] | None = None,
     return typed.agg(*aggs)
 
 
+def parse_rejects(raw: DataFrame) -> DataFrame:
+    """Q3 for M2: per numeric company column, values that were present in the raw text
+    but could not be read as a number (NaN included), and the rows with any such value.
+    One pass over the raw frame; empty fields are missing data, not rejects."""
+    from ledgerlake.functions import parse_double
+
+    bad = {}
+    for header, canonical in S.COMPANY_HEADER_TO_CANONICAL.items():
+        if canonical in S.COMPANY_NUMERIC:
+            text = F.trim(F.col(f"`{header}`"))
+            bad[canonical] = (text.isNotNull() & (text != "")) & parse_double(text).isNull()
+    any_bad = None
+    for cond in bad.values():
+        any_bad = cond if any_bad is None else any_bad | cond
+    return raw.agg(
+        F.count(F.lit(1)).alias("rows_in"),
+        *[F.count_if(cond).alias(f"rejected_{c}") for c, cond in bad.items()],
+        F.count_if(any_bad).alias("rows_with_rejects"),
+    )
+
+
 def table_counts(spark: SparkSession, tables: dict[str, DataFrame | None]) -> DataFrame:
     """A3: `(table_name, row_count, present)`; an absent source is reported, not fatal."""
     schema = T.StructType([

@@ -84,6 +84,11 @@ def clean_counts(spark, d):
     return quality.clean_counts(clean.typed_company(P.raw_companies(spark, d)))
 
 
+def parse_rejects(spark, d):
+    """Q3 / M2: malformed numbers per column, counted on the raw text."""
+    return quality.parse_rejects(P.raw_companies(spark, d))
+
+
 # -- statements -------------------------------------------------------------
 
 @lru_cache(maxsize=32)
@@ -287,6 +292,7 @@ QUERIES: dict[str, Query] = {
     "metric_coverage": metric_coverage,
     "key_uniqueness": key_uniqueness,
     "clean_counts": clean_counts,
+    "parse_rejects": parse_rejects,
     "table_counts": table_counts,
     "json_props": json_props,
     "lake_inventory": lake_inventory,

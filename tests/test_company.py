@@ -112,3 +112,12 @@ def test_reordered_header_is_rejected(spark, tmp_path):
     path.write_text(swapped + "\n" + COMPANY_ROWS[1] + "\n")
     with pytest.raises(Exception):
         sources.read_company_csv(spark, str(path)).collect()
+
+
+def test_parse_rejects_counts_malformed_only(raw):
+    r = quality.parse_rejects(raw).collect()[0]
+    assert r.rows_in == 13
+    assert r.rejected_stock_price == 1                        # 'abc'
+    assert r.rejected_market_cap == 1                         # 'NaN'
+    assert r.rejected_ebitda == 0 and r.rejected_pe_ratio == 0  # empty fields are not rejects
+    assert r.rows_with_rejects == 2
