@@ -240,6 +240,13 @@ def test_command_line_daily(spark, inputs, tmp_path):
     ex = main(["extract-facts", "--filings", inputs["sec_full"], "--out", str(tmp_path / "kx")],
               spark=spark)
     assert ex["coverage"][0] == {"documents": 3, "missing_metric_pairs": 13, "records_kept": 9}
+    inc = main(["extract-facts", "--incremental", "--filings", inputs["sec_full"],
+                "--out", str(tmp_path / "kinc"), "--checkpoint", str(tmp_path / "kinc_ck")],
+               spark=spark)
+    assert inc["job"] == "extract-facts"
+    n = sources.read_key_metrics(spark, str(tmp_path / "kinc"), glob="*.json",
+                                 multi_line=False).count()
+    assert n == 3
 
 
 def test_relanding_one_source_keeps_the_others(spark, inputs, tmp_path):
