@@ -1 +1,2 @@
-"""Incremental landing of newly arrived documents with Structured Streaming."""
+"""Incremental, exactly-once steps with Structured Streaming: raw-zone landing of newly
+arrived documents (`landing`) and key-metric extraction from new filings (`extraction`)."""
