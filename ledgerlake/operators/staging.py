@@ -25,22 +25,30 @@ def _optional_amount(df: DataFrame, field: str):
     return F.lit(None).cast("bigint")
 
 
+def _optional_text(df: DataFrame, field: str):
+    return F.col(field) if field in df.columns else F.lit(None).cast("string")
+
+
 def stg_income_statements(raw_income: DataFrame) -> DataFrame:
-    """P5, P6, F4, X12-X14 over flattened statement rows."""
+    """P5, P6, F4, X12-X14 over flattened statement rows.
+
+    Only `ticker` and `fiscalDateEnding` must exist (F4 filters on them); any other
+    report field may be absent from the documents and is then NULL (P11)."""
     return (raw_income
             .filter(F.col("ticker").isNotNull() & F.col("fiscalDateEnding").isNotNull())
             .select(
                 F.col("ticker"),
                 F.col("fiscalDateEnding").alias("fiscal_date"),
                 year_of("fiscalDateEnding").alias("fiscal_year"),
-                safe_bigint("totalRevenue").alias("total_revenue"),
-                safe_bigint("netIncome").alias("net_income"),
+                _optional_amount(raw_income, "totalRevenue").alias("total_revenue"),
+                _optional_amount(raw_income, "netIncome").alias("net_income"),
                 _optional_amount(raw_income, "operatingIncome").alias("operating_income"),
                 _optional_amount(raw_income, "stockholdersEquity").alias("stockholders_equity"),
                 _optional_amount(raw_income, "grossProfit").alias("gross_profit"),
                 _optional_amount(raw_income, "ebitda").alias("ebitda"),
                 _optional_amount(raw_income, "researchAndDevelopment").alias("rd_expense"),
-                F.coalesce(F.col("reportedCurrency"), F.lit(S.DEFAULT_CURRENCY)).alias("currency"),
+                F.coalesce(_optional_text(raw_income, "reportedCurrency"),
+                           F.lit(S.DEFAULT_CURRENCY)).alias("currency"),
             ))
 
 

@@ -284,3 +284,20 @@ def test_land_raw_is_idempotent(spark, inputs, tmp_path):
               spark.read.parquet(lake.landed).groupBy("source").count().collect()}
     assert counts == {"api": 7, "sec": 4}
     assert sources.read_company_csv(spark, lake.raw("company")).count() == 13
+
+
+def test_readme_library_example_runs(spark, inputs, tmp_path):
+    from fixtures import write_filings as wf
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    text = open(os.path.join(root, "README.md")).read()
+    code = text.split("## Library use")[1].split("```python")[1].split("```")[0]
+    company = os.path.dirname(inputs["csv"])
+    filings = wf(str(tmp_path / "filings"))
+    code = (code.replace("hdfs:///data/raw/company/", company)
+                .replace("hdfs:///data/raw/filings/", filings)
+                .replace("hdfs:///data/raw/api/", inputs["api"])
+                .replace(".show()", ".collect()"))
+    ns = {"spark": spark}
+    exec(code, ns)  # noqa: S102 - the documented example itself
+    assert ns["the_mart"].count() == 8
