@@ -242,12 +242,17 @@ def raw_sec_facts(spark: SparkSession, sf_dir: str, with_order: bool = True) ->
     return li.select(*cols)
 
 
+# Consecutive order keys per filing document (fixed proxy parameter).
+ORDERS_PER_FILING = 2048
+
+
 def filing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D3 filing documents as JSON text, one per (company, source order).
+    """D3 filing documents as JSON text, one per (company, block of consecutive orders).
 
-    Facts are grouped per order so every document is bounded (an order has at most
-    seven lines) however the data grows; array order is line order, so a document's
-    array position is the tie-break of the source system.
+    A document holds the lines of at most `ORDERS_PER_FILING` orders, so it stays
+    bounded however the data grows. Array order is (order, line, value), so a
+    document's array position is the source tie-break, and blocks of consecutive
+    orders keep the global order `(doc_id, position)` equal to `(order, line, value)`.
     """
     li = table(spark, sf_dir, "lineitem")
     fact = F.struct(
@@ -255,27 +260,28 @@ def filing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_tax") == 0, F.lit(None).cast("bigint"))
          .otherwise(_cents(F.col("l_extendedprice"))).alias("val"),
         F.when(F.col("l_linenumber") % 2 == 1, F.lit("10-K")).otherwise(F.lit("10-Q")).alias("form"))
-    # One shuffle on the numeric document key. A document holds only a few facts, so
-    # a map-side partial aggregate cannot shrink anything: the raw columns are
+    block = F.floor(F.col("l_orderkey") / F.lit(ORDERS_PER_FILING)).cast("bigint").alias("doc_id")
+    # One shuffle on the numeric document key. A document holds few facts, so a
+    # map-side partial aggregate could not shrink much: the raw columns are
     # hash-partitioned first, then facts are grouped per (document, metric) and per
     # document. Both groupings contain the partition keys, so neither shuffles again.
-    keyed = li.select("l_suppkey", "l_orderkey", "l_linenumber", "l_shipdate", "l_tax",
+    keyed = li.select("l_suppkey", block, "l_orderkey", "l_linenumber", "l_shipdate", "l_tax",
                       "l_extendedprice", "l_returnflag", "l_linestatus") \
-              .repartition("l_suppkey", "l_orderkey")
-    per_metric = (keyed.select("l_suppkey", "l_orderkey", "l_linenumber",
+              .repartition("l_suppkey", "doc_id")
+    per_metric = (keyed.select("l_suppkey", "doc_id", "l_orderkey", "l_linenumber",
                                _metric_expr().alias("metric_name"), fact.alias("f"))
                   .filter(F.col("metric_name").isNotNull())
-                  .groupBy("l_suppkey", "l_orderkey", "metric_name")
+                  .groupBy("l_suppkey", "doc_id", "metric_name")
                   .agg(F.sort_array(F.collect_list(F.struct(
-                      "l_linenumber", F.col("f.val").alias("v"), "f"))).alias("xs")))
+                      "l_orderkey", "l_linenumber", F.col("f.val").alias("v"), "f"))).alias("xs")))
     entry = F.struct(F.col("metric_name").alias("key"),
                      F.struct(F.create_map(F.lit(S.UNIT), F.col("xs.f")).alias("units")).alias("value"))
-    per_doc = per_metric.groupBy("l_suppkey", "l_orderkey").agg(
+    per_doc = per_metric.groupBy("l_suppkey", "doc_id").agg(
         F.map_from_entries(F.collect_list(entry)).alias("m"))
     ticker = F.col("l_suppkey").cast("string")
     docs = per_doc.select(ticker.alias("ticker"),
                           F.concat(F.lit("Company "), ticker).alias("company_name"),
-                          F.col("l_orderkey").alias("doc_id"), "m")
+                          "doc_id", "m")
     body = F.to_json(F.struct(
         F.col("company_name").alias("entityName"),
         F.create_map(F.lit(S.TAXONOMY), F.col("m")).alias("facts")))
