@@ -29,8 +29,16 @@ def test_every_query_has_oracle_or_is_inventory():
 
 
 def test_inventory_rows(spark):
+    import os
+
     files = QUERIES["lake_inventory"](spark, SF001).collect()
     assert len(files) == 14 and all(f.size_bytes > 0 for f in files)
+    on_disk = {os.path.join(SF001, n): os.path.getsize(os.path.join(SF001, n))
+               for n in os.listdir(SF001) if n.endswith(".parquet")}
+    listed = {f.path.replace("file:", ""): f.size_bytes for f in files}
+    assert listed == on_disk
+    assert all(f.size_kb == round(f.size_bytes / 1024, 1) or
+               abs(f.size_kb - f.size_bytes / 1024) <= 0.05 for f in files)
     tot = QUERIES["lake_totals"](spark, SF001).collect()[0]
     assert tot.total_files == 14 and tot.total_bytes == sum(f.size_bytes for f in files)
 
