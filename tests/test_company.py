@@ -121,3 +121,11 @@ def test_parse_rejects_counts_malformed_only(raw):
     assert r.rejected_market_cap == 1                         # 'NaN'
     assert r.rejected_ebitda == 0 and r.rejected_pe_ratio == 0  # empty fields are not rejects
     assert r.rows_with_rejects == 2
+
+
+def test_header_with_byte_order_mark(spark, tmp_path):
+    from fixtures import COMPANY_HEADER, COMPANY_ROWS
+    path = tmp_path / "bom.csv"
+    path.write_text(COMPANY_HEADER + "\n" + "\n".join(COMPANY_ROWS) + "\n", encoding="utf-8-sig")
+    rows = sources.read_company_csv(spark, str(path)).collect()
+    assert len(rows) == 13 and rows[0].Symbol == "AAA"
