@@ -53,8 +53,18 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder named by `spark.checkpoint.dir`, if the cluster sets one."""
-    sc = spark.sparkContext
+    """The shared folder named by `spark.checkpoint.dir`, if the cluster sets one (read
+    from the session conf first, so it also works where no SparkContext is exposed)."""
+    try:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001 - some session kinds refuse core confs
+        configured = None
+    if configured:
+        return configured
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext behind this session
+        return None
     return sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
 
 
