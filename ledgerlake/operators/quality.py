@@ -34,9 +34,11 @@ def metric_coverage(facts: DataFrame, k: int = S.TOP_K_PERIODS) -> DataFrame:
     return per_ticker.select("ticker", F.inline(rows))
 
 
-def coverage_from_documents(km: DataFrame, doc: str = "km") -> DataFrame:
+def coverage_from_documents(km: DataFrame, doc: str = "km",
+                            keep: tuple[str, ...] = ()) -> DataFrame:
     """Q1 straight from key-metric documents: records kept per allow-listed metric and
-    whether the metric was absent from the filing. Per row, no shuffle."""
+    whether the metric was absent from the filing. Per row, no shuffle; `keep` names
+    document-level columns carried onto the rows."""
     d = F.col(doc)
     rows = F.array(*[
         F.struct(F.lit(m).alias("metric_name"),
@@ -44,7 +46,7 @@ def coverage_from_documents(km: DataFrame, doc: str = "km") -> DataFrame:
                  d["metrics"][m].isNull().alias("missing"))
         for m in S.FACT_METRICS
     ])
-    return km.select(d["ticker"].alias("ticker"), F.inline(rows))
+    return km.select(*keep, d["ticker"].alias("ticker"), F.inline(rows))
 
 
 def key_uniqueness(relations: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:

@@ -164,6 +164,14 @@ def facts_top5_array(spark, d):
     return merged.select(*FACT_OUT, "period_rank")
 
 
+def metric_coverage_documents(spark, d):
+    """Q1 per filing document (S7 parse, W1b, then coverage): records kept and missing
+    metrics for each (ticker, document)."""
+    docs = nested.parse_documents(P.filing_documents(spark, d), S.FILING_DOC)
+    km = docs.select("doc_id", nested.key_metrics_document(F.col("doc"), F.col("ticker")).alias("km"))
+    return quality.coverage_from_documents(km, keep=("doc_id",))
+
+
 def facts_explode(spark, d):
     """N6 rebuild, K9 document shape, N5, N7, P8: top-5 facts -> key-metric JSON
     documents -> long rows again."""
@@ -292,6 +300,7 @@ QUERIES: dict[str, Query] = {
     "chart_distribution": chart_distribution,
     "chart_scatter": chart_scatter,
     "metric_coverage": metric_coverage,
+    "metric_coverage_documents": metric_coverage_documents,
     "key_uniqueness": key_uniqueness,
     "clean_counts": clean_counts,
     "parse_rejects": parse_rejects,
