@@ -42,7 +42,9 @@ def coverage_from_documents(km: DataFrame, doc: str = "km",
     d = F.col(doc)
     rows = F.array(*[
         F.struct(F.lit(m).alias("metric_name"),
-                 F.coalesce(F.size(d["metrics"][m]), F.lit(0)).cast("bigint").alias("records_found"),
+                 # size() of NULL is -1 when ANSI mode is off, so test for NULL first
+                 F.when(d["metrics"][m].isNull(), F.lit(0))
+                  .otherwise(F.size(d["metrics"][m])).cast("bigint").alias("records_found"),
                  d["metrics"][m].isNull().alias("missing"))
         for m in S.FACT_METRICS
     ])

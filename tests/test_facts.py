@@ -173,3 +173,15 @@ def test_case_pivot_equals_builtin_pivot(spark, facts):
     key = lambda r: tuple("" if v is None else str(v) for v in r)
     assert sorted(map(tuple, case_form.collect()), key=key) == \
         sorted(map(tuple, builtin.select(*case_form.columns).collect()), key=key)
+
+
+def test_coverage_without_ansi(spark, km):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        cov = {(r.ticker, r.metric_name): r.records_found
+               for r in quality.coverage_from_documents(km).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert cov[("BBB", "Assets")] == 0 and cov[("AAA", "OperatingIncomeLoss")] == 0
+    assert min(cov.values()) == 0
