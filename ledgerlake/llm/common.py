@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Rows and bytes that one Arrow batch may hold: bounds a Python worker's memory whatever
 # the length of the texts.
@@ -34,7 +37,7 @@ def bounded_batches(spark: SparkSession) -> None:
         ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES),
     ):
         try:
-            now = int(spark.conf.get(key, "0").rstrip("bB") or 0)
+            now = int(spark.conf.get(key).rstrip("bB"))
         except ValueError:
             now = 0
         if now <= 0 or now > most:
@@ -94,3 +97,26 @@ def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
+
+
+def map_texts(docs: DataFrame, carry: list[str], text_col: str, fields: str,
+              make: Callable[[], Callable[[list], list]]) -> DataFrame:
+    """Rows (doc, *fields): `doc` is a struct of the columns `carry`, so their names cannot
+    clash with results; `make()` is called once per task and gives the function from a list
+    of texts to one list per field of `fields` (a DDL string)."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    source = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("doc"),
+                         F.col(f"`{text_col}`").alias("text"))
+    results = StructType.fromDDL(fields)
+    kinds = to_arrow_schema(results)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = make()
+        for batch in batches:
+            got = f(batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *[pa.array(x, k.type) for x, k in zip(got, kinds)]],
+                names=["doc", *kinds.names])
+
+    return source.mapInArrow(work, StructType([source.schema["doc"], *results.fields]))

@@ -1,11 +1,13 @@
 """Queries of this subpackage and their DuckDB twins."""
 
+from ledgerlake.llm.decontaminate import op8_decontaminate
 from ledgerlake.llm.token_counts import op6_token_counts
 
 LLM_QUERIES = {
     f.__name__: f
     for f in (
         op6_token_counts,
+        op8_decontaminate,
     )
 }
 LLM_ORACLE: dict[str, str] = {}
