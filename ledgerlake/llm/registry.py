@@ -2,11 +2,13 @@
 
 from ledgerlake.llm.decontaminate import op8_decontaminate
 from ledgerlake.llm.token_counts import op6_token_counts
+from ledgerlake.llm.warc import op7_warc
 
 LLM_QUERIES = {
     f.__name__: f
     for f in (
         op6_token_counts,
+        op7_warc,
         op8_decontaminate,
     )
 }
