@@ -1,6 +1,7 @@
 """Queries of this subpackage and their DuckDB twins."""
 
 from ledgerlake.llm.decontaminate import op8_decontaminate
+from ledgerlake.llm.secrets import op10_secrets
 from ledgerlake.llm.token_counts import op6_token_counts
 from ledgerlake.llm.warc import op7_warc
 
@@ -10,6 +11,7 @@ LLM_QUERIES = {
         op6_token_counts,
         op7_warc,
         op8_decontaminate,
+        op10_secrets,
     )
 }
 LLM_ORACLE: dict[str, str] = {}
