@@ -1,6 +1,7 @@
 """Queries of this subpackage and their DuckDB twins."""
 
 from ledgerlake.llm.decontaminate import op8_decontaminate
+from ledgerlake.llm.mixing import op4_mixing
 from ledgerlake.llm.secrets import op10_secrets
 from ledgerlake.llm.token_counts import op6_token_counts
 from ledgerlake.llm.warc import op7_warc
@@ -8,6 +9,7 @@ from ledgerlake.llm.warc import op7_warc
 LLM_QUERIES = {
     f.__name__: f
     for f in (
+        op4_mixing,
         op6_token_counts,
         op7_warc,
         op8_decontaminate,
