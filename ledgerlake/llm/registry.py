@@ -4,11 +4,13 @@ from ledgerlake.llm.decontaminate import op8_decontaminate
 from ledgerlake.llm.mixing import op4_mixing
 from ledgerlake.llm.secrets import op10_secrets
 from ledgerlake.llm.token_counts import op6_token_counts
+from ledgerlake.llm.toxicity import op3_toxicity
 from ledgerlake.llm.warc import op7_warc
 
 LLM_QUERIES = {
     f.__name__: f
     for f in (
+        op3_toxicity,
         op4_mixing,
         op6_token_counts,
         op7_warc,
