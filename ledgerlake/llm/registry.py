@@ -2,6 +2,7 @@
 
 from ledgerlake.llm.decontaminate import op8_decontaminate
 from ledgerlake.llm.mixing import op4_mixing
+from ledgerlake.llm.near_join import op9_near_join
 from ledgerlake.llm.secrets import op10_secrets
 from ledgerlake.llm.token_counts import op6_token_counts
 from ledgerlake.llm.toxicity import op3_toxicity
@@ -15,6 +16,7 @@ LLM_QUERIES = {
         op6_token_counts,
         op7_warc,
         op8_decontaminate,
+        op9_near_join,
         op10_secrets,
     )
 }
