@@ -1,6 +1,7 @@
 """Queries of this subpackage and their DuckDB twins."""
 
 from ledgerlake.llm.decontaminate import op8_decontaminate
+from ledgerlake.llm.lattice_lm import op5_lattice_lm
 from ledgerlake.llm.mixing import op4_mixing
 from ledgerlake.llm.near_join import op9_near_join
 from ledgerlake.llm.secrets import op10_secrets
@@ -13,6 +14,7 @@ LLM_QUERIES = {
     for f in (
         op3_toxicity,
         op4_mixing,
+        op5_lattice_lm,
         op6_token_counts,
         op7_warc,
         op8_decontaminate,
