@@ -4,6 +4,7 @@ from ledgerlake.llm.decontaminate import op8_decontaminate
 from ledgerlake.llm.lattice_lm import op5_lattice_lm
 from ledgerlake.llm.mixing import op4_mixing
 from ledgerlake.llm.near_join import op9_near_join
+from ledgerlake.llm.prefix_forest import op2_prefix_forest
 from ledgerlake.llm.secrets import op10_secrets
 from ledgerlake.llm.token_counts import op6_token_counts
 from ledgerlake.llm.toxicity import op3_toxicity
@@ -12,6 +13,7 @@ from ledgerlake.llm.warc import op7_warc
 LLM_QUERIES = {
     f.__name__: f
     for f in (
+        op2_prefix_forest,
         op3_toxicity,
         op4_mixing,
         op5_lattice_lm,
