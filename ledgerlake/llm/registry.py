@@ -2,6 +2,7 @@
 
 from ledgerlake.llm.decontaminate import op8_decontaminate
 from ledgerlake.llm.lattice_lm import op5_lattice_lm
+from ledgerlake.llm.licenses import op1_licenses
 from ledgerlake.llm.mixing import op4_mixing
 from ledgerlake.llm.near_join import op9_near_join
 from ledgerlake.llm.prefix_forest import op2_prefix_forest
@@ -13,6 +14,7 @@ from ledgerlake.llm.warc import op7_warc
 LLM_QUERIES = {
     f.__name__: f
     for f in (
+        op1_licenses,
         op2_prefix_forest,
         op3_toxicity,
         op4_mixing,

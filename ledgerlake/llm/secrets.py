@@ -242,5 +242,25 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     count(3).alias("n_random"))
 
 
+def redacted(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", fdr: float = FDR) -> DataFrame:
+    """`docs` with every span of a text replaced by `mark` (overlapping ones by one); rows
+    without spans are unchanged. The texts are scanned twice: for the histogram, and again
+    for the rows, so that no text is written in between."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    least = discovery_bins(scanned(docs.select(F.col(text_col).alias("text"))).select("_candidates"), fdr)
+    d = with_spans(scanned(docs.select(whole, F.col(text_col).alias("text"))), least)
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc, span):
+        gap = F.substring(F.col("text"), acc["at"] + 1, span["start"] - acc["at"])
+        return F.when(span["start"] >= acc["at"], F.struct(
+            span["end"].alias("at"), F.concat(acc["out"], gap, F.lit(mark)).alias("out"))).otherwise(
+            F.struct(F.greatest(acc["at"], span["end"]).alias("at"), acc["out"].alias("out")))
+
+    clean = F.aggregate("_spans", start, step, lambda acc: F.concat(
+        acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
+    return d.select(F.when(F.size("_spans") > 0, F.col("_doc").withField(text_col, clean)).otherwise(F.col("_doc")).alias("_doc")).select("_doc.*")
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(common.table(spark, sf_dir, "documents"))
