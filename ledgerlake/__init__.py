@@ -1,8 +1,7 @@
 """ledgerlake: company-financials analytics on Spark DataFrames.
 
 Sources (`sources`), operators (`operators`), column functions (`functions`),
-composite jobs and registered queries (`plans`), sinks (`sinks`) and incremental
-landing (`streaming`). Library functions take and return DataFrames; none creates a
+composite jobs and registered queries (`plans`) and sinks (`sinks`). Library functions take and return DataFrames; none creates a
 session or collects data to the driver.
 """
 

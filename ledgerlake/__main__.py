@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators import quality
 from ledgerlake.plans import jobs
-from ledgerlake.session import apply_defaults
-from ledgerlake.streaming.extraction import extract_new_filings
+from ledgerlake.session import apply_defaults, input_bytes, size_shuffles
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -35,17 +34,13 @@ def _parser() -> argparse.ArgumentParser:
     s = sub.add_parser("extract-facts", help="G3: filing JSON -> key-metric JSON Lines")
     s.add_argument("--filings", required=True)
     s.add_argument("--out", required=True)
-    s.add_argument("--incremental", action="store_true",
-                   help="process only filings not seen before (Structured Streaming)")
-    s.add_argument("--checkpoint", default=None,
-                   help="shared checkpoint folder (default: under spark.checkpoint.dir)")
 
     s = sub.add_parser("load-raw", help="G4: load the three raw tables (full refresh)")
     s.add_argument("--csv", required=True)
     s.add_argument("--api", required=True)
-    s.add_argument("--facts", required=True, help="key-metric documents")
-    s.add_argument("--facts-json-lines", action="store_true",
-                   help="the facts folder holds JSON Lines written by extract-facts")
+    s.add_argument("--facts", required=True,
+                   help="key-metric documents: files of one each, or what extract-facts wrote")
+    s.add_argument("--lenient", action="store_true", help="skip corrupt documents instead of failing")
 
     s = sub.add_parser("build-mart", help="G5: staging views and the mart")
     s.add_argument("--out", default=None)
@@ -65,25 +60,27 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
-def _rows(df, limit: int = 50) -> list[dict]:
-    """A bounded sample of a small report for the console (reports are aggregates)."""
-    return [r.asDict(recursive=True) for r in df.limit(limit).collect()]
+def _rows(df) -> list[dict]:
+    """All rows of a report whose size does not depend on the data (a row per table)."""
+    return [r.asDict(recursive=True) for r in df.collect()]
+
+
+def _sample(df, n: int = 20) -> dict:
+    """A report that grows with its groups: its row count, and named as such a sample."""
+    return {"rows": df.count(), "sample": [r.asDict(recursive=True) for r in df.limit(n).collect()]}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
     args = _parser().parse_args(argv)
     spark = apply_defaults(spark or SparkSession.builder.appName("ledgerlake").getOrCreate())
+    paths = [getattr(args, k, None) for k in ("csv", "api", "filings", "facts")]
+    size_shuffles(spark, input_bytes(spark, *[p for p in paths if p]))
     out: dict = {"job": args.job}
     if args.job == "company-etl":
         summary, counts = jobs.company_etl(spark, args.csv, args.out)
-        out.update(counts=counts, sector_summary=_rows(summary))
+        out.update(counts=counts, sector_summary=_sample(summary))
     elif args.job == "company-etl-normalised":
         out.update(counts=jobs.company_etl_normalised(spark, args.csv, args.out))
-    elif args.job == "extract-facts" and args.incremental:
-        query = extract_new_filings(spark, args.filings, args.out, checkpoint=args.checkpoint)
-        query.awaitTermination()
-        progress = query.lastProgress or {}
-        out.update(rows_written=progress.get("numInputRows"), batch=progress.get("batchId"))
     elif args.job == "extract-facts":
         cov = jobs.facts_extraction(spark, args.filings, args.out)
         out.update(coverage=_rows(cov.agg(
@@ -91,9 +88,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
             F.count_if("missing").alias("missing_metric_pairs"),
             F.sum("records_found").alias("records_kept"))))
     elif args.job == "load-raw":
-        glob, multi = ("*.json", False) if args.facts_json_lines else ("*_sec_facts.json", True)
         out.update(tables=_rows(jobs.raw_table_load(spark, args.csv, args.api, args.facts,
-                                                    sec_glob=glob, sec_multi_line=multi)))
+                                                    strict=not args.lenient)))
     elif args.job == "build-mart":
         m = jobs.build_mart(spark, args.out)
         out.update(written=args.out, columns=m.columns)

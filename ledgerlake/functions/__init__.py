@@ -1,10 +1,10 @@
-from ledgerlake.functions.names import normalise_header, normalise_headers, rename
+from ledgerlake.functions.names import normalise_header
 from ledgerlake.functions.numeric import (
     avg_2dp,
     cents,
     complete_flag,
+    finite,
     from_cents,
-    nan_to_null,
     parse_double,
     pct,
     safe_bigint,
@@ -14,7 +14,6 @@ from ledgerlake.functions.numeric import (
 )
 
 __all__ = [
-    "avg_2dp", "cents", "complete_flag", "from_cents", "nan_to_null", "normalise_header",
-    "normalise_headers", "parse_double", "pct", "rename", "safe_bigint", "size_class",
-    "sum_2dp", "year_of",
+    "avg_2dp", "cents", "complete_flag", "finite", "from_cents", "normalise_header",
+    "parse_double", "pct", "safe_bigint", "size_class", "sum_2dp", "year_of",
 ]

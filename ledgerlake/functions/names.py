@@ -2,19 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-
 
 def normalise_header(name: str) -> str:
     """Lower-case, `/` -> `_per_`, space -> `_` (idempotent)."""
     return name.lower().replace("/", "_per_").replace(" ", "_")
-
-
-def normalise_headers(df: DataFrame) -> DataFrame:
-    return df.toDF(*[normalise_header(c) for c in df.columns])
-
-
-def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    """Rename the columns named in `mapping`; others are kept."""
-    present = {k: v for k, v in mapping.items() if k in df.columns}
-    return df.withColumnsRenamed(present)

@@ -4,9 +4,10 @@ All of them are built-in Catalyst expressions (no Python UDF), so they stay insi
 whole-stage codegen and are ANSI-safe: a bad number or a zero divisor gives NULL,
 never a task failure.
 
-Rounding contract: ratios are computed on exact decimals and rounded half away from
-zero to two places, then returned as double. Money and ratio inputs are quantised to
-cents first, so sums are integer sums and give the same answer in any partitioning.
+Rounding contract: ratios are computed in whole decimals and rounded half away from zero
+to two places, then returned as double. Money and ratio inputs are quantised to cents
+first (decimals, not 64-bit integers), so sums are exact, give the same answer in any
+partitioning, and neither overflow nor fail; an amount beyond 25 digits is NULL.
 """
 
 from __future__ import annotations
@@ -16,22 +17,24 @@ from pyspark.sql import functions as F
 
 from ledgerlake import schemas as S
 
-_EXACT = "decimal(20,0)"
+_CENTS = "decimal(28,0)"
+_WIDE = "decimal(33,0)"
 
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def nan_to_null(col) -> Column:
-    """NaN -> NULL (Spark orders NaN above every number, so `NaN > 0` would be true)."""
+def finite(col) -> Column:
+    """NaN and infinities -> NULL (Spark orders NaN above every number, and an infinite
+    amount has no cents)."""
     c = _c(col)
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
+    return F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), c)
 
 
 def parse_double(col) -> Column:
-    """Text -> double; malformed text and NaN become NULL."""
-    return nan_to_null(F.trim(_c(col)).try_cast("double"))
+    """Text -> double; malformed text, NaN and infinities (also by overflow) become NULL."""
+    return finite(F.trim(_c(col)).try_cast("double"))
 
 
 def safe_bigint(col, sentinel: str = S.NONE_SENTINEL) -> Column:
@@ -45,8 +48,9 @@ def year_of(col) -> Column:
 
 
 def cents(col) -> Column:
-    """Money/ratio double -> integer hundredths (half away from zero)."""
-    return F.round(_c(col) * F.lit(100.0)).cast("bigint")
+    """Money/ratio double -> whole hundredths (half away from zero) as a decimal; NULL
+    beyond 25 digits of whole units."""
+    return (_c(col).try_cast("decimal(27,2)") * F.lit(100)).cast(_CENTS)
 
 
 def from_cents(col) -> Column:
@@ -54,23 +58,27 @@ def from_cents(col) -> Column:
 
 
 def pct(numerator, denominator) -> Column:
-    """round(n / d * 100, 2) on exact decimals; NULL when d is 0 or NULL.
+    """round(n / d * 100, 2), half away from zero, on whole decimals; NULL when d is 0 or
+    NULL, and when an operand has more than 33 digits.
 
-    Operands are integral (amounts, or cents of money values); the quotient is a
-    decimal(38,18), so the half-cent decision is exact for every realistic operand.
+    Operands are integral (amounts, or cents of money values). The hundredths of a percent
+    are an integer division with the half added, so there is no intermediate rounding.
     """
-    n = _c(numerator).cast(_EXACT)
-    d = F.nullif(_c(denominator).cast(_EXACT), F.lit(0).cast(_EXACT))
-    return F.round(n / d * F.lit(100), 2).cast("double")
+    n = _c(numerator).try_cast(_WIDE)
+    d = F.nullif(_c(denominator).try_cast(_WIDE), F.lit(0).cast(_WIDE))
+    twice = F.lit(2) * F.abs(d)
+    top = F.try_add(F.try_multiply(F.abs(n), F.lit(20000)), F.abs(d))
+    whole = F.try_divide(top - top % twice, twice)
+    return F.when((n < 0) != (d < 0), -whole).otherwise(whole).cast("double") / F.lit(100.0)
 
 
 def avg_2dp(col) -> Column:
     """Average of a cent-precision column, rounded to 2 places, exact and order-free.
 
-    Aggregate expression: integer sum of cents divided by count of non-NULL values.
+    Aggregate expression: decimal sum of cents divided by count of non-NULL values.
     """
-    c = _c(col)
-    return pct(F.sum(cents(c)), F.count(c) * F.lit(10000))
+    c = cents(col)
+    return pct(F.try_sum(c), F.count(c) * F.lit(10000))
 
 
 def size_class(market_cap) -> Column:

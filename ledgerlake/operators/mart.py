@@ -1,10 +1,10 @@
 """The wide mart: statements x facts (J1), ratios (X6-X10, F8), x companies.
 
-Both joins are LEFT equi-joins with no hint. Spark picks the strategy from sizes it
-knows: AQE turns a join into a broadcast only when the measured shuffle output of a
-side is under `spark.sql.adaptive.autoBroadcastJoinThreshold`, so nothing that grows
-with the data is broadcast on a guess; otherwise it stays sort-merge, and AQE splits a
-skewed (hot-ticker) partition.
+Both joins are LEFT equi-joins on column names with no hint. The planner broadcasts a side
+whose estimated size is below `spark.sql.autoBroadcastJoinThreshold` (an estimate from file
+sizes, which compressed files can undercut); AQE replans with measured sizes, and splits a
+skewed (hot-ticker) partition of a sort-merge join. Deployments that cannot trust the
+estimate set that threshold to -1 and keep the adaptive one.
 """
 
 from __future__ import annotations
@@ -33,26 +33,21 @@ MART_COLUMNS = [
 ]
 
 
+# O2. A tie (a company listed twice) is broken by name, so that exports agree.
+MART_ORDER = [F.col("ticker").asc_nulls_last(), F.col("fiscal_year").desc_nulls_first(),
+              F.col("company_name").asc_nulls_last()]
+
+
 def combine(income: DataFrame, sec: DataFrame) -> DataFrame:
     """J1 + P9: statements LEFT JOIN pivoted facts on (ticker, fiscal_year)."""
-    i, s = income.alias("i"), sec.alias("s")
-    j = i.join(s, (F.col("i.ticker") == F.col("s.ticker"))
-               & (F.col("i.fiscal_year") == F.col("s.fiscal_year")), "left")
-    return j.select(
-        F.col("i.ticker").alias("ticker"),
-        F.col("i.fiscal_year").alias("fiscal_year"),
-        F.col("i.total_revenue").alias("total_revenue"),
-        F.col("i.gross_profit").alias("gross_profit"),
-        F.col("i.net_income").alias("api_net_income"),
-        F.col("i.ebitda").alias("api_ebitda"),
-        F.col("i.operating_income").alias("api_operating_income"),
-        F.col("i.rd_expense").alias("rd_expense"),
-        F.col("s.net_income").alias("sec_net_income"),
-        F.col("s.total_assets").alias("total_assets"),
-        F.col("s.total_liabilities").alias("total_liabilities"),
-        F.col("s.stockholders_equity").alias("stockholders_equity"),
-        F.col("s.revenue").alias("sec_revenue"),
-    )
+    reported = income.withColumnsRenamed(
+        {"net_income": "api_net_income", "ebitda": "api_ebitda", "operating_income": "api_operating_income"})
+    filed = sec.withColumnsRenamed({"net_income": "sec_net_income", "revenue": "sec_revenue"})
+    filed = filed.select("ticker", "fiscal_year", *[c for c in COMBINED_COLUMNS if c in filed.columns
+                                                    and c not in ("ticker", "fiscal_year")])
+    own = [c for c in COMBINED_COLUMNS if c not in filed.columns or c in ("ticker", "fiscal_year")]
+    # The statements' own equity is not part of the mart: the filed one is.
+    return reported.select(*own).join(filed, ["ticker", "fiscal_year"], "left").select(*COMBINED_COLUMNS)
 
 
 def ratios(combined: DataFrame) -> DataFrame:
@@ -78,14 +73,10 @@ def mart_financials(ratio_rows: DataFrame, companies: DataFrame, ordered: bool =
     The company side is not de-duplicated: a ticker listed twice yields two rows.
     `ordered` gives `ticker ASC NULLS LAST, fiscal_year DESC NULLS FIRST`.
     """
-    r, k = ratio_rows.alias("r"), companies.alias("k")
-    j = r.join(k, F.col("r.ticker") == F.col("k.ticker"), "left")
-    company_cols = {"company_name", "sector", "stock_price", "market_cap", "pe_ratio",
-                    "ps_ratio", "pb_ratio", "eps", "week_52_low", "week_52_high"}
-    out = j.select(*[F.col(f"k.{c}" if c in company_cols else f"r.{c}").alias(c)
-                     for c in MART_COLUMNS])
+    wanted = ["ticker", *[c for c in MART_COLUMNS if c not in ratio_rows.columns]]
+    out = ratio_rows.join(companies.select(*wanted), "ticker", "left").select(*MART_COLUMNS)
     if ordered:
-        out = out.orderBy(F.col("ticker").asc_nulls_last(), F.col("fiscal_year").desc_nulls_first())
+        out = out.orderBy(*MART_ORDER)
     return out
 
 

@@ -15,9 +15,27 @@ from pyspark.sql import functions as F
 from ledgerlake import schemas as S
 
 
-def parse_documents(landed: DataFrame, schema, body: str = "body", alias: str = "doc") -> DataFrame:
-    """Text documents -> typed struct column `alias` (malformed text -> NULL struct)."""
-    return landed.select("*", F.from_json(F.col(body), schema).alias(alias))
+def parse_documents(landed: DataFrame, schema, body: str = "body", alias: str = "doc",
+                    strict: bool = False) -> DataFrame:
+    """Text documents -> typed struct column `alias` and its `status`.
+
+    `status` is `ok`, `empty` (no text) or `corrupt` (no complete JSON); other than `ok`
+    gives a NULL struct, so half a document never passes for a whole one, and
+    `quality.document_rejects` counts them. With `strict` a corrupt document fails the job.
+    A single value of the wrong type is no corruption: it is NULL and the rest is kept.
+    """
+    text = F.col(body)
+    parsed = landed.select("*", F.from_json(
+        text, S.with_corrupt(schema), {"columnNameOfCorruptRecord": S.CORRUPT}).alias("_parsed"))
+    # Only what the parser complained about is checked as a whole.
+    bad = F.col("_parsed")[S.CORRUPT].isNotNull() & F.try_parse_json(text).isNull()
+    if strict:
+        bad = F.when(bad, F.raise_error(F.concat(F.lit("corrupt document: "), F.left(text, F.lit(80)))).cast("boolean")).otherwise(bad)
+    status = (F.when(text.isNull() | (F.trim(text) == ""), F.lit("empty"))
+              .when(bad, F.lit("corrupt")).otherwise(F.lit("ok")))
+    return (parsed.withColumn("status", status)
+            .withColumn(alias, F.when(F.col("status") == "ok", F.col("_parsed").dropFields(S.CORRUPT)))
+            .drop("_parsed"))
 
 
 def ticker_from_file(file_name: Column, suffix: str) -> Column:
@@ -31,17 +49,25 @@ def ticker_from_file(file_name: Column, suffix: str) -> Column:
 # ---------------------------------------------------------------------------
 
 def explode_statements(docs: DataFrame, fields: list[str], doc: str = "doc",
-                       keep: tuple[str, ...] = ()) -> DataFrame:
+                       keep: tuple[str, ...] = (), others: bool = False) -> DataFrame:
     """`{symbol, annualReports:[...]}` -> one row per report with the parent ticker.
 
     A missing or empty report list yields no rows; a missing `symbol` gives a NULL
     ticker (the source would give '', which then slips past NOT NULL filters). `keep`
-    names document-level columns (e.g. `kind`) carried onto every report row.
+    names document-level columns (e.g. `kind`) carried onto every report row. With
+    `others` the keys beside `fields` are kept in `other_fields`, a JSON object with sorted
+    keys: documents may differ in their keys, and a table needs columns known beforehand.
     """
     d = F.col(doc)
     rows = docs.select(*keep, F.nullif(F.trim(d["symbol"]), F.lit("")).alias("ticker"),
                        F.explode(d["annualReports"]).alias("r"))
-    return rows.select(*keep, "ticker", *[F.col("r")[f].alias(f) for f in fields])
+    r = F.col("r")
+    out = [r[f].alias(f) for f in fields]
+    if others:
+        known = F.array(*[F.lit(f) for f in fields])
+        rest = F.filter(F.array_sort(F.map_entries(r)), lambda e: ~F.array_contains(known, e["key"]))
+        out.append(F.to_json(F.map_from_entries(rest)).alias("other_fields"))
+    return rows.select(*keep, "ticker", *out)
 
 
 def union_statements(frames: dict[str, DataFrame]) -> DataFrame:
@@ -53,6 +79,15 @@ def union_statements(frames: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def stack_kinds(df: DataFrame, kinds: dict[str, dict[str, Column]], fields: list[str]) -> DataFrame:
+    """U1 for kinds that are computed from the same rows: one pass, each row unfolds into
+    one row per kind over the union `fields`; a field that a kind lacks is NULL."""
+    none = F.lit(None).cast("string")
+    return df.select(F.inline(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), *[columns.get(f, none).alias(f) for f in fields])
+        for kind, columns in kinds.items()])))
+
+
 # ---------------------------------------------------------------------------
 # Key metrics from one filing document
 # ---------------------------------------------------------------------------
@@ -62,6 +97,10 @@ def metric_values(doc: Column, metric: str) -> Column:
     return doc["facts"][S.TAXONOMY][metric]["units"][S.UNIT]
 
 
+def has_metric(doc: Column, metric: str) -> Column:
+    return F.coalesce(doc["facts"][S.TAXONOMY][metric].isNotNull(), F.lit(False))
+
+
 def latest_annual_in_array(values: Column, k: int = S.TOP_K_PERIODS) -> Column:
     """N2 + N3: keep annual entries, order by period end descending, first k.
 
@@ -80,31 +119,33 @@ def latest_annual_in_array(values: Column, k: int = S.TOP_K_PERIODS) -> Column:
 def key_metrics_document(doc: Column, ticker: Column, k: int = S.TOP_K_PERIODS) -> Column:
     """D3 document -> D4 `{ticker, company_name, metrics}`.
 
-    `map_filter` keeps the allow-listed metrics of the taxonomy (F7) and
-    `transform_values` cuts each one's USD list (F9, N2, N3), so the array work runs
-    only on metrics the document has. A metric absent from the document is absent
-    from `metrics`; a metric present with no annual USD values maps to an empty list.
+    The document schema holds the allow-listed metrics only (F7) and their USD list (F9),
+    which is cut per metric (N2, N3). A metric absent from the document is absent from
+    `metrics`; a metric present with no annual USD values maps to an empty list. Facts keep
+    all keys of the filing.
     """
-    wanted = F.array(*[F.lit(m) for m in S.FACT_METRICS])
-    taxonomy = F.coalesce(doc["facts"][S.TAXONOMY],
-                          F.create_map().cast(S.FILING_DOC["facts"].dataType.valueType))
-    kept = F.map_filter(taxonomy, lambda name, _: F.array_contains(wanted, name))
-    metrics = F.transform_values(
-        kept, lambda _, v: latest_annual_in_array(v["units"][S.UNIT], k))
+    entries = F.array(*[
+        F.struct(F.lit(m).alias("key"),
+                 latest_annual_in_array(metric_values(doc, m), k).alias("value"),
+                 has_metric(doc, m).alias("present"))
+        for m in S.FACT_METRICS])
+    present = F.transform(F.filter(entries, lambda e: e["present"]),
+                          lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
     return F.struct(ticker.alias("ticker"),
                     F.coalesce(doc["entityName"], F.lit("")).alias("company_name"),
-                    metrics.alias("metrics"))
+                    F.map_from_entries(present).alias("metrics"))
 
 
 # ---------------------------------------------------------------------------
 # Key-metric documents -> long facts
 # ---------------------------------------------------------------------------
 
-def explode_key_metrics(docs: DataFrame, doc: str = "km", keep: tuple[str, ...] = ()) -> DataFrame:
+def explode_key_metrics(docs: DataFrame, doc: str = "km", keep: tuple[str, ...] = (),
+                        more: tuple[str, ...] = ()) -> DataFrame:
     """D4 -> D5 rows: explode the metric map, then each metric's list.
 
     `pos` is the position in the list, kept so later ordering can honour it; `keep`
-    names document-level columns carried onto every row.
+    names document-level columns carried onto every row, `more` further keys of the facts.
     """
     d = F.col(doc)
     per_metric = docs.select(
@@ -120,7 +161,7 @@ def explode_key_metrics(docs: DataFrame, doc: str = "km", keep: tuple[str, ...]
         F.col("v.val").alias("value"),
         F.coalesce(F.col("v.form"), F.lit("")).alias("form"),
         F.lit(S.DEFAULT_CURRENCY).alias("currency"),
-        "pos",
+        "pos", *[F.col("v")[m].alias(m) for m in more],
     )
 
 
@@ -132,10 +173,11 @@ def key_metric_documents(selected: DataFrame, rank_col: str = "period_rank") ->
     """Long facts already cut to k per (ticker, metric) -> one D4 struct per ticker.
 
     Input groups are bounded by the top-k cut (k per metric, six metrics), so the
-    collected lists are bounded too.
+    collected lists are bounded too. Fact keys that the rows have are kept.
     """
-    fact = F.struct(F.col("period_end").alias("end"), F.col("value").alias("val"),
-                    F.col("form").alias("form"))
+    columns = {"end": "period_end", "val": "value"}
+    fact = F.struct(*[F.col(columns.get(k, k)).alias(k) for k in S.FACT_KEYS
+                      if columns.get(k, k) in selected.columns])
     per_metric = selected.groupBy("ticker", "company_name", "metric_name").agg(
         F.sort_array(F.collect_list(F.struct(F.col(rank_col).alias("r"), fact.alias("f"))))
          .alias("xs"))

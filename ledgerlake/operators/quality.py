@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake import schemas as S
+from ledgerlake.operators import nested
 
 
 def metric_coverage(facts: DataFrame, k: int = S.TOP_K_PERIODS) -> DataFrame:
@@ -51,20 +52,49 @@ def coverage_from_documents(km: DataFrame, doc: str = "km",
     return km.select(*keep, d["ticker"].alias("ticker"), F.inline(rows))
 
 
+def coverage_from_filings(docs: DataFrame, doc: str = "doc", ticker: str = "ticker",
+                          k: int = S.TOP_K_PERIODS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Q1 straight from filing documents, without cutting their lists: annual records kept
+    (at most k) per allow-listed metric, and whether the filing lacks it. Per row."""
+    d = F.col(doc)
+    rows = F.array(*[
+        F.struct(F.lit(m).alias("metric_name"),
+                 F.least(F.size(F.filter(F.coalesce(nested.metric_values(d, m), F.array().cast(S.FACT_LIST)),
+                                         lambda x: x["form"] == F.lit(S.ANNUAL_FORM))), F.lit(k))
+                  .cast("bigint").alias("records_found"),
+                 (~nested.has_metric(d, m)).alias("missing"))
+        for m in S.FACT_METRICS
+    ])
+    return docs.filter(d.isNotNull()).select(*keep, F.col(ticker).alias("ticker"), F.inline(rows))
+
+
+def document_rejects(docs: DataFrame, doc: str = "doc") -> DataFrame:
+    """S8 + Q3: how many documents came in by status: `ok`, `corrupt`, `empty` (no text or
+    `{}`), `without_facts` (kept, but yields nothing). `docs` as `parse_documents` of filing
+    documents gives them."""
+    d = F.col(doc)
+    status = (F.when(F.col("status") != "ok", F.col("status"))
+              .when(d["entityName"].isNull() & d["facts"].isNull(), F.lit("empty"))
+              .when(d["facts"].isNull(), F.lit("without_facts")).otherwise(F.lit("ok")))
+    return docs.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n_documents"))
+
+
 def key_uniqueness(relations: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     """Q2: for each relation and key, rows, distinct keys, keys seen more than once and
-    the largest multiplicity. Two-level aggregate, partial on both levels."""
-    out = None
+    the largest multiplicity. All relations go through one two-level aggregate, partial on
+    both levels; a relation without rows has no row in the report."""
+    keyed = None
     for name, (df, keys) in relations.items():
-        per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        summary = per_key.agg(
-            F.sum("n").alias("row_count"),
-            F.count(F.lit(1)).alias("distinct_keys"),
-            F.count_if(F.col("n") > 1).alias("duplicate_keys"),
-            F.max("n").alias("max_rows_per_key"),
-        ).select(F.lit(name).alias("relation"), F.lit(",".join(keys)).alias("key_columns"), "*")
-        out = summary if out is None else out.unionByName(summary)
-    return out
+        part = df.select(F.lit(name).alias("relation"), F.lit(",".join(keys)).alias("key_columns"),
+                         F.array(*[F.col(k).cast("string") for k in keys]).alias("key"))
+        keyed = part if keyed is None else keyed.unionByName(part)
+    per_key = keyed.groupBy("relation", "key_columns", "key").agg(F.count(F.lit(1)).alias("n"))
+    return per_key.groupBy("relation", "key_columns").agg(
+        F.sum("n").alias("row_count"),
+        F.count(F.lit(1)).alias("distinct_keys"),
+        F.count_if(F.col("n") > 1).alias("duplicate_keys"),
+        F.max("n").alias("max_rows_per_key"),
+    )
 
 
 def clean_counts(typed: DataFrame, required: list[str] | None = None,

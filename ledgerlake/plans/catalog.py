@@ -1,16 +1,14 @@
 """Registered queries: each takes (spark, sf_dir) and returns a DataFrame.
 
 Every query shapes the test tables through `proxies` and then runs the same library
-operators a user runs on the real sources. The staging relations are defined once per
-session and data folder, as the source system defines its staging views once; what is
-kept is the DataFrame plan, never data. Keys follow SURVEY section 7.4; the
+operators a user runs on the real sources. Nothing is kept between calls: each call lists
+its tables anew. Keys follow SURVEY section 7.4; the
 operator IDs each one covers are in its docstring.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,13 +26,11 @@ TIE_BREAK = ["doc_id", "line_no", "value"]
 
 # -- company side -----------------------------------------------------------
 
-@lru_cache(maxsize=32)
 def company_clean(spark, d):
     """P1, P3, F1, F2 (M2 malformed price, M4/M5 NaN cap, M18)."""
     return clean.company_clean(P.raw_companies(spark, d))
 
 
-@lru_cache(maxsize=32)
 def company_metrics(spark, d):
     """X1-X5 (M1 zero divisors, M3 rounding)."""
     return metrics.company_metrics(company_clean(spark, d))
@@ -50,12 +46,10 @@ def sector_summary(spark, d):
     return reports.sector_summary(company_metrics(spark, d))
 
 
-@lru_cache(maxsize=32)
 def raw_financials(spark, d):
     return clean.raw_financials(P.raw_companies(spark, d))
 
 
-@lru_cache(maxsize=32)
 def stg_financials(spark, d):
     """P2, P4, F3, X11 (M4)."""
     return staging.stg_financials(raw_financials(spark, d))
@@ -93,7 +87,6 @@ def parse_rejects(spark, d):
 
 # -- statements -------------------------------------------------------------
 
-@lru_cache(maxsize=32)
 def stg_income_statements(spark, d):
     """P5, P6, F4, X12-X14."""
     return staging.stg_income_statements(P.raw_income_statements(spark, d))
@@ -101,28 +94,26 @@ def stg_income_statements(spark, d):
 
 def statements_explode(spark, d):
     """S4 parse, N4, P7: JSON statement documents -> report rows."""
-    docs = nested.parse_documents(P.income_documents(spark, d), S.INCOME_DOC)
+    docs = nested.parse_documents(P.income_documents(spark, d), S.STATEMENT_DOC)
     return nested.explode_statements(docs, S.INCOME_REPORT_FIELDS)
 
 
+def statements_all_keys(spark, d):
+    """Report rows with every key of the documents, named or not."""
+    docs = nested.parse_documents(P.income_documents(spark, d), S.STATEMENT_DOC)
+    return nested.explode_statements(docs, S.INCOME_REPORT_FIELDS, others=True)
+
+
 def statements_union(spark, d):
-    """The three statement kinds over the union of their fields."""
-    return nested.union_statements({
-        "income_statement": P.raw_income_statements(spark, d),
-        "balance_sheet": P.raw_balance_sheets(spark, d),
-        "cash_flow": P.raw_cash_flows(spark, d),
-    })
+    """The three statement kinds over the union of their fields, in one pass."""
+    return P.statement_rows(spark, d)
 
 
 def statements_union_docs(spark, d):
     """S5 + U1 from documents: the three statement kinds as JSON files, parsed in one
-    pass with the union schema, `kind` from the file name, then exploded."""
-    docs = None
-    for kind in S.STATEMENT_KINDS:
-        part = P.statement_documents(spark, d, kind)
-        docs = part if docs is None else docs.unionByName(part)
+    pass, `kind` from the file name, then exploded over the union of their fields."""
     kinds = "|".join(S.STATEMENT_KINDS)
-    parsed = nested.parse_documents(docs, S.ANY_STATEMENT_DOC).select(
+    parsed = nested.parse_documents(P.statement_documents(spark, d), S.STATEMENT_DOC).select(
         F.regexp_extract("file_name", rf"_({kinds})\.json$", 1).alias("kind"), "doc")
     return nested.explode_statements(parsed, S.ALL_REPORT_FIELDS, keep=("kind",))
 
@@ -153,23 +144,44 @@ def facts_top5_distinct_period(spark, d):
     return _top5(spark, d, distinct_period=True).select(*FACT_OUT, "period_rank")
 
 
+def _key_metrics(spark, d):
+    docs = nested.parse_documents(P.filing_documents(spark, d), S.FILING_DOC)
+    return docs.select("doc_id", nested.key_metrics_document(F.col("doc"), F.col("ticker")).alias("km"))
+
+
+def _merged_top5(rows):
+    return topk.top_k(rows, ["ticker", "metric_name"], topk.period_order(["doc_id", "pos"]),
+                      S.TOP_K_PERIODS, "period_rank")
+
+
 def facts_top5_array(spark, d):
     """S7 parse, N1-N3, F6, F7, F9, W1b, N5: per-document top 5 inside the arrays,
     then the exact merge of the per-document winners with W1."""
-    docs = nested.parse_documents(P.filing_documents(spark, d), S.FILING_DOC)
-    km = docs.select("doc_id", nested.key_metrics_document(F.col("doc"), F.col("ticker")).alias("km"))
-    rows = nested.explode_key_metrics(km, keep=("doc_id",))
-    merged = topk.top_k(rows, ["ticker", "metric_name"], topk.period_order(["doc_id", "pos"]),
-                        S.TOP_K_PERIODS, "period_rank")
-    return merged.select(*FACT_OUT, "period_rank")
+    rows = nested.explode_key_metrics(_key_metrics(spark, d), keep=("doc_id",))
+    return _merged_top5(rows).select(*FACT_OUT, "period_rank")
+
+
+def facts_explode_full(spark, d):
+    """K9 shape and S6 parse with all keys of the facts: key-metric documents as JSON text
+    and back, then W1 over their rows."""
+    landed = _key_metrics(spark, d).select("doc_id", F.to_json("km").alias("body"))
+    parsed = nested.parse_documents(landed, S.KEY_METRICS_DOC, alias="km")
+    more = ("fy", "fp", "filed", "accn")
+    rows = nested.explode_key_metrics(parsed, keep=("doc_id",), more=more)
+    return _merged_top5(rows).select(*FACT_OUT, *more, "period_rank")
 
 
 def metric_coverage_documents(spark, d):
-    """Q1 per filing document (S7 parse, W1b, then coverage): records kept and missing
-    metrics for each (ticker, document)."""
+    """Q1 per filing document (S7 parse, then counts in the arrays): records kept and
+    missing metrics for each (ticker, document)."""
     docs = nested.parse_documents(P.filing_documents(spark, d), S.FILING_DOC)
-    km = docs.select("doc_id", nested.key_metrics_document(F.col("doc"), F.col("ticker")).alias("km"))
-    return quality.coverage_from_documents(km, keep=("doc_id",))
+    return quality.coverage_from_filings(docs, keep=("doc_id",))
+
+
+def document_rejects(spark, d):
+    """Filing documents by status; some came in damaged."""
+    docs = P.damaged_filing_documents(spark, d)
+    return quality.document_rejects(nested.parse_documents(docs, S.FILING_DOC))
 
 
 def facts_explode(spark, d):
@@ -181,7 +193,6 @@ def facts_explode(spark, d):
     return nested.explode_key_metrics(parsed).select(*FACT_OUT, "currency")
 
 
-@lru_cache(maxsize=32)
 def stg_sec_facts(spark, d):
     """F5, X13, A2."""
     return staging.stg_sec_facts(P.raw_sec_facts(spark, d, with_order=False))
@@ -263,16 +274,6 @@ def json_props(spark, d):
     )
 
 
-def lake_inventory(spark, d):
-    """A4, X17 (per file; rows-only check)."""
-    return quality.lake_files(spark, d, "*.parquet")
-
-
-def lake_totals(spark, d):
-    """A4 totals (rows-only check)."""
-    return quality.lake_totals(quality.lake_files(spark, d, "*.parquet"))
-
-
 QUERIES: dict[str, Query] = {
     "company_clean": company_clean,
     "company_metrics": company_metrics,
@@ -281,6 +282,7 @@ QUERIES: dict[str, Query] = {
     "stg_financials": stg_financials,
     "stg_income_statements": stg_income_statements,
     "statements_explode": statements_explode,
+    "statements_all_keys": statements_all_keys,
     "statements_union": statements_union,
     "statements_union_docs": statements_union_docs,
     "facts_annual": facts_annual,
@@ -288,6 +290,8 @@ QUERIES: dict[str, Query] = {
     "facts_top5_distinct_period": facts_top5_distinct_period,
     "facts_top5_array": facts_top5_array,
     "facts_explode": facts_explode,
+    "facts_explode_full": facts_explode_full,
+    "document_rejects": document_rejects,
     "stg_sec_facts": stg_sec_facts,
     "stg_sec_facts_ordered": stg_sec_facts_ordered,
     "mart_combined": mart_combined,
@@ -306,6 +310,4 @@ QUERIES: dict[str, Query] = {
     "parse_rejects": parse_rejects,
     "table_counts": table_counts,
     "json_props": json_props,
-    "lake_inventory": lake_inventory,
-    "lake_totals": lake_totals,
 }

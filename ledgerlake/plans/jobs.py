@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,7 +81,7 @@ def facts_extraction(spark: SparkSession, filings_dir: str, out_dir: str,
     filings = sources.usable_filings(sources.read_filings(spark, filings_dir))
     km = filings.select(nested.key_metrics_document(F.col("doc"), F.col("ticker"), k).alias("km"))
     sinks.write_key_metric_docs(km, out_dir)
-    written = sources.read_key_metrics(spark, out_dir, glob="*.json", multi_line=False)
+    written = sources.read_key_metrics(spark, out_dir)
     return quality.coverage_from_documents(written)
 
 
@@ -92,12 +91,12 @@ def facts_extraction_from_landed(spark: SparkSession, landed_path: str, out_dir:
     """G3 from the raw zone: filing bodies landed as Parquet rows (K7) are parsed per row
     with `from_json`, so many or very large filings parse in parallel across rows
     instead of one multi-line file scan per task; the rest is as `facts_extraction`."""
-    landed = sources.read_landed(spark, landed_path, source, S.FILING_DOC)
+    landed = sources.read_landed(spark, landed_path, source, S.FILING_DOC, suffix=suffix)
     filings = sources.usable_filings(landed.select(
         nested.ticker_from_file(F.col("file_name"), suffix).alias("ticker"), "doc"))
     km = filings.select(nested.key_metrics_document(F.col("doc"), F.col("ticker"), k).alias("km"))
     sinks.write_key_metric_docs(km, out_dir)
-    written = sources.read_key_metrics(spark, out_dir, glob="*.json", multi_line=False)
+    written = sources.read_key_metrics(spark, out_dir)
     return quality.coverage_from_documents(written)
 
 
@@ -109,44 +108,44 @@ RAW_TABLES = ["raw_financials", "raw_income_statements", "raw_sec_facts"]
 
 
 def raw_table_load(spark: SparkSession, csv_path: str, api_dir: str, sec_dir: str,
-                   write=None, sec_glob: str = "*" + S.FACTS_DOC_SUFFIX,
-                   sec_multi_line: bool = True) -> DataFrame:
+                   write=None, read=None, strict: bool = True, landed: str | None = None) -> DataFrame:
     """Load the three raw tables (full refresh) and report their row counts.
 
     A missing source is skipped and reported as absent; an empty one leaves its table
-    untouched. `write(df, name)` defaults to a catalog table overwrite (K4); pass a
-    JDBC writer to load a database instead. `sec_glob` / `sec_multi_line` select
-    the key-metric files: one document per file (default) or the JSON Lines of G3.
+    untouched; a corrupt document fails the load before anything of its table is replaced,
+    unless `strict` is off (then `quality.document_rejects` counts it). `write(df, name)`
+    defaults to a refresh without a window of missing data (K4); pass a writer and
+    `read(name)`, which gives the written table or None, to load another target, e.g. a
+    database. With `landed` the statements come from the raw zone (K7), not from `api_dir`.
     """
-    write = write or (lambda df, name: sinks.overwrite_table(df, name))
+    if (write is None) != (read is None):
+        raise ValueError("pass `read` with `write`: counts are those of the target")
+    write = write or (lambda df, name: sinks.swap_refresh(spark, df, name))
+    read = read or (lambda name: spark.table(name) if spark.catalog.tableExists(name) else None)
     frames: dict[str, DataFrame | None] = {}
 
     company, ok = sources.optional(spark, lambda: sources.read_company_csv(spark, csv_path),
                                    S.RAW_COMPANY)
     frames["raw_financials"] = clean.raw_financials(company) if ok else None
 
-    stmts, ok = sources.optional(spark, lambda: sources.read_statements(spark, api_dir),
-                                 S.INCOME_DOC)
+    def statements() -> DataFrame:
+        if landed:
+            return sources.read_landed(spark, landed, "api", S.STATEMENT_DOC,
+                                       suffix=S.STATEMENT_KINDS["income_statement"], strict=strict)
+        return sources.read_statements(spark, api_dir, strict=strict)
+
+    stmts, ok = sources.optional(spark, statements, S.STATEMENT_DOC)
     frames["raw_income_statements"] = (
-        nested.explode_statements(stmts, S.INCOME_REPORT_FIELDS) if ok else None)
+        nested.explode_statements(stmts, S.INCOME_REPORT_FIELDS, others=True) if ok else None)
 
-    kms, ok = sources.optional(
-        spark, lambda: sources.read_key_metrics(spark, sec_dir, sec_glob, sec_multi_line),
-        S.KEY_METRICS_DOC)
+    kms, ok = sources.optional(spark, lambda: sources.read_key_metrics(spark, sec_dir, strict), S.KEY_METRICS_DOC)
     frames["raw_sec_facts"] = (
         nested.explode_key_metrics(kms).drop("pos") if ok else None)
 
-    loaded: dict[str, DataFrame | None] = {}
     for name, df in frames.items():
-        if df is not None and sinks.write_if_rows(df, lambda d, n=name: write(d, n)):
-            loaded[name] = spark.table(name) if _in_catalog(spark, name) else df
-        else:
-            loaded[name] = spark.table(name) if _in_catalog(spark, name) else None
-    return quality.table_counts(spark, loaded)
-
-
-def _in_catalog(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
+        if df is not None:
+            sinks.write_if_rows(df, lambda d, n=name: write(d, n))
+    return quality.table_counts(spark, {name: read(name) for name in frames})
 
 
 # ---------------------------------------------------------------------------
@@ -179,7 +178,8 @@ def build_mart(spark: SparkSession, out_path: str | None = None,
     if out_path:
         sinks.write_parquet(m, out_path, partition_by=["fiscal_year"],
                             sort_within=[F.col("ticker").asc_nulls_last()])
-        m = spark.read.parquet(out_path)
+        # Reading a partitioned table puts the partition column last.
+        m = spark.read.parquet(out_path).select(*mart.MART_COLUMNS)
     elif checkpoint:
         m = materialize(spark, m)
     m.createOrReplaceTempView("mart_financials")
@@ -201,17 +201,16 @@ def land_raw(spark: SparkSession, lake: Lake, csv_path: str, api_dir: str, sec_d
 
 def publish_curated(spark: SparkSession, lake: Lake, curated_financials: str | None = None,
                     mart_name: str = "mart_financials") -> DataFrame:
-    """K8 + K5 + K6, then the inventory (A4): company Parquet, mart CSV and the loaded
-    company table as CSV in the curated zone; a missing input is skipped (S3)."""
-    if curated_financials:
-        try:
-            company = spark.read.parquet(curated_financials)
-        except AnalysisException:
-            company = None  # S3: the company ETL has not run yet; publish the rest
-        if company is not None:
+    """K8 + K5 + K6, then the inventory (A4): company Parquet, mart CSV (in the mart's
+    order) and the loaded company table as CSV in the curated zone; a missing input is
+    skipped (S3). A company table that is in its place already is not copied."""
+    if curated_financials and curated_financials != lake.curated("financials"):
+        company, ok = sources.optional(spark, lambda: spark.read.parquet(curated_financials), S.RAW_COMPANY)
+        if ok:
             sinks.write_parquet(company, lake.curated("financials"))
     if spark.catalog.tableExists(mart_name):
-        sinks.write_csv(spark.table(mart_name), lake.curated("mart_financials"))
+        ordered = spark.table(mart_name).select(*mart.MART_COLUMNS).orderBy(*mart.MART_ORDER)
+        sinks.write_csv(ordered, lake.curated("mart_financials"))
     if spark.catalog.tableExists("raw_financials"):
         # K6: the loaded company table as curated CSV (available even before the mart)
         sinks.write_raw_csv(spark.table("raw_financials"), lake.curated("financials_csv"))
@@ -234,16 +233,16 @@ def daily_refresh(spark: SparkSession, lake: Lake, csv_path: str, api_dir: str,
                   filings_dir: str) -> dict[str, DataFrame]:
     """Run the jobs in dependency order: land the raw zone (K1, K7) first; then company
     ETL (G1) from the raw copy and key-metric extraction (G3) from the landed filing
-    bodies; raw table load (G4); staging and mart (G5); curated publish and inventory
+    bodies; raw table load (G4) from the raw copy, the landed statements and the extracted
+    metrics; staging and mart (G5); curated publish and inventory
     (G6). Each step reads what the previous one wrote, and an exception in any step
     stops the run (nothing downstream runs on stale inputs)."""
     land_raw(spark, lake, csv_path, api_dir, filings_dir)
-    summary, counts = company_etl(spark, lake.raw("company"), lake.curated("financials_parquet"))
+    summary, counts = company_etl(spark, lake.raw("company"), lake.curated("financials"))
     coverage = facts_extraction_from_landed(spark, lake.landed, lake.curated("key_metrics"))
-    tables = raw_table_load(spark, lake.raw("company"), api_dir, lake.curated("key_metrics"),
-                            sec_glob="*.json", sec_multi_line=False)
+    tables = raw_table_load(spark, lake.raw("company"), api_dir, lake.curated("key_metrics"), landed=lake.landed)
     mart_df = build_mart(spark, lake.curated("mart_parquet"))
-    inventory = publish_curated(spark, lake, lake.curated("financials_parquet"))
+    inventory = publish_curated(spark, lake)
     return {"sector_summary": summary, "coverage": coverage, "table_counts": tables,
             "mart": mart_df, "inventory": inventory,
             "clean_counts": spark.createDataFrame([counts])}

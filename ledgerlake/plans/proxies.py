@@ -16,20 +16,16 @@ Every rule has a twin in `plans/oracle.py`, written independently in DuckDB SQL.
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas as S
+from ledgerlake.operators import nested
 
 
-@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One DataFrame handle per table and session (a plan, not data: nothing is cached).
-
-    Reusing the handle saves re-reading the Parquet footer for every query that
-    derives a source from the same table."""
+    """The table as it is now: listed anew at each call, so rows appended since are seen."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -46,11 +42,14 @@ def _pct_int(c: Column) -> Column:
     return F.round(c * F.lit(100.0)).cast("bigint")
 
 
+# More cents than a 64-bit integer holds.
+HUGE_CAP = "100000000000000000"
+
+
 # ---------------------------------------------------------------------------
 # Company snapshot (raw, all text, CSV header names)
 # ---------------------------------------------------------------------------
 
-@lru_cache(maxsize=64)
 def raw_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_partkey",
@@ -72,15 +71,24 @@ def raw_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(F.col("p_partkey") % 4 == 1, 30)
             .when(F.col("p_partkey") % 4 == 2, 200)
             .otherwise(2000))
-    ticker = F.col("p_partkey").cast("string")
+    key = F.col("p_partkey")
+    # Symbols: some missing (empty or NULL), some companies listed under their neighbour's
+    # symbol too, which leaves their own unlisted (M13, both sides of J2). Names: some missing.
+    symbol = (F.when(key % 43 == 0, F.lit("")).when(key % 47 == 0, F.lit(None).cast("string"))
+              .when(key % 31 == 0, (key - 1).cast("string")).otherwise(key.cast("string")))
+    name = F.when(key % 37 != 0, F.col("p_name"))
     price = F.when(size % 13 == 0, F.lit("n/a")).otherwise(
         money_text(_cents(F.col("p_retailprice"))))
+    # Edge values: not a number, infinite (as a word, and beyond a double), zero, huge.
     market_cap = (F.when(size % 17 == 0, F.lit("NaN"))
                   .when(size % 11 == 0, F.lit("0"))
-                  .otherwise((F.col("total_c") * mult).cast("string")))
+                  .when(size % 19 == 0, F.lit("Infinity"))
+                  .when(size % 23 == 0, F.lit("1e400"))
+                  .when(size % 29 == 0, F.lit(HUGE_CAP))
+                  .otherwise((F.col("total_c").cast("decimal(33,0)") * mult).cast("string")))
     cols = {
-        "Symbol": ticker,
-        "Name": F.col("p_name"),
+        "Symbol": symbol,
+        "Name": name,
         "Sector": F.col("p_type"),
         "Price": price,
         "Price/Earnings": F.when(size % 5 == 0, F.lit(None).cast("string"))
@@ -94,7 +102,7 @@ def raw_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
                    .otherwise(money_text(F.col("ebitda_c"))),
         "Price/Sales": money_text(size * 21),
         "Price/Book": money_text(size * 13),
-        "SEC Filings": F.concat(F.lit("filings/"), ticker),
+        "SEC Filings": F.concat(F.lit("filings/"), key.cast("string")),
     }
     return j.select(*[c.alias(n) for n, c in cols.items()])
 
@@ -103,7 +111,6 @@ def raw_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Statements, one report per (supplier, ship year)
 # ---------------------------------------------------------------------------
 
-@lru_cache(maxsize=64)
 def _supplier_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_suppkey",
@@ -124,75 +131,89 @@ def _supplier_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@lru_cache(maxsize=64)
-def raw_income_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flattened statement rows (`ticker` + report fields, all text), as loaded."""
-    sy = _supplier_years(spark, sf_dir)
-    ticker = F.col("l_suppkey").cast("string")
+def _statement_columns() -> dict[str, dict[str, Column]]:
+    """Report fields of each statement kind, all text, over `_supplier_years`."""
+    key, yr = F.col("l_suppkey"), F.col("yr")
     none = F.lit(S.NONE_SENTINEL)
-    return sy.select(
-        ticker.alias("ticker"),
-        F.concat(F.col("yr").cast("string"), F.lit("-12-31")).alias("fiscalDateEnding"),
-        F.when(F.col("l_suppkey") % 3 == 0, F.lit(None).cast("string"))
-         .otherwise(F.lit("USD")).alias("reportedCurrency"),
-        F.when((F.col("l_suppkey") + F.col("yr")) % 5 == 0, none)
-         .otherwise((F.col("rev") * 100).cast("string")).alias("totalRevenue"),
-        F.col("net").cast("string").alias("netIncome"),
-        F.col("opi").cast("string").alias("operatingIncome"),
-        F.when(F.col("yr") % 4 == 0, none)
-         .otherwise(F.col("equity").cast("string")).alias("stockholdersEquity"),
-        (F.col("rev") * 40).cast("string").alias("grossProfit"),
-        F.lit(None).cast("string").alias("ebitda"),
-        F.lit(None).cast("string").alias("researchAndDevelopment"),
-    )
+    text = {c: F.col(c).cast("string") for c in ("net", "opi", "equity", "assets", "liab")}
+    ticker = key.cast("string")
+    date = F.concat(yr.cast("string"), F.lit("-12-31"))
+    usd = F.lit("USD")
+    return {
+        "income_statement": {
+            "ticker": ticker,
+            # some reports carry no date
+            "fiscalDateEnding": F.when((key + yr) % 11 != 0, date),
+            "reportedCurrency": F.when(key % 3 != 0, usd),
+            # no amount, zero and negative revenue
+            "totalRevenue": F.when((key + yr) % 5 == 0, none)
+                             .when((key + yr) % 7 == 0, F.lit("0"))
+                             .when((key * 3 + yr) % 17 == 0, (F.col("rev") * -100).cast("string"))
+                             .otherwise((F.col("rev") * 100).cast("string")),
+            "netIncome": text["net"],
+            "operatingIncome": text["opi"],
+            "stockholdersEquity": F.when(yr % 4 == 0, none).otherwise(text["equity"]),
+            "grossProfit": (F.col("rev") * 40).cast("string"),
+        },
+        "balance_sheet": {
+            "ticker": ticker, "fiscalDateEnding": date, "reportedCurrency": usd,
+            "totalAssets": text["assets"], "totalLiabilities": text["liab"],
+            "totalShareholderEquity": text["equity"],
+        },
+        "cash_flow": {
+            "ticker": ticker, "fiscalDateEnding": date, "reportedCurrency": usd,
+            "operatingCashflow": (F.col("opi") + F.col("net")).cast("string"),
+            "capitalExpenditures": (F.col("rev") - F.col("opi")).cast("string"),
+        },
+    }
 
 
-def raw_balance_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sy = _supplier_years(spark, sf_dir)
-    return sy.select(
-        F.col("l_suppkey").cast("string").alias("ticker"),
-        F.concat(F.col("yr").cast("string"), F.lit("-12-31")).alias("fiscalDateEnding"),
-        F.lit("USD").alias("reportedCurrency"),
-        F.col("assets").cast("string").alias("totalAssets"),
-        F.col("liab").cast("string").alias("totalLiabilities"),
-        F.col("equity").cast("string").alias("totalShareholderEquity"),
-    )
+# Keys of income reports that no later step names; a fourth of the reports lack the second.
+def _more_income_keys() -> list[Column]:
+    return [(F.col("rev") * 60).cast("string").alias("costOfRevenue"),
+            F.when(F.col("yr") % 4 != 1, (F.col("liab") * 5).cast("string")).alias("interestExpense")]
 
 
-def raw_cash_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sy = _supplier_years(spark, sf_dir)
-    return sy.select(
-        F.col("l_suppkey").cast("string").alias("ticker"),
-        F.concat(F.col("yr").cast("string"), F.lit("-12-31")).alias("fiscalDateEnding"),
-        F.lit("USD").alias("reportedCurrency"),
-        (F.col("opi") + F.col("net")).cast("string").alias("operatingCashflow"),
-        (F.col("rev") - F.col("opi")).cast("string").alias("capitalExpenditures"),
-    )
+def raw_income_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flattened statement rows (`ticker` + report fields, all text), as loaded."""
+    columns = _statement_columns()["income_statement"]
+    none = F.lit(None).cast("string")
+    return _supplier_years(spark, sf_dir).select(
+        *[columns.get(f, none).alias(f) for f in ["ticker", *S.INCOME_REPORT_FIELDS]])
+
+
+def statement_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of all three kinds, from one pass over the supplier years."""
+    return nested.stack_kinds(_supplier_years(spark, sf_dir), _statement_columns(),
+                              ["ticker", *S.ALL_REPORT_FIELDS])
 
 
 def statement_documents(spark: SparkSession, sf_dir: str,
-                        kind: str = "income_statement") -> DataFrame:
+                        kinds: tuple[str, ...] = tuple(S.STATEMENT_KINDS)) -> DataFrame:
     """D2 documents `{symbol, annualReports}` as JSON text, one per ticker and kind,
-    named `{ticker}_{kind}.json`.
+    named `{ticker}_{kind}.json`; all kinds of a ticker come from one grouped row.
 
     A ticker's document holds one report per year, so its size is bounded by the
     number of years, not by the data volume.
     """
-    rows = {"income_statement": raw_income_statements, "balance_sheet": raw_balance_sheets,
-            "cash_flow": raw_cash_flows}[kind](spark, sf_dir)
-    report = F.struct(*[F.col(f) for f in S.REPORT_FIELDS[kind]])
-    docs = rows.groupBy("ticker").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("fiscalDateEnding").alias("k"),
-                                             report.alias("r")))).alias("reports"))
-    return docs.select(
-        F.concat(F.col("ticker"), F.lit(S.STATEMENT_KINDS[kind])).alias("file_name"),
-        F.to_json(F.struct(F.col("ticker").alias("symbol"),
-                           F.col("reports.r").alias("annualReports"))).alias("body"),
-    )
+    columns = _statement_columns()
+    reports = []
+    for kind in kinds:
+        fields = [c.alias(f) for f, c in columns[kind].items() if f != "ticker"]
+        fields += _more_income_keys() if kind == "income_statement" else []
+        reports.append(F.struct(*fields).alias(kind))
+    by_ticker = _supplier_years(spark, sf_dir).groupBy("l_suppkey").agg(
+        F.sort_array(F.collect_list(F.struct("yr", *reports))).alias("reports"))
+    ticker = F.col("l_suppkey").cast("string")
+    return by_ticker.select(F.inline(F.array(*[
+        F.struct(F.concat(ticker, F.lit(S.STATEMENT_KINDS[kind])).alias("file_name"),
+                 F.to_json(F.struct(ticker.alias("symbol"),
+                                    F.col(f"reports.{kind}").alias("annualReports"))).alias("body"))
+        for kind in kinds])))
 
 
 def income_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return statement_documents(spark, sf_dir, "income_statement")
+    return statement_documents(spark, sf_dir, ("income_statement",))
 
 
 # ---------------------------------------------------------------------------
@@ -222,28 +243,51 @@ def _metric_expr() -> Column:
     return expr
 
 
-@lru_cache(maxsize=64)
+# Consecutive order keys per filing document (fixed proxy parameter).
+ORDERS_PER_FILING = 2048
+
+
+def _block() -> Column:
+    return F.expr(f"l_orderkey div {ORDERS_PER_FILING}")
+
+
+def _company_name() -> Column:
+    """Some companies spell their name another way in every second filing."""
+    other = (F.col("l_suppkey") % 6 == 0) & (_block() % 2 == 1)
+    return F.concat(F.when(other, F.lit("COMPANY ")).otherwise(F.lit("Company ")),
+                    F.col("l_suppkey").cast("string"))
+
+
+def _fact_columns() -> dict[str, Column]:
+    """Keys of a filing fact; some facts lack `end` or `form` (N7), some a value."""
+    ln = F.col("l_linenumber")
+    day = F.to_date("l_shipdate")
+    return {
+        "end": F.when(~((ln == 5) & (F.col("l_suppkey") % 8 == 0)), day.cast("string")),
+        "val": F.when(F.col("l_tax") != 0, _cents(F.col("l_extendedprice"))),
+        "form": F.when(ln != 6, F.when(ln % 2 == 1, F.lit(S.ANNUAL_FORM)).otherwise(F.lit("10-Q"))),
+        "fy": F.year(day),
+        "fp": F.when(ln % 2 == 1, F.lit("FY")).otherwise(F.concat(F.lit("Q"), F.quarter(day).cast("string"))),
+        "filed": F.date_add(day, 30).cast("string"),
+        "accn": F.concat_ws("-", F.col("l_orderkey").cast("string"), ln.cast("string")),
+    }
+
+
 def raw_sec_facts(spark: SparkSession, sf_dir: str, with_order: bool = True) -> DataFrame:
-    """D5 rows plus `doc_seq` (position of the fact in its source document)."""
-    li = table(spark, sf_dir, "lineitem")
-    ticker = F.col("l_suppkey").cast("string")
+    """D5 rows plus the position of each fact in its source: (`doc_id`, `line_no`)."""
+    fact = _fact_columns()
     cols = [
-        ticker.alias("ticker"),
-        F.concat(F.lit("Company "), ticker).alias("company_name"),
+        F.col("l_suppkey").cast("string").alias("ticker"),
+        _company_name().alias("company_name"),
         _metric_expr().alias("metric_name"),
-        F.to_date("l_shipdate").cast("string").alias("period_end"),
-        F.when(F.col("l_tax") == 0, F.lit(None).cast("bigint"))
-         .otherwise(_cents(F.col("l_extendedprice"))).alias("value"),
-        F.when(F.col("l_linenumber") % 2 == 1, F.lit("10-K")).otherwise(F.lit("10-Q")).alias("form"),
+        F.coalesce(fact["end"], F.lit("")).alias("period_end"),
+        fact["val"].alias("value"),
+        F.coalesce(fact["form"], F.lit("")).alias("form"),
         F.lit(S.DEFAULT_CURRENCY).alias("currency"),
     ]
     if with_order:
         cols += [F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").cast("bigint").alias("line_no")]
-    return li.select(*cols)
-
-
-# Consecutive order keys per filing document (fixed proxy parameter).
-ORDERS_PER_FILING = 2048
+    return table(spark, sf_dir, "lineitem").select(*cols)
 
 
 def filing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,39 +297,45 @@ def filing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded however the data grows. Array order is (order, line, value), so a
     document's array position is the source tie-break, and blocks of consecutive
     orders keep the global order `(doc_id, position)` equal to `(order, line, value)`.
+    A ninth of the companies also report each metric in another currency (F9).
     """
     li = table(spark, sf_dir, "lineitem")
-    fact = F.struct(
-        F.to_date("l_shipdate").cast("string").alias("end"),
-        F.when(F.col("l_tax") == 0, F.lit(None).cast("bigint"))
-         .otherwise(_cents(F.col("l_extendedprice"))).alias("val"),
-        F.when(F.col("l_linenumber") % 2 == 1, F.lit("10-K")).otherwise(F.lit("10-Q")).alias("form"))
-    block = F.floor(F.col("l_orderkey") / F.lit(ORDERS_PER_FILING)).cast("bigint").alias("doc_id")
+    fact = F.struct(*[c.alias(k) for k, c in _fact_columns().items()])
     # One shuffle on the numeric document key. A document holds few facts, so a
     # map-side partial aggregate could not shrink much: the raw columns are
     # hash-partitioned first, then facts are grouped per (document, metric) and per
     # document. Both groupings contain the partition keys, so neither shuffles again.
-    keyed = li.select("l_suppkey", block, "l_orderkey", "l_linenumber", "l_shipdate", "l_tax",
-                      "l_extendedprice", "l_returnflag", "l_linestatus") \
+    keyed = li.select("l_suppkey", _block().alias("doc_id"), "l_orderkey", "l_linenumber", "l_shipdate",
+                      "l_tax", "l_extendedprice", "l_returnflag", "l_linestatus") \
               .repartition("l_suppkey", "doc_id")
     per_metric = (keyed.select("l_suppkey", "doc_id", "l_orderkey", "l_linenumber",
+                               _company_name().alias("company_name"),
                                _metric_expr().alias("metric_name"), fact.alias("f"))
                   .filter(F.col("metric_name").isNotNull())
-                  .groupBy("l_suppkey", "doc_id", "metric_name")
+                  .groupBy("l_suppkey", "doc_id", "company_name", "metric_name")
                   .agg(F.sort_array(F.collect_list(F.struct(
                       "l_orderkey", "l_linenumber", F.col("f.val").alias("v"), "f"))).alias("xs")))
-    entry = F.struct(F.col("metric_name").alias("key"),
-                     F.struct(F.create_map(F.lit(S.UNIT), F.col("xs.f")).alias("units")).alias("value"))
-    per_doc = per_metric.groupBy("l_suppkey", "doc_id").agg(
+    usd = F.create_map(F.lit(S.UNIT), F.col("xs.f"))
+    foreign = F.transform("xs.f", lambda f: f.withField("val", f["val"] * 2))
+    units = F.when(F.col("l_suppkey") % 9 == 0, F.map_concat(F.create_map(F.lit("EUR"), foreign), usd)).otherwise(usd)
+    entry = F.struct(F.col("metric_name").alias("key"), F.struct(units.alias("units")).alias("value"))
+    per_doc = per_metric.groupBy("l_suppkey", "doc_id", "company_name").agg(
         F.map_from_entries(F.collect_list(entry)).alias("m"))
     ticker = F.col("l_suppkey").cast("string")
-    docs = per_doc.select(ticker.alias("ticker"),
-                          F.concat(F.lit("Company "), ticker).alias("company_name"),
-                          "doc_id", "m")
     body = F.to_json(F.struct(
         F.col("company_name").alias("entityName"),
         F.create_map(F.lit(S.TAXONOMY), F.col("m")).alias("facts")))
-    return docs.select(
-        F.concat(F.col("ticker"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".json"))
-         .alias("file_name"),
-        F.col("ticker"), F.col("doc_id"), body.alias("body"))
+    return per_doc.select(
+        F.concat(ticker, F.lit("/"), F.col("doc_id").cast("string"), F.lit(".json")).alias("file_name"),
+        ticker.alias("ticker"), F.col("doc_id"), body.alias("body"))
+
+
+def damaged_filing_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filing documents, some of them damaged on their way: cut in half, without any
+    field, without facts, or without text, by the company's number."""
+    key = F.col("ticker").cast("bigint")
+    body = (F.when(key % 10 == 1, F.left("body", F.expr("length(body) div 2")))
+            .when(key % 10 == 2, F.lit("{}"))
+            .when(key % 10 == 3, F.to_json(F.struct(F.concat(F.lit("Company "), F.col("ticker")).alias("entityName"))))
+            .when(key % 10 == 4, F.lit("")).otherwise(F.col("body")))
+    return filing_documents(spark, sf_dir).withColumn("body", body)

@@ -106,14 +106,6 @@ RAW_COMPANY = T.StructType(
     [T.StructField(h, T.StringType(), True) for h in COMPANY_HEADER_TO_CANONICAL]
 )
 
-# Typed company table in canonical names.
-COMPANY = T.StructType(
-    [
-        T.StructField(c, T.DoubleType() if c in COMPANY_NUMERIC else T.StringType(), True)
-        for c in COMPANY_HEADER_TO_CANONICAL.values()
-    ]
-)
-
 # ---------------------------------------------------------------------------
 # D2 statement documents (all amounts are text in the source)
 # ---------------------------------------------------------------------------
@@ -138,93 +130,58 @@ REPORT_FIELDS = {
 }
 
 
-def report_struct(fields: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(f, T.StringType(), True) for f in fields])
-
-
-def statement_doc(kind: str) -> T.StructType:
-    """`{symbol, annualReports: [ {...} ]}` for one statement kind."""
-    return T.StructType(
-        [
-            T.StructField("symbol", T.StringType(), True),
-            T.StructField("annualReports", T.ArrayType(report_struct(REPORT_FIELDS[kind])), True),
-        ]
-    )
-
-
-INCOME_DOC = statement_doc("income_statement")
-
-# Every statement field of every kind, for one scan over all statement documents.
-ALL_REPORT_FIELDS = list(dict.fromkeys(f for fields in REPORT_FIELDS.values() for f in fields))
-ANY_STATEMENT_DOC = T.StructType(
+# `{symbol, annualReports: [ {key: text} ]}` of every statement kind. Reports are maps, so
+# that no key of the source is lost; the fields above are those that later steps name.
+STATEMENT_DOC = T.StructType(
     [
         T.StructField("symbol", T.StringType(), True),
-        T.StructField("annualReports", T.ArrayType(report_struct(ALL_REPORT_FIELDS)), True),
+        T.StructField("annualReports", T.ArrayType(T.MapType(T.StringType(), T.StringType())), True),
     ]
 )
 
+# Every statement field of every kind, for one scan over all statement documents.
+ALL_REPORT_FIELDS = list(dict.fromkeys(f for fields in REPORT_FIELDS.values() for f in fields))
+
 # ---------------------------------------------------------------------------
 # D3 / D4 filing facts
 # ---------------------------------------------------------------------------
 
-FACT = T.StructType(
-    [
-        T.StructField("end", T.StringType(), True),
-        T.StructField("val", T.LongType(), True),
-        T.StructField("form", T.StringType(), True),
-    ]
-)
+# All keys of a filing fact, as the public filing documents name them (fixed values); the
+# first three are those that later steps use.
+FACT_KEYS = {"end": T.StringType(), "val": T.LongType(), "form": T.StringType(), "fy": T.IntegerType(),
+             "fp": T.StringType(), "start": T.StringType(), "filed": T.StringType(),
+             "accn": T.StringType(), "frame": T.StringType()}
+FACT = T.StructType([T.StructField(k, kind, True) for k, kind in FACT_KEYS.items()])
 FACT_LIST = T.ArrayType(FACT, True)
 
-# facts -> taxonomy -> metric -> {units: {unit -> [fact]}}
+
+def _one(name: str, kind: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind, True)])
+
+
+# facts -> taxonomy -> metric -> units -> unit -> [fact], of the allow-listed metrics and the
+# one unit only: the parser skips the rest of a filing, which is most of it. A metric that
+# the filing lacks is NULL, one without that unit is a struct with a NULL list.
 FILING_DOC = T.StructType(
     [
         T.StructField("entityName", T.StringType(), True),
-        T.StructField(
-            "facts",
-            T.MapType(
-                T.StringType(),
-                T.MapType(
-                    T.StringType(),
-                    T.StructType(
-                        [T.StructField("units", T.MapType(T.StringType(), FACT_LIST), True)]
-                    ),
-                ),
-            ),
-            True,
-        ),
+        T.StructField("facts", _one(TAXONOMY, T.StructType(
+            [T.StructField(m, _one("units", _one(UNIT, FACT_LIST)), True) for m in FACT_METRICS])), True),
     ]
 )
 
-KEY_METRICS_DOC = T.StructType(
-    [
-        T.StructField("ticker", T.StringType(), True),
-        T.StructField("company_name", T.StringType(), True),
-        T.StructField("metrics", T.MapType(T.StringType(), FACT_LIST), True),
-    ]
-)
+# Holds the text of a document that is no (complete) JSON.
+CORRUPT = "_corrupt_record"
+
+
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
 
-# ---------------------------------------------------------------------------
-# D5 long facts (raw_sec_facts)
-# ---------------------------------------------------------------------------
 
-LONG_FACTS = T.StructType(
+KEY_METRICS_DOC = T.StructType(
     [
         T.StructField("ticker", T.StringType(), True),
         T.StructField("company_name", T.StringType(), True),
-        T.StructField("metric_name", T.StringType(), True),
-        T.StructField("period_end", T.StringType(), True),
-        T.StructField("value", T.LongType(), True),
-        T.StructField("form", T.StringType(), True),
-        T.StructField("currency", T.StringType(), True),
-    ]
-)
-
-# Raw zone landing of unparsed documents.
-LANDED_DOC = T.StructType(
-    [
-        T.StructField("source", T.StringType(), False),
-        T.StructField("file_name", T.StringType(), False),
-        T.StructField("body", T.StringType(), True),
+        T.StructField("metrics", T.MapType(T.StringType(), FACT_LIST), True),
     ]
 )

@@ -40,7 +40,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    _ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -68,29 +68,27 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; create a scratch one only when none is set
-    (local tests). Reliable checkpoints survive executor loss, unlike local ones."""
+def _ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Use the cluster's checkpoint folder; create a scratch one only for a local session
+    without any. Reliable checkpoints survive executor loss, unlike local ones."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return sc.getCheckpointDir()
     current = checkpoint_dir(spark)
-    if current:
-        sc.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="ledgerlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    if not current and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    path = current or tempfile.mkdtemp(prefix="ledgerlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int,
-                  target_partition_bytes: int = 128 * 1024 * 1024,
-                  max_partitions: int = 200_000) -> int:
+                  target_partition_bytes: int = 128 * 1024 * 1024) -> int:
     """Size shuffles for an input of `input_bytes` (e.g. 100 TB): start with one shuffle
     partition per `target_partition_bytes` of input, so no reducer has to spill more than
     about that much, and let AQE coalesce the small ones and split skewed ones. Settings
     the session already has are left alone. Returns the partition count used."""
-    n = max(1, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    n = max(1, -(-input_bytes // target_partition_bytes))
     wanted = {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
@@ -100,3 +98,16 @@ def size_shuffles(spark: SparkSession, input_bytes: int,
         if spark.conf.get(k, None) in (None, ""):
             spark.conf.set(k, v)
     return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n)))
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files below the paths, from the file system's own summary; a path
+    that does not exist counts as nothing."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            total += fs.getContentSummary(p).getLength()
+    return total

@@ -29,11 +29,18 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   replace_partitions_only: bool = False) -> None:
     """K2/K8: Parquet write straight to the target URI (the committer writes `_SUCCESS`).
 
+    With `partition_by` rows are first rebalanced on those columns, so a directory gets a
+    few files rather than one per task, and a large one is split; rows are sorted by them
+    first, as the writer needs.
+
     `sort_within` orders rows inside each output file without a global sort (O2 on
     write); `partition_by` gives directory pruning to later reads. An overwrite is a full
     refresh (partitions no longer produced are removed) unless `replace_partitions_only`.
     """
-    out = df.sortWithinPartitions(*sort_within) if sort_within else df
+    keys = [F.col(c) for c in partition_by or []]
+    out = df.hint("rebalance", *partition_by) if partition_by else df
+    if sort_within:
+        out = out.sortWithinPartitions(*keys, *sort_within)
     w = out.write.mode(mode).option(
         "partitionOverwriteMode", "dynamic" if replace_partitions_only else "static")
     if max_records_per_file:
@@ -61,10 +68,10 @@ def swap_refresh(spark: SparkSession, df: DataFrame, name: str, fmt: str = "parq
     versions = [t.name for t in spark.catalog.listTables() if t.name.startswith(prefix)]
     nxt = 1 + max([int(v[len(prefix):]) for v in versions if v[len(prefix):].isdigit()] or [0])
     table = f"{prefix}{nxt}"
-    df.write.mode("errorifexists").format(fmt).saveAsTable(table)
     if spark.catalog.tableExists(name) and not any(
             t.name == name and t.tableType == "VIEW" for t in spark.catalog.listTables()):
         raise ValueError(f"{name} exists and is not a view; refusing to replace a table")
+    df.write.mode("errorifexists").format(fmt).saveAsTable(table)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
     return table
 
@@ -118,8 +125,13 @@ def write_key_metric_docs(docs: DataFrame, path: str, mode: str = "overwrite",
 def register_external(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
     """Serve curated files as an external catalog table over `path`.
 
-    Partition folders (`col=value/`) are registered too, so readers prune them."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    Partition folders (`col=value/`) are registered too, so readers prune them. Only an
+    external table of that name is replaced (its files stay); any other entry is refused."""
+    if spark.catalog.tableExists(name):
+        kind = spark.catalog.getTable(name).tableType
+        if kind != "EXTERNAL":
+            raise ValueError(f"{name} exists and is {kind}, not an external table; refusing to drop it")
+        spark.sql(f"DROP TABLE {name}")
     table = spark.catalog.createTable(name, path=path, source=fmt)
     if table.schema and spark.sql(f"DESCRIBE TABLE {name}").filter(
             "col_name = '# Partition Information'").count() > 0:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake import schemas as S
-from ledgerlake.operators.nested import ticker_from_file
+from ledgerlake.operators.nested import parse_documents, ticker_from_file
 
 
 def read_company_csv(spark: SparkSession, path: str,
@@ -55,46 +55,48 @@ def optional(spark: SparkSession, read, schema: T.StructType) -> tuple[DataFrame
 
 
 def _json_docs(spark: SparkSession, folder: str, schema: T.StructType, glob: str,
-               multi_line: bool = True) -> DataFrame:
-    return (spark.read.schema(schema)
-            .option("multiLine", multi_line)
-            .option("mode", "PERMISSIVE")
-            .option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", True)
-            .json(folder)
-            .select(F.struct(*[F.col(f.name) for f in schema.fields]).alias("doc"),
-                    F.col("_metadata.file_name").alias("file_name")))
-
-
-def read_statements(spark: SparkSession, folder: str, kind: str = "income_statement") -> DataFrame:
+               whole: bool = True, strict: bool = False) -> DataFrame:
+    """`doc`, `status` and `file_name` of each document: one per file, or one per line.
+    Files take the same path as landed bodies (`nested.parse_documents`)."""
+    reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    # `wholetext` must go through `text()`: its keyword default overrides an option.
+    texts = reader.text(folder, wholetext=whole).select(
+        F.col("value").alias("body"), F.col("_metadata.file_name").alias("file_name"))
+    if not whole:
+        texts = texts.filter(F.trim("body") != "")
+    return parse_documents(texts, schema, strict=strict).drop("body")
+
+
+def read_statements(spark: SparkSession, folder: str, kind: str = "income_statement",
+                    strict: bool = False) -> DataFrame:
     """All `{ticker}_{kind}.json` documents of a folder -> column `doc`
-    (struct `{symbol, annualReports}`) plus `file_name`."""
-    return _json_docs(spark, folder, S.statement_doc(kind), "*" + S.STATEMENT_KINDS[kind])
+    (struct `{symbol, annualReports}`) plus `file_name` and `status`; `strict` fails on a
+    corrupt document."""
+    return _json_docs(spark, folder, S.STATEMENT_DOC, "*" + S.STATEMENT_KINDS[kind], strict=strict)
 
 
 def read_all_statements(spark: SparkSession, folder: str) -> DataFrame:
-    """S4 + S5 in one scan: every `{ticker}_{kind}.json` under `folder`, read with the
-    union of all kinds' fields; `kind` comes from the file name. Files of no known kind
-    are ignored."""
+    """S4 + S5 in one scan: every `{ticker}_{kind}.json` under `folder`; `kind` comes from
+    the file name. Files of no known kind are ignored."""
     kinds = "|".join(k for k in S.STATEMENT_KINDS)
-    df = _json_docs(spark, folder, S.ANY_STATEMENT_DOC, "*.json")
+    df = _json_docs(spark, folder, S.STATEMENT_DOC, "*.json")
     kind = F.regexp_extract(F.col("file_name"), rf"_({kinds})\.json$", 1)
-    return df.select(kind.alias("kind"), "doc", "file_name").filter(F.col("kind") != "")
+    return df.select(kind.alias("kind"), "doc", "file_name", "status").filter(F.col("kind") != "")
 
 
-def read_key_metrics(spark: SparkSession, folder: str, glob: str = "*" + S.FACTS_DOC_SUFFIX,
-                     multi_line: bool = True) -> DataFrame:
-    """Key-metric documents -> column `km`. Defaults read one pretty-printed
-    `{ticker}_sec_facts.json` per ticker; `glob="*.json", multi_line=False` reads the
-    JSON Lines written by `sinks.files.write_key_metric_docs`."""
-    df = _json_docs(spark, folder, S.KEY_METRICS_DOC, glob, multi_line)
-    return df.select(F.col("doc").alias("km"), "file_name")
+def read_key_metrics(spark: SparkSession, folder: str, strict: bool = False) -> DataFrame:
+    """Key-metric documents -> column `km`: one pretty-printed document per
+    `{ticker}_sec_facts.json`, and the lines of the `part-*.json` files that
+    `sinks.files.write_key_metric_docs` writes. A folder may hold both."""
+    files = _json_docs(spark, folder, S.KEY_METRICS_DOC, "*" + S.FACTS_DOC_SUFFIX, strict=strict)
+    lines = _json_docs(spark, folder, S.KEY_METRICS_DOC, "part-*.json", whole=False, strict=strict)
+    return files.unionByName(lines).withColumnRenamed("doc", "km")
 
 
 def read_filings(spark: SparkSession, folder: str, suffix: str = ".json") -> DataFrame:
     """Full filing documents `{ticker}.json` -> `ticker` (from the file name) + `doc`."""
     df = _json_docs(spark, folder, S.FILING_DOC, "*" + suffix)
-    return df.select(ticker_from_file(F.col("file_name"), suffix).alias("ticker"), "doc", "file_name")
+    return df.select(ticker_from_file(F.col("file_name"), suffix).alias("ticker"), "doc", "file_name", "status")
 
 
 def usable_filings(filings: DataFrame) -> DataFrame:
@@ -114,12 +116,21 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
               partition_column: str | None = None, lower: int | None = None,
               upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
-    """S9 over JDBC; give a numeric partition column and bounds for a parallel read."""
+    """S9 over JDBC. With a numeric partition column the read is parallel; bounds that are
+    not given are asked of the database (one aggregate). Without one it is a single task,
+    which suits small tables only."""
     props = dict(properties or {})
-    if partition_column:
-        return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower,
-                               upperBound=upper, numPartitions=num_partitions, properties=props)
-    return spark.read.jdbc(url, table, properties=props)
+    if not partition_column:
+        return spark.read.jdbc(url, table, properties=props)
+    if lower is None or upper is None:
+        ends = spark.read.jdbc(url, table, properties=props).agg(
+            F.min(partition_column), F.max(partition_column)).first()
+        lower = ends[0] if lower is None else lower
+        upper = ends[1] if upper is None else upper
+    if lower is None or upper is None:  # an empty table
+        return spark.read.jdbc(url, table, properties=props)
+    return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower, upperBound=upper + 1,
+                           numPartitions=num_partitions or spark.sparkContext.defaultParallelism, properties=props)
 
 
 def has_rows(df: DataFrame) -> bool:
@@ -128,8 +139,17 @@ def has_rows(df: DataFrame) -> bool:
 
 
 def read_landed(spark: SparkSession, path: str, source: str, schema: T.StructType,
-                alias: str = "doc") -> DataFrame:
+                alias: str = "doc", suffix: str = "", strict: bool = False) -> DataFrame:
     """Parse documents landed by `sinks.files.land_documents`: partition pruning on
-    `source`, then `from_json` per row with an explicit schema."""
-    landed = spark.read.parquet(path).filter(F.col("source") == source)
-    return landed.select("file_name", F.from_json("body", schema).alias(alias))
+    `source`, then `parse_documents` per row with an explicit schema."""
+    landed = spark.read.parquet(path).filter((F.col("source") == source) & F.col("file_name").endswith(suffix))
+    return parse_documents(landed, schema, alias=alias, strict=strict).select("file_name", alias, "status")
+
+
+def company_lines(lines: DataFrame, column: str = "value", schema: T.StructType = S.RAW_COMPANY) -> DataFrame:
+    """S1 for lines of text that are landed already (no header): the same schema and quoting
+    as `read_company_csv`."""
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parsed = F.from_csv(F.col(column), ddl, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    return lines.select(parsed.alias("r")).select("r.*")
+
