@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from ledgerlake.llm import common
 
 FOLDS = 5
-SAMPLE_DOCS = (3000, 1500)  # clean, toxic
+SAMPLE_DOCS = (2000, 1000)  # clean, toxic
 SAMPLE_CHARS = 20_000
 SEED_DOCS = 3
 SEED_CONTEXTS = 5
@@ -83,13 +83,14 @@ def chains(text: str) -> list[list[str]]:
     return [*out, now] if now else out
 
 
-def marginals(logits: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """P(toxic) of each token, and per token P(state before, state) as 4 columns (0 for the
-    first token of a chain). Chains follow each other in `logits`."""
+def marginals(logits: np.ndarray, lengths: np.ndarray, moves: np.ndarray, joint_too: bool = True
+              ) -> tuple[np.ndarray, np.ndarray]:
+    """P(toxic) of each token, and (if asked) the sums over all tokens but first ones of
+    P(state before, state), 2 by 2. Chains follow each other in `logits`."""
     (m00, m01), (m10, m11) = moves
     starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
     e = np.exp(np.clip(logits, -SPREAD, SPREAD))
-    p, pairs = np.zeros(len(e)), np.zeros((len(e), 4))
+    p, pairs = np.zeros(len(e)), np.zeros((2, 2))
     classes = np.ceil(np.log2(np.maximum(lengths, 1))).astype(int)
     for c in np.unique(classes[lengths > 0]):
         sel = np.flatnonzero((classes == c) & (lengths > 0))
@@ -107,11 +108,11 @@ def marginals(logits: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> tup
             back[t] = np.where(inside[t + 1], (m10 + m11 * ahead) / (m00 + m01 * ahead), 1.0)
         odds = fore * back
         p[at[inside]] = (odds / (1 + odds))[inside]
-        if longest > 1:
+        if joint_too and longest > 1:
             ahead, f = x[1:] * back[1:], fore[:-1]
             joint = np.stack([m00 + 0 * f, m01 * ahead, m10 * f, m11 * f * ahead], axis=-1)
             joint /= joint.sum(axis=-1, keepdims=True)
-            pairs[at[1:][inside[1:]]] = joint[inside[1:]]
+            pairs += joint[inside[1:]].sum(axis=0).reshape(2, 2)
     return p, pairs
 
 
@@ -146,7 +147,7 @@ class Scorer:
         word = ids > 0
         ends = np.flatnonzero(~word)
         lengths = np.diff(np.concatenate([[-1], ends])) - 1
-        p = marginals(logits[word], lengths, self.model.moves)[0]
+        p = marginals(logits[word], lengths, self.model.moves, False)[0]
         spread = np.zeros(len(ids))
         spread[word] = p
         counts = np.add.reduceat(word.astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]])) if sizes else np.zeros(0, int)
@@ -192,58 +193,66 @@ def held_out(id_column, folds: int = FOLDS):
     return F.coalesce(F.crc32(id_column.cast("string")) % folds == 0, F.lit(False))
 
 
+def _names(word: str) -> list[str]:
+    return [f"={word}", *(f"^{word[:k]}" for k in PREFIXES if len(word) >= k)]
+
+
 def seeds(rows: list[tuple[str, int]]) -> set[str]:
-    """Words (=w) and prefixes (^p) that mark toxic tokens."""
-    contexts: tuple[defaultdict, defaultdict] = (defaultdict(set), defaultdict(set))
+    """Words (=w) and prefixes (^p) that mark toxic tokens. Only names that enough toxic
+    documents hold are counted further, which bounds the memory."""
     seen_in: Counter = Counter()
+    for text, label in rows:
+        if label:
+            seen_in.update({n for t in {t.lower() for t in _TOKEN.findall(text)} for n in _names(t)})
+    contexts: dict[str, set[int]] = {n: set() for n, k in seen_in.items() if k >= SEED_DOCS}
+    clean: Counter = Counter()
     totals = [1, 1]
     for text, label in rows:
-        mine = set()
         for chain in chains(text.lower()):
             totals[label] += len(chain)
             for i, w in enumerate(chain):
-                around = (chain[i - 1] if i else "", chain[i + 1] if i + 1 < len(chain) else "")
-                for name in (f"={w}", *(f"^{w[:k]}" for k in PREFIXES if len(w) >= k)):
-                    contexts[label][name].add(around)
-                    mine.add(name)
-        if label:
-            seen_in.update(mine)
+                names = [n for n in _names(w) if n in contexts]
+                if label and names:
+                    around = zlib.crc32(f"{chain[i - 1] if i else ''} {chain[i + 1] if i + 1 < len(chain) else ''}".encode())
+                    for n in names:
+                        contexts[n].add(around)
+                else:
+                    clean.update(names)
     share = totals[0] / totals[1]
-    return {name for name, n in seen_in.items() if n >= SEED_DOCS
-            and len(contexts[1][name]) >= SEED_CONTEXTS
-            and len(contexts[1][name]) * share / (len(contexts[0].get(name, ())) + 0.5) >= SEED_RATIO}
+    return {n for n, c in contexts.items() if len(c) >= SEED_CONTEXTS and len(c) * share / (clean[n] + 0.5) >= SEED_RATIO}
 
 
 def train(rows: list[tuple[str, int]]) -> Model:
     marks = seeds(rows)
 
     def toxic(word: str) -> bool:
-        w = word.lower()
-        return f"={w}" in marks or any(f"^{w[:k]}" in marks for k in PREFIXES if len(w) >= k)
+        return any(n in marks for n in _names(word.lower()))
 
-    hot: list[list[str]] = []
-    cold: list[list[str]] = []
+    # Sentences as text: lists of words would take many times the memory.
+    hot: list[str] = []
+    cold: list[str] = []
     for text, label in rows:
         for chain in chains(text):
-            (hot if label and any(map(toxic, chain)) else cold).append(chain)
+            (hot if label and any(map(toxic, chain)) else cold).append(" ".join(chain))
     hot = hot[:: max(1, -(-len(hot) // (CHAINS // 2)))]
-    heard = set(map(id, hot))
     easy = cold[:: max(1, -(-len(cold) // (CHAINS // 2)))]
-    hard: list[list[str]] = []
+    hard: list[str] = []
     for _ in range(ROUNDS):
-        used = hot + easy + hard
-        truth = np.array([id(c) in heard and toxic(w) for c in used for w in c], dtype=np.int64)
+        used = [c.split(" ") for c in hot + easy + hard]
+        truth = np.array([i < len(hot) and toxic(w) for i, c in enumerate(used) for w in c], dtype=np.int64)
         model = _fit(used, truth)
         # Clean sentences that this model takes for toxic are in the next round.
-        scorer = Scorer(model)
-        flat, sizes = scorer.tokens([" ".join(c) for c in cold])
-        worst = summaries(flat, sizes)[:, 2] >= 0.2
-        hard = [c for c, w in zip(cold, worst) if w][: CHAINS // 2]
-    p, counts = scorer.tokens([t for t, _ in rows])
-    model.curve = logistic(summaries(p, counts), np.array([y for _, y in rows], dtype=float))
+        x = _summed(Scorer(model), cold)
+        hard = [c for c, w in zip(cold, x[:, 2] >= 0.2) if w][: CHAINS // 2]
+    model.curve = logistic(_summed(Scorer(model), [t for t, _ in rows]), np.array([y for _, y in rows], dtype=float))
     return model
 
 
+def _summed(scorer: Scorer, texts: list[str]) -> np.ndarray:
+    runs = [summaries(*scorer.tokens(texts[a:b])) for a, b in common.byte_batches(texts, 500_000)]
+    return np.concatenate(runs) if runs else np.zeros((0, 3))
+
+
 def _fit(used: list[list[str]], truth: np.ndarray) -> Model:
     lengths = np.array([len(c) for c in used])
     first = np.zeros(len(truth), bool)
@@ -273,7 +282,7 @@ def _fit(used: list[list[str]], truth: np.ndarray) -> Model:
             g = np.bincount(f, gap[t], FEATURES) / len(truth) - L2 * weights[part]
             seen_w[part] += g * g
             weights[part] += RATE * g / np.sqrt(seen_w[part])
-        g = (true_pairs - pairs.sum(axis=0).reshape(2, 2)) / len(truth) - L2 * moves
+        g = (true_pairs - pairs) / len(truth) - L2 * moves
         seen_m += g * g
         moves += RATE * g / np.sqrt(seen_m)
         moves -= moves[0, 0]
