@@ -9,7 +9,7 @@ estimate set that threshold to -1 and keep the adaptive one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions import pct
@@ -33,9 +33,10 @@ MART_COLUMNS = [
 ]
 
 
-# O2. A tie (a company listed twice) is broken by name, so that exports agree.
-MART_ORDER = [F.col("ticker").asc_nulls_last(), F.col("fiscal_year").desc_nulls_first(),
-              F.col("company_name").asc_nulls_last()]
+def mart_order() -> list[Column]:
+    """O2. A tie (a company listed twice) is broken by name, so that exports agree."""
+    return [F.col("ticker").asc_nulls_last(), F.col("fiscal_year").desc_nulls_first(),
+            F.col("company_name").asc_nulls_last()]
 
 
 def combine(income: DataFrame, sec: DataFrame) -> DataFrame:
@@ -76,7 +77,7 @@ def mart_financials(ratio_rows: DataFrame, companies: DataFrame, ordered: bool =
     wanted = ["ticker", *[c for c in MART_COLUMNS if c not in ratio_rows.columns]]
     out = ratio_rows.join(companies.select(*wanted), "ticker", "left").select(*MART_COLUMNS)
     if ordered:
-        out = out.orderBy(*MART_ORDER)
+        out = out.orderBy(*mart_order())
     return out
 
 

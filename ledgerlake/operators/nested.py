@@ -108,7 +108,7 @@ def latest_annual_in_array(values: Column, k: int = S.TOP_K_PERIODS) -> Column:
     descending with the built-in struct ordering (no comparator lambda), so equal
     periods keep document order and a missing period sorts last.
     """
-    vals = F.coalesce(values, F.array().cast(S.FACT_LIST))
+    vals = F.coalesce(values, F.array())
     keyed = F.transform(vals, lambda x, i: F.struct(
         F.coalesce(x["end"], F.lit("")).alias("k"), (-i).alias("n"), x.alias("f")))
     annual = F.filter(keyed, lambda e: e["f"]["form"] == F.lit(S.ANNUAL_FORM))

@@ -59,7 +59,7 @@ def coverage_from_filings(docs: DataFrame, doc: str = "doc", ticker: str = "tick
     d = F.col(doc)
     rows = F.array(*[
         F.struct(F.lit(m).alias("metric_name"),
-                 F.least(F.size(F.filter(F.coalesce(nested.metric_values(d, m), F.array().cast(S.FACT_LIST)),
+                 F.least(F.size(F.filter(F.coalesce(nested.metric_values(d, m), F.array()),
                                          lambda x: x["form"] == F.lit(S.ANNUAL_FORM))), F.lit(k))
                   .cast("bigint").alias("records_found"),
                  (~nested.has_metric(d, m)).alias("missing"))

@@ -209,7 +209,7 @@ def publish_curated(spark: SparkSession, lake: Lake, curated_financials: str | N
         if ok:
             sinks.write_parquet(company, lake.curated("financials"))
     if spark.catalog.tableExists(mart_name):
-        ordered = spark.table(mart_name).select(*mart.MART_COLUMNS).orderBy(*mart.MART_ORDER)
+        ordered = spark.table(mart_name).select(*mart.MART_COLUMNS).orderBy(*mart.mart_order())
         sinks.write_csv(ordered, lake.curated("mart_financials"))
     if spark.catalog.tableExists("raw_financials"):
         # K6: the loaded company table as curated CSV (available even before the mart)

@@ -37,7 +37,7 @@ def test_array_top5_equals_source_behaviour(km):
         if m not in src:
             assert m not in doc.metrics                       # missing metric -> no key
             continue
-        expected = [{k: v for k, v in f.items() if k in ("end", "val", "form")}
+        expected = [{k: v for k, v in f.items() if k in S.FACT_KEYS and v is not None}
                     for f in python_top5(src[m]["units"].get("USD", []))]
         assert _as_dicts(doc.metrics[m]) == expected, m
     assert doc.metrics["Liabilities"] == []                   # only EUR values
@@ -53,10 +53,10 @@ def test_documents_without_taxonomy(km):
 
 def _long_from_filings(filings):
     """Every USD fact of the allow-listed metrics as a long row with its list position."""
-    per_metric = filings.select(
-        "ticker", F.explode(F.col("doc.facts")[S.TAXONOMY]).alias("metric_name", "m"))
-    rows = per_metric.select("ticker", F.lit("x").alias("company_name"), "metric_name",
-                             F.posexplode(F.col("m.units")[S.UNIT]).alias("pos", "f"))
+    listed = F.array(*[F.struct(F.lit(m).alias("metric_name"),
+                                nested.metric_values(F.col("doc"), m).alias("xs")) for m in S.FACT_METRICS])
+    rows = filings.select("ticker", F.lit("x").alias("company_name"), F.inline(listed)).select(
+        "ticker", "company_name", "metric_name", F.posexplode("xs").alias("pos", "f"))
     return rows.select("ticker", "company_name", "metric_name",
                        F.col("f.end").alias("period_end"), F.col("f.val").alias("value"),
                        F.col("f.form").alias("form"), "pos")
@@ -102,6 +102,11 @@ def test_coverage_from_documents(km):
     assert cov[("BBB", "Assets")] == (0, True)
 
 
+def test_coverage_from_filings_equals_that_of_the_cut_documents(filings, km):
+    a = sorted(map(tuple, quality.coverage_from_filings(filings).collect()))
+    assert a == sorted(map(tuple, quality.coverage_from_documents(km).collect()))
+
+
 def test_metric_coverage_long(spark):
     rows = [("T", "NetIncomeLoss", "10-K")] * 7 + [("T", "Assets", "10-Q"), ("U", "Revenues", "10-K")]
     df = spark.createDataFrame(rows, "ticker string, metric_name string, form string")

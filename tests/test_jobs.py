@@ -1,15 +1,21 @@
 """Composite jobs G1-G6 and sinks K1-K12 on temporary folders."""
 
+import csv
 import os
 
 import pytest
 
 from fixtures import write_company_csv, write_filings, write_statements
-from ledgerlake.operators import nested
+from ledgerlake import schemas as S
+from ledgerlake.operators import mart, quality
 from ledgerlake.plans import jobs
 from ledgerlake.sinks import files as sinks
 from ledgerlake.sources import files as sources
-from ledgerlake.streaming.landing import land_new_documents
+
+
+def drop_raw(spark):
+    for t in jobs.RAW_TABLES:
+        spark.sql(f"DROP VIEW IF EXISTS {t}")
 
 
 @pytest.fixture(scope="module")
@@ -44,12 +50,9 @@ def test_g3_to_g5(spark, inputs, tmp_path):
     assert cov.filter("missing").count() == 1 + 6 + 6        # AAA op. income, BBB, CCC
     km = spark.read.json(sec_dir)                            # JSON Lines, ticker inside
     assert sorted(r.ticker for r in km.select("ticker").collect()) == ["AAA", "BBB", "CCC"]
-    spark.sql("DROP TABLE IF EXISTS raw_financials")
-    spark.sql("DROP TABLE IF EXISTS raw_income_statements")
-    spark.sql("DROP TABLE IF EXISTS raw_sec_facts")
+    drop_raw(spark)
     counts = {r.table_name: (r.row_count, r.present) for r in
-              jobs.raw_table_load(spark, inputs["csv"], inputs["api"], sec_dir,
-                                  sec_glob="*.json", sec_multi_line=False).collect()}
+              jobs.raw_table_load(spark, inputs["csv"], inputs["api"], sec_dir).collect()}
     assert counts["raw_financials"] == (13, True)
     assert counts["raw_income_statements"] == (9, True)
     assert counts["raw_sec_facts"] == (9, True)              # 5 + 2 + 2 facts of AAA
@@ -64,7 +67,7 @@ def test_g3_to_g5(spark, inputs, tmp_path):
 
 
 def test_g4_missing_source_reported(spark, inputs, tmp_path):
-    spark.sql("DROP TABLE IF EXISTS raw_sec_facts")
+    drop_raw(spark)
     counts = {r.table_name: r.present for r in jobs.raw_table_load(
         spark, inputs["csv"], inputs["api"], str(tmp_path / "absent")).collect()}
     assert counts["raw_sec_facts"] is False and counts["raw_financials"] is True
@@ -80,7 +83,7 @@ def test_g6_lake_publish(spark, inputs, tmp_path):
     assert any("/raw/company/" in p for p in paths)
     assert any("/raw/landed/source=api/" in p for p in paths)
     assert any("/curated/financials/" in p for p in paths)
-    landed = sources.read_landed(spark, lake.landed, "api", nested.S.INCOME_DOC)
+    landed = sources.read_landed(spark, lake.landed, "api", S.STATEMENT_DOC)
     assert landed.count() == 7
 
 
@@ -114,21 +117,6 @@ def test_s11_empty_result_leaves_target(spark, tmp_path):
     assert not os.path.exists(target)
 
 
-def test_streaming_landing_exactly_once(spark, tmp_path):
-    src = tmp_path / "incoming"
-    src.mkdir()
-    (src / "A_income_statement.json").write_text('{"symbol": "A"}')
-    (src / "B_income_statement.json").write_text('{\n  "symbol": "B"\n}\n')
-    out, ckpt = str(tmp_path / "landed"), str(tmp_path / "ckpt")
-    land_new_documents(spark, str(src), "*.json", "api", out, ckpt).awaitTermination()
-    (src / "C_income_statement.json").write_text('{"symbol": "C"}')
-    land_new_documents(spark, str(src), "*.json", "api", out, ckpt).awaitTermination()
-    land_new_documents(spark, str(src), "*.json", "api", out, ckpt).awaitTermination()
-    names = sorted(r.file_name for r in spark.read.parquet(out).collect())
-    assert names == ["A_income_statement.json", "B_income_statement.json",
-                     "C_income_statement.json"]
-
-
 def test_s2_profile_and_s9_table(spark, inputs):
     prof = sources.profile_csv(spark, inputs["csv"])
     assert prof["rows"] == 13 and len(prof["columns"]) == 14 and len(prof["sample"]) == 2
@@ -139,7 +127,7 @@ def test_s2_profile_and_s9_table(spark, inputs):
 
 
 def test_k6_raw_company_export(spark, inputs, tmp_path):
-    spark.sql("DROP TABLE IF EXISTS raw_financials")
+    drop_raw(spark)
     jobs.raw_table_load(spark, inputs["csv"], inputs["api"], str(tmp_path / "none"))
     lake = jobs.Lake(str(tmp_path / "lake2"))
     jobs.lake_publish(spark, lake, inputs["csv"], inputs["api"], inputs["sec_full"])
@@ -147,33 +135,8 @@ def test_k6_raw_company_export(spark, inputs, tmp_path):
     assert back.count() == 13 and "price_per_earnings" in back.columns
 
 
-def test_streaming_extraction_matches_batch(spark, inputs, tmp_path):
-    import json
-    import shutil
-
-    from ledgerlake.streaming.extraction import extract_new_filings
-
-    src = tmp_path / "filings_in"
-    src.mkdir()
-    shutil.copy(os.path.join(inputs["sec_full"], "AAA.json"), src / "AAA.json")
-    out, ckpt = str(tmp_path / "km_stream"), str(tmp_path / "ckpt_x")
-    extract_new_filings(spark, str(src), out, checkpoint=ckpt).awaitTermination()
-    for name in ("BBB.json", "CCC.json", "DDD.json"):
-        shutil.copy(os.path.join(inputs["sec_full"], name), src / name)
-    extract_new_filings(spark, str(src), out, checkpoint=ckpt).awaitTermination()
-    extract_new_filings(spark, str(src), out, checkpoint=ckpt).awaitTermination()
-    streamed = sources.read_key_metrics(spark, out, glob="*.json", multi_line=False)
-    got = sorted(json.dumps(r.km.asDict(recursive=True), sort_keys=True) for r in streamed.collect())
-    batch_dir = str(tmp_path / "km_batch")
-    jobs.facts_extraction(spark, inputs["sec_full"], batch_dir)
-    batch = sources.read_key_metrics(spark, batch_dir, glob="*.json", multi_line=False)
-    want = sorted(json.dumps(r.km.asDict(recursive=True), sort_keys=True) for r in batch.collect())
-    assert got == want and len(got) == 3                      # DDD ({}) skipped, no repeats
-
-
 def test_daily_refresh_order(spark, inputs, tmp_path):
-    for t in ("raw_financials", "raw_income_statements", "raw_sec_facts"):
-        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    drop_raw(spark)
     lake = jobs.Lake(str(tmp_path / "daily"))
     out = jobs.daily_refresh(spark, lake, inputs["csv"], inputs["api"], inputs["sec_full"])
     counts = {r.table_name: r.row_count for r in out["table_counts"].collect()}
@@ -197,12 +160,10 @@ def test_swap_refresh_keeps_old_version(spark):
 
 
 def test_mart_checkpoint_cuts_lineage(spark, inputs, tmp_path):
-    for t in ("raw_financials", "raw_income_statements", "raw_sec_facts"):
-        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    drop_raw(spark)
     km_dir = str(tmp_path / "km")
     jobs.facts_extraction(spark, inputs["sec_full"], km_dir)
-    jobs.raw_table_load(spark, inputs["csv"], inputs["api"], km_dir,
-                        sec_glob="*.json", sec_multi_line=False)
+    jobs.raw_table_load(spark, inputs["csv"], inputs["api"], km_dir)
     m = jobs.build_mart(spark, checkpoint=True)
     plan = m._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" in plan and "Join" not in plan      # reads the checkpoint, no recompute
@@ -220,7 +181,7 @@ def test_g3_from_landed_raw_zone(spark, inputs, tmp_path):
     assert sorted(map(tuple, cov_a.collect())) == sorted(map(tuple, cov_b.collect()))
 
     def docs(d):
-        rows = sources.read_key_metrics(spark, d, glob="*.json", multi_line=False).collect()
+        rows = sources.read_key_metrics(spark, d).collect()
         return sorted(json.dumps(r.km.asDict(recursive=True), sort_keys=True) for r in rows)
     assert docs(a_dir) == docs(b_dir)
 
@@ -228,25 +189,18 @@ def test_g3_from_landed_raw_zone(spark, inputs, tmp_path):
 def test_command_line_daily(spark, inputs, tmp_path):
     from ledgerlake.__main__ import main
 
-    for t in ("raw_financials", "raw_income_statements", "raw_sec_facts"):
-        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    drop_raw(spark)
     out = main(["daily", "--lake", str(tmp_path / "cli_lake"), "--csv", inputs["csv"],
                 "--api", inputs["api"], "--filings", inputs["sec_full"]], spark=spark)
     tables = {r["table_name"]: r["row_count"] for r in out["tables"]}
     assert tables == {"raw_financials": 13, "raw_income_statements": 9, "raw_sec_facts": 9}
     assert out["totals"][0]["total_files"] > 5
     etl = main(["company-etl", "--csv", inputs["csv"], "--out", str(tmp_path / "etl")], spark=spark)
-    assert etl["counts"]["rows_out"] == 7 and etl["sector_summary"][0]["sector"] == "Tech"
+    assert etl["counts"]["rows_out"] == 7 and etl["sector_summary"]["sample"][0]["sector"] == "Tech"
+    assert etl["sector_summary"]["rows"] >= 1
     ex = main(["extract-facts", "--filings", inputs["sec_full"], "--out", str(tmp_path / "kx")],
               spark=spark)
     assert ex["coverage"][0] == {"documents": 3, "missing_metric_pairs": 13, "records_kept": 9}
-    inc = main(["extract-facts", "--incremental", "--filings", inputs["sec_full"],
-                "--out", str(tmp_path / "kinc"), "--checkpoint", str(tmp_path / "kinc_ck")],
-               spark=spark)
-    assert inc["job"] == "extract-facts"
-    n = sources.read_key_metrics(spark, str(tmp_path / "kinc"), glob="*.json",
-                                 multi_line=False).count()
-    assert n == 3
 
 
 def test_relanding_one_source_keeps_the_others(spark, inputs, tmp_path):
@@ -301,3 +255,85 @@ def test_readme_library_example_runs(spark, inputs, tmp_path):
     ns = {"spark": spark}
     exec(code, ns)  # noqa: S102 - the documented example itself
     assert ns["the_mart"].count() == 8
+
+
+def test_mart_columns_and_order_survive_the_write(spark, inputs, tmp_path):
+    drop_raw(spark)
+    lake = jobs.Lake(str(tmp_path / "ordered"))
+    m = jobs.daily_refresh(spark, lake, inputs["csv"], inputs["api"], inputs["sec_full"])["mart"]
+    assert m.columns == mart.MART_COLUMNS
+    assert spark.table("mart_financials").columns == mart.MART_COLUMNS
+    out = lake.curated("mart_financials")
+    parts = sorted(f for f in os.listdir(out) if f.endswith(".csv"))
+    lines = []
+    for f in parts:
+        with open(os.path.join(out, f), newline="") as h:
+            header, *rows = csv.reader(h)
+        assert header == mart.MART_COLUMNS
+        lines += rows
+    keys = [(r[0], -int(r[3])) for r in lines]
+    assert len(keys) == 8 and keys == sorted(keys)
+    assert not os.path.exists(os.path.join(lake.root, "curated", "financials_parquet"))  # one copy
+
+
+def test_partitioned_write_makes_few_files(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id % 3 as fiscal_year", "id").repartition(16)
+    sinks.write_parquet(df, str(tmp_path / "few"), partition_by=["fiscal_year"])
+    for d in os.listdir(tmp_path / "few"):
+        if "=" in d:
+            assert len([f for f in os.listdir(tmp_path / "few" / d) if f.endswith(".parquet")]) == 1
+
+
+def test_corrupt_documents_are_counted_or_fail(spark, inputs, tmp_path):
+    api = write_statements(str(tmp_path / "api"))
+    with open(os.path.join(api, "BAD_income_statement.json"), "w") as f:
+        f.write('{"symbol": "BAD", "annualReports": [{"fiscalDateEnding": "2023-12-31", "totalRe')
+    docs = sources.read_statements(spark, api)
+    assert {r.status: r["count"] for r in docs.groupBy("status").count().collect()}["corrupt"] == 1
+    drop_raw(spark)
+    with pytest.raises(Exception, match="corrupt document"):
+        jobs.raw_table_load(spark, inputs["csv"], api, str(tmp_path / "none"))
+    counts = {r.table_name: r.row_count for r in jobs.raw_table_load(
+        spark, inputs["csv"], api, str(tmp_path / "none"), strict=False).collect()}
+    assert counts["raw_income_statements"] == 9
+    sec = write_filings(str(tmp_path / "sec"))
+    with open(os.path.join(sec, "EEE.json"), "w") as f:
+        f.write('{"entityName": "Eps", "facts": {"us-gaap": {')
+    rejects = {r.status: r.n_documents for r in
+               quality.document_rejects(sources.read_filings(spark, sec)).collect()}
+    assert rejects == {"ok": 2, "without_facts": 1, "empty": 1, "corrupt": 1}
+
+
+def test_statements_keep_every_key(spark, inputs):
+    drop_raw(spark)
+    jobs.raw_table_load(spark, inputs["csv"], inputs["api"], inputs["sec_full"])
+    assert "other_fields" in spark.table("raw_income_statements").columns
+
+
+def test_counts_are_those_of_the_target(spark, inputs, tmp_path):
+    """A writer that writes nothing must not be credited with an older catalog table."""
+    drop_raw(spark)
+    jobs.raw_table_load(spark, inputs["csv"], inputs["api"], str(tmp_path / "none"))
+    report = jobs.raw_table_load(spark, inputs["csv"], inputs["api"], str(tmp_path / "none"),
+                                 write=lambda df, name: None, read=lambda name: None)
+    assert not any(r.present for r in report.collect())
+    with pytest.raises(ValueError):
+        jobs.raw_table_load(spark, inputs["csv"], inputs["api"], "x", write=lambda df, name: None)
+
+
+def test_register_external_refuses_managed_tables(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS keep_me")
+    spark.range(5).write.saveAsTable("keep_me")
+    spark.range(2).write.parquet(str(tmp_path / "ext"))
+    with pytest.raises(ValueError, match="refusing"):
+        sinks.register_external(spark, "keep_me", str(tmp_path / "ext"))
+    assert spark.table("keep_me").count() == 5
+    for _ in range(2):
+        assert sinks.register_external(spark, "ext_t", str(tmp_path / "ext")).count() == 2
+
+
+def test_company_lines_parse_like_the_file(spark, inputs):
+    path = inputs["csv"]
+    lines = spark.read.text(path).filter("value not like 'Symbol,%'")
+    from_lines = sorted(map(str, sources.company_lines(lines).collect()))
+    assert from_lines == sorted(map(str, sources.read_company_csv(spark, path).collect()))

@@ -3,6 +3,7 @@
 import pytest
 
 from conftest import SF0001
+from ledgerlake.operators import quality
 from ledgerlake.plans.catalog import QUERIES
 
 
@@ -32,7 +33,7 @@ def test_scans_are_pruned(spark):
     p = plan(QUERIES["mart_financials"](spark, SF0001))
     assert "l_comment" not in p and "o_orderkey" not in p
     assert "l_shipmode" not in p
-    inv = plan(QUERIES["lake_inventory"](spark, SF0001))
+    inv = plan(quality.lake_files(spark, SF0001, "*.parquet"))
     assert "ReadSchema: struct<path:string,length:bigint>" in inv   # file bytes never read
 
 
@@ -63,3 +64,19 @@ def test_every_scan_reads_a_column_subset(spark):
                 seen += 1
                 assert width < full[t], (name, t, width)
     assert seen > 30
+
+
+def test_statement_unions_scan_once(spark):
+    for name in ("statements_union", "statements_union_docs"):
+        assert plan(QUERIES[name](spark, SF0001)).count("FileScan") == 1, name
+
+
+def test_distinct_periods_are_cut_before_the_shuffle(spark):
+    p = plan(QUERIES["facts_top5_distinct_period"](spark, SF0001))
+    assert "SortAggregate" not in p and p.count("Exchange") == 1
+    assert "dense_rank" in p and "WindowGroupLimit" in p
+
+
+def test_filings_are_parsed_for_the_wanted_metrics_only(spark):
+    p = QUERIES["facts_top5_array"](spark, SF0001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "us-gaap" in p and "EarningsPerShareBasic" not in p.split("from_json")[-1][:400]
