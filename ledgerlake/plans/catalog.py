@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from ledgerlake import schemas as S
 from ledgerlake.operators import clean, mart, metrics, nested, quality, reports, staging, topk
 from ledgerlake.plans import proxies as P
+from ledgerlake.sinks import files as sinks
+from ledgerlake.sources import files as sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +87,21 @@ def parse_rejects(spark, d):
     return quality.parse_rejects(P.raw_companies(spark, d))
 
 
+def source_company_lines(spark, d):
+    """S1 on landed text: company rows as CSV lines, parsed with the reader's schema and
+    quoting, then cleaned."""
+    raw = P.raw_companies(spark, d)
+    lines = raw.select(F.to_csv(F.struct(*[F.col(f"`{c}`") for c in raw.columns]),
+                                {"quote": '"', "escape": '"'}).alias("value"))
+    return clean.company_clean(sources.company_lines(lines))
+
+
+def source_view(spark, d):
+    """A relation registered as a view and read by its name."""
+    sinks.register_views({"company_source": raw_financials(spark, d)})
+    return staging.stg_financials(sources.read_table(spark, "company_source"))
+
+
 # -- statements -------------------------------------------------------------
 
 def stg_income_statements(spark, d):
@@ -279,6 +296,8 @@ QUERIES: dict[str, Query] = {
     "company_metrics": company_metrics,
     "company_metrics_normalised": company_metrics_normalised,
     "sector_summary": sector_summary,
+    "source_company_lines": source_company_lines,
+    "source_view": source_view,
     "stg_financials": stg_financials,
     "stg_income_statements": stg_income_statements,
     "statements_explode": statements_explode,
