@@ -151,5 +151,6 @@ def company_lines(lines: DataFrame, column: str = "value", schema: T.StructType
     as `read_company_csv`."""
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parsed = F.from_csv(F.col(column), ddl, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
-    return lines.select(parsed.alias("r")).select("r.*")
+    # Unfolded as one row, so that a line is parsed once, not once per column.
+    return lines.select(F.inline(F.array(parsed)))
 
