@@ -33,7 +33,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2.0
-BLOCK_WORDS = 128
+BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
 CHUNK_DOCS = 20_000
 SEED = 20240229
@@ -159,7 +159,13 @@ def pieces(place: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 def manifest(place: DataFrame, by_source: DataFrame) -> DataFrame:
     """(number, block, shard, position, start, at, words): which words of which document go
     where. (number, start) is a document's key in `place`."""
-    return slots(by_source).join(pieces(place), ["number", "block"])
+    return _merged(slots(by_source)).join(pieces(place), ["number", "block"])
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    """Rows that were unfolded from a small table: the planner would take their size for
+    that table's and broadcast them, however many they are."""
+    return rows.hint("merge")
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
@@ -187,7 +193,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     place = placed(sized(docs, id_col, text_col, source_col, keep_text=True), by_source, sizes.count())
     piece = F.struct("at", "id", "words", "text")
     blocks = pieces(place).groupBy("number", "block").agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
-    filled = slots(by_source).join(blocks, ["number", "block"])
+    filled = _merged(slots(by_source)).join(blocks, ["number", "block"])
     names = by_source.select("number", "source")
     return filled.join(names, "number").select(
         "shard", "position", "source", "block",

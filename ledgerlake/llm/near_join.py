@@ -49,7 +49,7 @@ def banding(threshold: float, recall: float = RECALL, most: int = MOST_HASHES) -
     best = (most, 1)
     for rows in range(1, most + 1):
         hit = threshold ** rows
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - hit)) if hit < 1 else 1
+        bands = math.ceil(math.log(1 - recall) / math.log1p(-hit)) if hit < 1 else 1
         if bands * rows <= most:
             best = (bands, rows)
     return best
@@ -66,7 +66,7 @@ def gram_sets(texts: list[str | None], n: int = WORDS) -> list[np.ndarray]:
         factors = common.mix64(np.arange(n), 7) | np.uint64(1)
         full = np.zeros(max(0, len(h) - n + 1), np.uint64)
         for i in range(n):
-            full += h[i:len(h) - n + 1 + i] * factors[i]
+            full += h[i:i + len(full)] * factors[i]
         full = common.mix64(full)
         out, at = [], 0
         for ws in lists:

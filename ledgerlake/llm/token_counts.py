@@ -72,7 +72,7 @@ def count_tokens(texts: list[str], path: str) -> list[int]:
             cache.clear()
         else:
             cache.update((p, n) for p, n in lengths.items() if len(p) <= CACHED_CHARS)
-            if len(cache) and any(len(p) > CACHED_CHARS for p in new):
+            if any(len(p) > CACHED_CHARS for p in new):
                 known = _Both(lengths, cache)
     get = known.__getitem__
     return [sum(map(get, ps)) for ps in cut]
