@@ -36,6 +36,7 @@ MOST = 2.0
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
 CHUNK_DOCS = 20_000
+SLOTS_PER_TASK = 1_000_000
 SEED = 20240229
 ROUNDS = 4
 # Walks leave a grid's excess with probability 1 - 1/sqrt(n) a step, and no walk is longer
@@ -123,10 +124,14 @@ def slots(by_source: DataFrame) -> DataFrame:
     """(number, block, shard, position): one row per output slot. Slots are made in groups,
     which are dealt before they are unfolded."""
     group = 16_384
+    spark = by_source.sparkSession
+    total = by_source.agg(F.max("all_slots")).first()[0] or 0
+    # A number of its own: by their size the few group rows would be merged into one task.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SLOTS_PER_TASK))
     g = by_source.where("slots > 0").select(
         "number", "blocks", "slots", "slot_from", "all_slots",
         F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / group))).alias("group"))
-    k = g.repartition("number", "group").select("*", F.explode(F.sequence(
+    k = g.repartition(tasks, "number", "group").select("*", F.explode(F.sequence(
         F.col("group") * group, F.least(F.col("slots"), (F.col("group") + 1) * group) - 1)).alias("k"))
     place = permuted(F.col("slot_from") + F.col("k"), F.col("all_slots"), F.lit(SEED))
     block = permuted(F.col("k") % F.col("blocks"), F.col("blocks"), F.lit(SEED), F.col("number"), F.floor(F.col("k") / F.col("blocks")))
