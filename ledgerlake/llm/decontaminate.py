@@ -173,4 +173,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+    return contamination(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark")).drop("spans")

@@ -35,7 +35,7 @@ SHARE = 1.5
 MOST = 2.0
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
-CHUNK_DOCS = 20_000
+CHUNK_DOCS = 5_000
 SLOTS_PER_TASK = 1_000_000
 SEED = 20240229
 ROUNDS = 4

@@ -158,8 +158,9 @@ def verified(docs: DataFrame, sets: DataFrame, groups: DataFrame, text_col: str,
     others; `links` counts rows whose different set is similar to a's."""
     t = Fraction(threshold).limit_denominator(1000)
     chosen = groups.join(sets.withColumnRenamed("set", "node"), "node")
-    sizes = groups.join(sets.select(F.col("set").alias("node"), "grams"), "node").groupBy("root").agg(
-        F.greatest(F.ceil(F.count("*") / CHUNK_SETS), F.ceil(F.sum("grams") / CHUNK_GRAMS)).cast("int").alias("chunks"))
+    # Written, so that the join by root has an exchange on both sides and a large group splits.
+    sizes = common.written(groups.join(sets.select(F.col("set").alias("node"), "grams"), "node").groupBy("root").agg(
+        F.greatest(F.ceil(F.count("*") / CHUNK_SETS), F.ceil(F.sum("grams") / CHUNK_GRAMS)).cast("int").alias("chunks")), "group-sizes")
     chosen = chosen.join(sizes, "root").select("root", "node", "copies", "chunks", F.col("least.r1").alias("r1"), F.col("least.r2").alias("r2"))
     texts = docs.select(F.col(text_col).alias("text"), _row_key(docs).alias("key")).select("text", "key.*")
     found = texts.join(chosen, ["r1", "r2"]).drop("r1", "r2")
@@ -255,7 +256,7 @@ def near_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
         links.groupBy(F.col("a").alias("set")).agg(F.sum("links").alias("links")), "set", "left").join(
         classes.withColumnsRenamed({"node": "set"}), "set", "left").withColumn("root", F.coalesce("root", "set"))
     per_set = common.written(per_set, "set-classes")
-    least = per_set.groupBy("root").agg(F.min("least").alias("class_least"))
+    least = common.written(per_set.groupBy("root").agg(F.min("least").alias("class_least")), "class-least")
     per_set = common.written(per_set.join(least, "root").select(
         "set", "class_least", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "set-classes")
     own = F.struct(F.col("id").isNull().alias("last"), "id", "r1", "r2")

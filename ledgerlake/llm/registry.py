@@ -5,6 +5,7 @@ from ledgerlake.llm.lattice_lm import op5_lattice_lm
 from ledgerlake.llm.licenses import op1_licenses
 from ledgerlake.llm.mixing import op4_mixing
 from ledgerlake.llm.near_join import op9_near_join
+from ledgerlake.llm.oracle import ORACLE
 from ledgerlake.llm.prefix_forest import op2_prefix_forest
 from ledgerlake.llm.secrets import op10_secrets
 from ledgerlake.llm.token_counts import op6_token_counts
@@ -26,4 +27,4 @@ LLM_QUERIES = {
         op10_secrets,
     )
 }
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = dict(ORACLE)
