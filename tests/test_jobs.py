@@ -97,6 +97,8 @@ def test_k4_jdbc_embedded(spark, inputs):
         pytest.skip(f"embedded Derby unavailable: {type(e).__name__}")
     back = sources.read_jdbc(spark, url, "raw_t", props, "id", 0, 1200, 4)
     assert back.count() == 1200
+    own_bounds = sources.read_jdbc(spark, url, "raw_t", props, "id", num_partitions=4)
+    assert own_bounds.count() == 1200 and own_bounds.rdd.getNumPartitions() == 4
     # a view in the database over the table survives a second full refresh
     jvm = spark.sparkContext._jvm
     conn = jvm.java.sql.DriverManager.getConnection(url)
