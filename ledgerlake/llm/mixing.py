@@ -33,9 +33,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2.0
-BLOCK_WORDS = 64
+BLOCK_WORDS = 128
 SHARD_SLOTS = 4096
-CHUNK_DOCS = 5_000
+CHUNK_DOCS = 2_000
 SLOTS_PER_TASK = 1_000_000
 SEED = 20240229
 ROUNDS = 4

@@ -48,7 +48,7 @@ STEPS = 40
 ROUNDS = 2
 RATE = 0.5
 L2 = 1e-5
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 SPREAD = 30.0  # logits are kept within this
 
 # A token, or a mark that ends a sentence.
