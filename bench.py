@@ -2,8 +2,8 @@
 
 Each query is built and executed to completion with the `noop` sink (full evaluation,
 nothing collected to the driver), $BENCH_REPEATS times (default 2); the best time per
-query is kept (source shaping and staging relations are plans defined once per
-session, like views; no data is cached). One JSON line is printed:
+query is kept (every run lists its tables and plans anew; nothing is cached). One JSON line
+is printed:
 {"metric": "total_query_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 """
 
