@@ -1,6 +1,12 @@
 """Licence scans: a trained classifier of paragraphs, confirmed by templates.
 
-Paragraphs are lines. A sparse multinomial logistic regression over the word n-grams
+Paragraphs are lines, and windows of words over adjacent lines, as notices are wrapped: a
+window is a stretch of a block (lines up to one without words; comment marks are no words)
+that holds `CONFIRM` of a template's word pairs within `STRETCH` times its words. The best
+windows that share no word count, so a line may give several families. What is reported is
+the stretch of whole lines.
+
+A sparse multinomial logistic regression over the word n-grams
 (`NGRAMS`) that occur in the templates gives each the probability of every licence family
 and of `unknown`. It is trained on the templates, on copies of them with words dropped and
 with foreign words around, on shuffled templates and on lines of a bounded sample of the
@@ -10,8 +16,9 @@ that a paragraph is unknown when `unknown` is the likeliest, or nothing reaches
 prediction counts when the paragraph holds `CONFIRM` of the word pairs of one of the
 family's templates; otherwise it is reported as unconfirmed.
 
-Every paragraph of every text is classified; one without any word of a template that is not
-a stop word is unknown without looking further, as it can hold `CONFIRM` of none.
+Every line and window of every text is classified; a line or block without any word of a
+template that is not a stop word is unknown without looking further, as it can hold `CONFIRM`
+of none. A window replaces what the lines it touches gave by its words alone.
 
 Defined results: a null text is an empty text; empty texts have no paragraphs; repeated rows
 get equal results; an empty table gives an empty result; columns other than id and text are
@@ -20,7 +27,10 @@ ignored.
 
 from __future__ import annotations
 
+import heapq
 import re
+from bisect import bisect_right
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,12 +47,15 @@ COPIES = 60
 DROPPED = 0.2
 LEAST = 0.5
 CONFIRM = 0.6
+STRETCH = 2
 STEPS = 300
 RATE = 0.3
 L2 = 1e-4
 SEED = 11
 
 _LINE = re.compile(r"[^\n]+")
+# Comment marks that are words, at the start of a line.
+_MARK = re.compile(r"[ \t]*(?:rem|dnl)(?![^ \t])", re.IGNORECASE)
 FAMILIES = tuple(TEMPLATES)
 UNKNOWN = len(FAMILIES)
 
@@ -61,6 +74,13 @@ def pairs(words: list[str]) -> set[tuple[str, ...]]:
 
 TEMPLATE_PAIRS = tuple(tuple(pairs(_words(t)) for t in TEMPLATES[f]) for f in FAMILIES)
 VOCABULARY = {g: i for i, g in enumerate(sorted({g for f in FAMILIES for t in TEMPLATES[f] for g in ngrams(_words(t))}))}
+# Every template (its family and place among the family's), and those that hold a pair.
+PLACES = tuple((c, i) for c, ts in enumerate(TEMPLATE_PAIRS) for i in range(len(ts)))
+HOLDERS: dict[tuple[str, str], list[int]] = {}
+for _at, (_c, _i) in enumerate(PLACES):
+    for _pair in TEMPLATE_PAIRS[_c][_i]:
+        HOLDERS.setdefault(_pair, []).append(_at)
+LENGTHS = tuple(STRETCH * len(_words(TEMPLATES[FAMILIES[c]][i])) for c, i in PLACES)
 ANCHORS = frozenset(w.encode() for f in FAMILIES for t in TEMPLATES[f] for w in _words(t) if w not in STOP_WORDS)
 
 
@@ -137,27 +157,139 @@ def sample_lines(docs: DataFrame, id_col: str, text_col: str) -> list[str]:
     return sorted(line for (text,) in rows.toLocalIterator() for line in text.split("\n") if line.strip())
 
 
+def _candidates(words: list[str]) -> list[tuple[int, int, int]]:
+    """(template, from, to) of the windows that hold `CONFIRM` of a template's pairs: for each
+    last pair the longest that is not too long, without repeated pairs at its start."""
+    hits: dict[int, list[int]] = {}
+    pair_at = list(zip(words, words[1:]))
+    for i, pair in enumerate(pair_at):
+        for at in HOLDERS.get(pair, ()):
+            hits.setdefault(at, []).append(i)
+    out = []
+    for at, places in hits.items():
+        c, i = PLACES[at]
+        need, seen, first = CONFIRM * len(TEMPLATE_PAIRS[c][i]), Counter(), 0
+        if len(places) < need:
+            continue
+        for last in places:
+            seen[pair_at[last]] += 1
+            while True:
+                pair = pair_at[places[first]]
+                if last + 2 - places[first] <= LENGTHS[at] and (seen[pair] == 1 or places[first] == last):
+                    break
+                seen[pair] -= 1
+                if not seen[pair]:
+                    del seen[pair]
+                first += 1
+            if len(seen) >= need:
+                out.append((at, places[first], last + 2))
+    return out
+
+
+def windows(words: list[str]) -> list[tuple[int, int]]:
+    """[from, to) of the best windows: those that hold most of a template's pairs come first,
+    later ones are cut to the words that are left."""
+    def rated(at: int, a: int, b: int) -> tuple | None:
+        c, i = PLACES[at]
+        mine = TEMPLATE_PAIRS[c][i]
+        held = [k for k in range(a, b - 1) if (words[k], words[k + 1]) in mine]
+        n = len({(words[k], words[k + 1]) for k in held})
+        if n < CONFIRM * len(mine):
+            return None
+        a, b = held[0], held[-1] + 2
+        return -n / len(mine), -n, b - a, a, b, at
+
+    heap = [r for r in (rated(*x) for x in _candidates(words)) if r]
+    heapq.heapify(heap)
+    taken, out = bytearray(len(words)), []
+    while heap:
+        *_, a, b, at = heapq.heappop(heap)
+        if taken.find(1, a, b) < 0:
+            out.append((a, b))
+            taken[a:b] = b"\1" * (b - a)
+            continue
+        for m in re.finditer(rb"\0+", taken[a:b]):
+            if r := rated(at, a + m.start(), a + m.end()):
+                heapq.heappush(heap, r)
+    return sorted(out)
+
+
+def _alike(c: int, mine: set) -> float:
+    return max(len(t & mine) / len(t) for t in TEMPLATE_PAIRS[c])
+
+
+def _classified(paragraphs: list[list[str]], model: Model) -> list[tuple[int, float, float] | None]:
+    """(family, probability, similarity) of each paragraph, or nothing if it is unknown."""
+    if not paragraphs:
+        return []
+    out: list[tuple[int, float, float] | None] = []
+    for words, row in zip(paragraphs, model.probabilities(paragraphs)):
+        c = int(row.argmax())
+        out.append(None if c == UNKNOWN or row[c] < LEAST else (c, float(row[c]), _alike(c, pairs(words))))
+    return out
+
+
+def _in_block(block: list[tuple[int, int, list[str]]], model: Model) -> list[dict]:
+    """Licence paragraphs of adjacent lines (start, end, words)."""
+    starts, words = [], []
+    for _, _, ws in block:
+        starts.append(len(words))
+        words += ws
+    ends = [*starts[1:], len(words)]
+    spans = windows(words)
+    asked = [i for i, (_, _, ws) in enumerate(block) if not ANCHORS.isdisjoint(w.encode() for w in ws)]
+    got = _classified([words[a:b] for a, b in spans] + [block[i][2] for i in asked], model)
+    # Confirmed windows: [first line, last line], words, result.
+    firm = [(bisect_right(starts, a) - 1, bisect_right(starts, b - 1) - 1, a, b, r)
+            for (a, b), r in zip(spans, got) if r and r[2] >= CONFIRM]
+    found: dict[tuple[int, int, int], tuple[int, float, float]] = {}
+    over: dict[int, list] = {}
+    for w in firm:
+        for i in range(w[0], w[1] + 1):
+            over.setdefault(i, []).append(w)
+        key = (w[0], w[1], w[4][0])
+        found[key] = max(found.get(key, w[4]), w[4], key=lambda r: r[2])
+    for i, r in zip(asked, got[len(spans):]):
+        if not r:
+            continue
+        on = over.get(i, [])
+        if r[2] < CONFIRM:
+            if on:
+                continue
+        elif (i, i, r[0]) not in found and on:
+            # Only what the line holds beside the windows confirms another family.
+            free, at = set(), starts[i]
+            for _, _, a, b, _ in sorted(on, key=lambda w: w[2]):
+                free |= pairs(words[at:max(at, a)])
+                at = max(at, b)
+            if _alike(r[0], free | pairs(words[at:ends[i]])) < CONFIRM:
+                continue
+        found[i, i, r[0]] = r
+    return [{"family": FAMILIES[c], "start": block[i][0], "end": block[j][1], "probability": r[1],
+             "similarity": r[2], "confirmed": r[2] >= CONFIRM} for (i, j, c), r in sorted(found.items())]
+
+
 def find(text: str, model: Model) -> list[dict]:
     """Licence paragraphs of a text, in order, with [start, end) code points."""
     if not text or ANCHORS.isdisjoint(common.words_of(text)):
         return []
-    spots, lines = [], []
+    out: list[dict] = []
+    block: list[tuple[int, int, list[bytes]]] = []
+
+    def close() -> None:
+        if any(not ANCHORS.isdisjoint(ws) for _, _, ws in block):
+            out.extend(_in_block([(a, b, [w.decode("utf-8", "replace") for w in ws]) for a, b, ws in block], model))
+        block.clear()
+
+    at = 0
     for m in _LINE.finditer(text):
-        if not ANCHORS.isdisjoint(common.words_of(m[0])):
-            spots.append(m.span())
-            lines.append(_words(m[0]))
-    if not lines:
-        return []
-    p = model.probabilities(lines)
-    out = []
-    for (start, end), words, row in zip(spots, lines, p):
-        c = int(row.argmax())
-        if c == UNKNOWN or row[c] < LEAST:
-            continue
-        mine = pairs(words)
-        alike = max(len(t & mine) / len(t) for t in TEMPLATE_PAIRS[c])
-        out.append({"family": FAMILIES[c], "start": start, "end": end, "probability": float(row[c]),
-                    "similarity": alike, "confirmed": alike >= CONFIRM})
+        words = common.words_of(_MARK.sub("", m[0], count=1))
+        if m.start() > at + 1 or not words:
+            close()
+        at = m.end()
+        if words:
+            block.append((*m.span(), words))
+    close()
     return out
 
 

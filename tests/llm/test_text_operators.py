@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import math
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -127,6 +128,41 @@ def test_every_template_is_found_and_confirmed(licence_model):
             assert stop < licenses.CONFIRM * len(pairs)  # no confirmation without an anchor word
 
 
+#: Texts in which the templates stand with other words in between and after.
+CANONICAL = {
+    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+           'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the '
+           "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+           "following conditions are met:",
+    "GPL": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
+           "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+           "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+}
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "# ", "// ", "REM "])
+@pytest.mark.parametrize("width", [40, 60, 70, 80])
+def test_wrapped_notices_are_found_and_confirmed(licence_model, mark, width):
+    notices = [(f, t) for f, ts in licenses.TEMPLATES.items() for t in ts] + list(CANONICAL.items())
+    for family, notice in notices:
+        lines = [mark + x for x in textwrap.wrap(notice, width)]
+        text = "\n".join(["Some words before.", mark.rstrip(), *lines, mark.rstrip(), "and after"])
+        confirmed = [x for x in licenses.find(text, licence_model) if x["confirmed"]]
+        assert [x["family"] for x in confirmed] == [family], (notice, confirmed)
+        assert text.index(lines[0]) == confirmed[0]["start"] and confirmed[0]["end"] <= text.rindex(lines[-1]) + len(lines[-1])
+
+
+def test_several_notices_in_one_line_or_block(licence_model):
+    two = "Licensed under the MIT License. Licensed under the Apache License, Version 2.0."
+    for text in (two, f"One more word. {two} And others. " + "foreign words " * 400, two.replace(". L", ".\nL")):
+        found = [x for x in licenses.find(text, licence_model) if x["confirmed"]]
+        assert sorted(x["family"] for x in found) == ["Apache", "MIT"]
+    many = ("Released under the BSD License. " * 3000).strip()
+    assert {x["family"] for x in licenses.find(many, licence_model)} == {"BSD"}
+
+
 def test_other_legal_words_are_unknown(licence_model):
     for text in ("The license plate of the car", "Apache helicopters flew over", "Permission to enter is granted",
                  "A copy of the book in the public library", "", "\n\n"):
