@@ -163,6 +163,9 @@ def verified(docs: DataFrame, sets: DataFrame, groups: DataFrame, text_col: str,
         F.greatest(F.ceil(F.count("*") / CHUNK_SETS), F.ceil(F.sum("grams") / CHUNK_GRAMS)).cast("int").alias("chunks")), "group-sizes")
     chosen = chosen.join(sizes, "root").select("root", "node", "copies", "chunks", F.col("least.r1").alias("r1"), F.col("least.r2").alias("r2"))
     texts = docs.select(F.col(text_col).alias("text"), _row_key(docs).alias("key")).select("text", "key.*")
+    # Fully equal rows are one before the shuffle, which the limit on their number reaches.
+    once = F.row_number().over(Window.partitionBy("r1", "r2").orderBy("r1"))
+    texts = texts.withColumn("n", once).where("n = 1").drop("n")
     found = texts.join(chosen, ["r1", "r2"]).drop("r1", "r2")
     gram = common.map_texts(found, ["root", "node", "copies", "chunks"], "text", "grams binary",
                             lambda: lambda texts: [[s.tobytes() for s in gram_sets(texts, n)]])
@@ -196,12 +199,8 @@ def _link_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _links(task: dict | None, rows: list[tuple], t: Fraction) -> list[tuple[str, str, int]]:
-    """Links of one task: between two chunks, or within one. A row that occurs twice (equal
-    rows of the table) is one set."""
-    if task is None:
-        return []
-    rows = list({r[0]: r for r in rows}.values())
-    if len(rows) < 2:
+    """Links of one task: between two chunks, or within one."""
+    if task is None or len(rows) < 2:
         return []
     sets = [np.frombuffer(r[3], np.uint64) for r in rows]
     size = np.array([len(s) for s in sets])

@@ -71,6 +71,20 @@ def test_large_group_of_near_copies(spark, monkeypatch, chunk):
     assert joined(df) == sorted(brute_classes(rows))
 
 
+def test_fully_equal_rows_reach_a_task_once(spark, monkeypatch):
+    links = near_join._links
+
+    def once(task, rows, t):
+        assert len({r[0] for r in rows}) == len(rows)
+        return links(task, rows, t)
+
+    monkeypatch.setattr(near_join, "_links", once)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(1, " ".join(base))] * 300 + [(2, " ".join([*base[:-1], "other"])), (3, "quite different words in this one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert joined(df) == sorted(brute_classes(rows))
+
+
 def test_banding_meets_its_recall():
     for t in (0.5, 0.7, 0.8, 0.9):
         bands, rows = near_join.banding(t, 0.99)
