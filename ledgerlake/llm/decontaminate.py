@@ -6,9 +6,12 @@ words of an item; an item of fewer words, but not none, is one window. All windo
 one automaton over the normalised text, which is scanned once; hits map back to offsets of
 the original text.
 
-The benchmark goes to the workers as text. It is read in blocks of at most `block_bytes`
-of normalised text, so what is broadcast is bounded; a benchmark beyond one block takes a
-pass per block, whose result is written to the shared folder before the next.
+The benchmark goes to the workers as text, in blocks whose windows hold at most
+`block_bytes` x `window` characters (those of about `block_bytes` of text): each may become
+a node of the automaton, so that is what bounds a worker's memory. The windows of a long
+item are split over blocks. A worker builds the automaton of a block once. A benchmark
+beyond one block takes a pass per block, whose result is written to the shared folder
+before the next.
 
 Defined results: null and word-less texts have no words and no hits; null or word-less
 items have no windows; equal windows of several items count for each of them; repeated
@@ -18,6 +21,7 @@ an empty benchmark hits nothing; input columns other than id and text are ignore
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -28,7 +32,10 @@ from pyspark.sql import functions as F
 from ledgerlake.llm import common
 
 WINDOW = 10
-BLOCK_BYTES = 8 * 1024 * 1024
+BLOCK_BYTES = 256 * 1024
+
+#: The automaton that this worker process built last, under its block's key.
+_held: dict[str, ahocorasick.Automaton | None] = {}
 
 
 def build(items: list[tuple[str | None, str]], window: int) -> ahocorasick.Automaton | None:
@@ -90,26 +97,54 @@ _FIELDS = ("n_words long, hits array<struct<first:int,last:int>>, items array<st
            "spans array<struct<start:long,end:long>>")
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[list]:
-    """Distinct items, in runs of at most `block_bytes` of text (one item at least)."""
+def _pieces(text: str, window: int, most: int) -> Iterator[tuple[str, int]]:
+    """Normalised stretches of an item that hold each of its windows once, with the characters
+    of these windows: at most `most`, or one window."""
+    words = [w.decode("utf-8", "replace") for w in common.words_of(text)]
+    if not words:
+        return
+    size = np.array([len(w.encode()) + 1 for w in words])
+    ends = np.concatenate([[0], np.cumsum(size)])
+    n = max(1, len(words) - window + 1)
+    chars = ends[np.minimum(np.arange(n) + window, len(words))] - ends[:n] + 1
+    sums = np.concatenate([[0], np.cumsum(chars)])
+    at = 0
+    while at < n:
+        to = max(at + 1, int(np.searchsorted(sums, sums[at] + most, side="right")) - 1)
+        yield " ".join(words[at:to + window - 1]), int(sums[to] - sums[at])
+        at = to
+
+
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int, window: int) -> Iterator[list]:
+    """Distinct items in blocks of at most `block_bytes` x `window` characters of windows (one
+    window at least); a longer item is in several."""
+    most = block_bytes * window
     block, held = [], 0
     rows = benchmark.select(F.col(id_col).cast("string"), F.col(text_col)).where(
         F.col(text_col).isNotNull()).distinct()
     for item, text in rows.toLocalIterator():
-        if block and held + len(text) > block_bytes:
-            yield block
-            block, held = [], 0
-        block.append((item, text))
-        held += len(text)
+        for piece, chars in _pieces(text, window, most):
+            if block and held + chars > most:
+                yield block
+                block, held = [], 0
+            block.append((item, piece))
+            held += chars
     if block:
         yield block
 
 
+def _automaton(key: str, block: list, window: int) -> ahocorasick.Automaton | None:
+    if key not in _held:
+        _held.clear()
+        _held[key] = build(block, window)
+    return _held[key]
+
+
 def _pass(docs: DataFrame, carry: list[str], text_col: str, block: list, window: int) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast(block)
+    sent, key = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
 
     def make():
-        automaton = build(sent.value, window)
+        automaton = _automaton(key, sent.value, window)
 
         def work(texts: list) -> list:
             found = [scan(t, automaton) for t in texts]
@@ -124,11 +159,14 @@ def _pass(docs: DataFrame, carry: list[str], text_col: str, block: list, window:
     return common.map_texts(docs, carry, text_col, _FIELDS, make)
 
 
-# Ranges of two passes as one sorted, merged list.
-_MERGED = """aggregate(array_sort(concat(hits, old.hits)), cast(array() as array<struct<first:int,last:int>>),
+# Ranges of two passes with their spans as one sorted, merged list.
+_MERGED = """aggregate(array_sort(transform(concat(arrays_zip(hits, spans), arrays_zip(old.hits, old.spans)),
+    x -> named_struct('first', x.hits.first, 'last', x.hits.last, 'start', x.spans.start, 'end', x.spans.end))),
+  cast(array() as array<struct<first:int,last:int,start:bigint,end:bigint>>),
   (l, x) -> if(size(l) > 0 and x.first <= element_at(l, -1).last,
     concat(slice(l, 1, size(l) - 1), array(named_struct('first', element_at(l, -1).first,
-      'last', greatest(element_at(l, -1).last, x.last)))), concat(l, array(x))))"""
+      'last', greatest(element_at(l, -1).last, x.last), 'start', element_at(l, -1).start,
+      'end', greatest(element_at(l, -1).end, x.end)))), concat(l, array(x))))"""
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, carry: list[str], text_col: str = "text",
@@ -136,8 +174,8 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, carry: list[str], text
                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc, n_words, hits, items, spans) of every row: `doc` holds the columns `carry`, hits
     are merged word ranges, items the ids (as text) found, spans the hit stretches of the
-    original text as [start, end) code points, merged per pass."""
-    blocks = _blocks(benchmark, item_id, item_text, block_bytes)
+    original text as [start, end) code points."""
+    blocks = _blocks(benchmark, item_id, item_text, block_bytes, window)
     block, more = next(blocks, []), next(blocks, None)
     if more is None:
         return _pass(docs, carry, text_col, block, window)
@@ -146,11 +184,13 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, carry: list[str], text
     while block is not None:
         out = _pass(source, ["doc", "text", "old"], "text", block, window)
         block, more = more, next(blocks, None)
+        both = F.expr(_MERGED.replace("old.", "doc.old."))
         out = common.written(out.select("doc.doc", "doc.text", F.when(
             F.col("doc.old").isNull(), F.struct("n_words", "hits", "items", "spans")).otherwise(
-            F.struct("n_words", F.expr(_MERGED.replace("old.", "doc.old.")).alias("hits"),
+            F.struct("n_words", F.transform(both, lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last"))).alias("hits"),
                      F.array_sort(F.array_union("items", "doc.old.items")).alias("items"),
-                     F.concat("spans", "doc.old.spans").alias("spans"))).alias("old")), "decontaminate")
+                     F.transform(both, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("spans"))
+            ).alias("old")), "decontaminate")
         source = out
     return source.select("doc", "old.*")
 

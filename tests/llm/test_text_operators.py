@@ -96,6 +96,29 @@ def test_contamination_equals_brute_force(spark, block_bytes):
     assert sum(r.contaminated for r in got) > 10
 
 
+def test_a_benchmark_of_several_blocks(spark, monkeypatch):
+    """No automaton grows beyond a block's characters, whatever the items' sizes; a stretch
+    over several blocks is one."""
+    rng = np.random.default_rng(9)
+    vocabulary = [f"{c}{i}" for i in range(4000) for c in "abé"]
+    words = [vocabulary[i] for i in rng.integers(len(vocabulary), size=130_000)]
+    items = [(0, " ".join(words[:100_000]))] + [(i, " ".join(words[i * 100:i * 100 + 100])) for i in range(1000, 1300)]
+    assert sum(len(t) for _, t in items) > 600_000
+    nodes, run = [], decontaminate._pass
+
+    def counted(docs, carry, text_col, block, window):
+        nodes.append(decontaminate.build(block, window).get_stats()["nodes_count"])
+        return run(docs, carry, text_col, block, window)
+
+    monkeypatch.setattr(decontaminate, "_pass", counted)
+    docs = [(1, " ".join(words[:99_000])), (2, "none of it"), (3, " ".join(words[129_950:])), (4, " ".join(words[20_000:20_030]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect())
+    assert [(r.doc_id, r.n_words, r.n_hit, r.items_sha256, r.contaminated) for r in got] == sorted(brute_hits(docs, items))
+    assert [[(s.start, s.end) for s in r.spans] for r in got] == [[(0, len(docs[0][1]))], [], [(0, len(docs[2][1]))], [(0, len(docs[3][1]))]]
+    assert len(nodes) > 2 and max(nodes) <= 256 * 1024 * 10 + 1
+
+
 def test_contamination_edges_and_offsets(spark):
     items = [(1, "one two three"), (1, "one two three"), (2, None), (3, "!!"), (None, "é x"), (4, "One TWO three")]
     bench = spark.createDataFrame(items, "item_id long, text string")
