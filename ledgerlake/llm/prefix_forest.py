@@ -5,7 +5,8 @@ hyperplanes); a tree is the sorted array of the strings, a level the length of p
 two strings share. Inner product is turned into angle by one more coordinate that brings
 all vectors to the largest norm. The trees are cut into buckets by their first bits, about
 `BUCKET_ROWS` vectors each; a bucket is a sorted array in one task, and one that holds too
-many vectors of one prefix is split by hash, with queries sent to all its parts.
+many vectors of one prefix is split by hash. So are the queries that come to a bucket, and
+each of their parts meets each of the bucket's.
 
 Search, for all queries at once:
   descend  in its bucket of each tree a query finds the longest prefix that `FIRST` vectors
@@ -16,7 +17,8 @@ Search, for all queries at once:
            Where that would score as many vectors as there are, the root of one tree does.
 
 Equal vectors are one entry with the k + 1 smallest ids, all that any list can show, so a
-vector that a third of all rows share has one row here. Every vector is indexed.
+vector that a third of all rows share has one row here. Every vector is indexed. Equal query
+vectors are searched once; their list goes to each of their ids at the end.
 
 Defined results: null and zero vectors and those with null or non-finite components take no
 part, nor do vectors of another dimension than the most frequent one (the larger of two);
@@ -155,9 +157,15 @@ def _ranges(codes: np.ndarray, q: np.ndarray, level: np.ndarray) -> tuple[np.nda
 
 
 def _searched(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """(query, entry, score) by bucket part: `index` has part, code, vec, entry; `queries`
-    part, code, vec, query, level."""
-    return index.groupBy("tree", "head", "part").cogroup(queries.groupBy("tree", "head", "part")).applyInArrow(
+    """(query, entry, score) by bucket part and share: `index` has part, code, vec, entry;
+    `queries` part, code, vec, query, level. At most about `BUCKET_ROWS` queries are a share."""
+    one = queries.where("part = 0").groupBy("tree", "head")
+    shares = common.written(one.agg(F.ceil(F.count("*") / BUCKET_ROWS).alias("shares")), "query-shares")
+    index = index.join(shares, ["tree", "head"]).withColumn(
+        "share", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shares") - 1))).drop("shares")
+    queries = queries.join(shares, ["tree", "head"]).withColumn("share", F.pmod(F.xxhash64("query"), F.col("shares"))).drop("shares")
+    keys = ["tree", "head", "part", "share"]
+    return index.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(
         lambda a, b: _search(a, b, k), "query long, entry long, score double")
 
 
@@ -183,7 +191,10 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     index = trees.join(parts, ["tree", "head"]).withColumn("part", F.pmod(F.xxhash64("entry"), F.col("parts"))).drop("parts")
     index = common.written(index, "forest-index")
 
-    asked = common.written(_hashed(rows.where(is_query).select("v", F.col("id").alias("query"), "norm"), largest, True), "queries")
+    # One query a distinct vector, under the smallest of its ids.
+    wanted = rows.where(is_query).select("v", "norm", "id")
+    distinct = common.written(wanted.groupBy("v", "norm").agg(F.min("id").alias("query")), "distinct-queries")
+    asked = common.written(_hashed(distinct, largest, True), "queries")
     ask = asked.select("query", "norm", "vec", F.posexplode("codes").alias("tree", "code"))
 
     def routed(q: DataFrame) -> DataFrame:
@@ -197,6 +208,7 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     bound = first.groupBy("query", "entry").agg(F.max("score").alias("score")).withColumn(
         "n", F.row_number().over(by_score)).where(F.col("n") <= k + 1).groupBy("query").agg(
         F.min("score").alias("bound"), F.count("*").alias("n"))
+    bound = common.written(bound, "bounds")
     level = F.when(F.col("n") > k, level_for(F.col("bound"), F.col("norm"), largest)).otherwise(F.lit(0))
     ask = ask.join(bound, "query", "left").withColumn("level", F.coalesce(level, F.lit(0))).drop("bound", "n")
     ask = ask.where("level > 0 or tree = 0")
@@ -209,10 +221,16 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     ids = forest.select("entry", "ids")
     best = first.unionByName(found).groupBy("query", "entry").agg(F.max("score").alias("score")).withColumn(
         "n", F.row_number().over(by_score)).where(F.col("n") <= k + 1).drop("n")
-    pairs = best.join(ids, "entry").select("query", F.explode("ids").alias("id"), "score").where("id <> query")
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
-    return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select(
-        F.col("query").alias("query_id"), "rank", F.col("id").alias(id_col), "score")
+    # One row a distinct query: the k + 1 best ids, of which one may be a query's own.
+    ranked = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "id")))
+    lists = best.join(ids, "entry").select("query", F.explode("ids").alias("id"), "score").groupBy("query").agg(
+        F.slice(ranked, 1, k + 1).alias("list"))
+    # Both sides have an exchange, so that the ids of a vector that very many share are split.
+    per_vector = common.written(distinct.join(lists, "query").select("v", "norm", "list"), "query-lists")
+    each = wanted.withColumnRenamed("id", "query").join(per_vector.hint("merge"), ["v", "norm"])
+    others = F.slice(F.filter("list", lambda x: x["id"] != F.col("query")), 1, k)
+    return each.select(F.col("query").alias("query_id"), F.posexplode(others).alias("at", "x")).select(
+        "query_id", (F.col("at") + 1).alias("rank"), F.col("x.id").alias(id_col), (-F.col("x.minus")).alias("score"))
 
 
 def op2_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

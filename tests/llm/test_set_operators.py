@@ -338,6 +338,25 @@ def test_neighbours_in_many_buckets(spark, monkeypatch):
     assert mine[2120] == brute_nearest(rows, 20)[2120]  # ties to the smaller id among copies
 
 
+def test_queries_of_a_bucket_are_split_and_equal_ones_merged(spark, monkeypatch):
+    """Far vectors, whose queries go to all buckets, and a vector that a third of the rows share."""
+    monkeypatch.setattr(prefix_forest, "BUCKET_ROWS", 64)
+    search = prefix_forest._search
+
+    def small(index, queries, k):
+        assert queries.num_rows <= 160 and len(set(queries["vec"].to_pylist())) == queries.num_rows
+        return search(index, queries, k)
+
+    monkeypatch.setattr(prefix_forest, "_search", small)
+    x = np.random.default_rng(6).normal(size=(1000, 24))
+    x = np.concatenate([x, np.repeat(x[:1], 500, axis=0)])
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = brute_nearest(rows, 20)
+    r, mine = recall(prefix_forest.nearest(df, F.lit(True), 20).collect(), want)
+    assert r >= 0.9 and len(mine) == 1500 and all(mine[i] == want[i] for i in (1000, 1100, 1220))
+
+
 def test_neighbour_edges(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [2.0, 0.5]),
