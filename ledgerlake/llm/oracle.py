@@ -1,5 +1,6 @@
-"""DuckDB SQL of the queries whose whole result SQL can express: by joins of all windows, and
-by window functions over whole payloads, where the operators use automata and archives."""
+"""DuckDB SQL of the queries whose whole result SQL can express: by joins of all windows,
+by window functions over whole payloads, and by all ancestors of all nodes, where the operators
+use automata, archives and tree contraction."""
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = "regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -45,4 +46,51 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BI
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN words USING (r) LEFT JOIN found USING (r)"""
 
-ORACLE = {"op7_warc": OP7, "op8_decontaminate": OP8}
+# crc32 bit by bit, of a text of ASCII characters.
+_CRC32 = """xor(4294967295, list_reduce(
+    [4294967295::BIGINT] || list_transform(string_split({0}, ''), lambda x: ascii(x)::BIGINT),
+    lambda a, b: list_reduce([xor(a, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0],
+                             lambda y, z: xor(y >> 1, (y & 1) * 3988292384))))"""
+
+OP11 = f"""
+WITH said AS (
+    SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+turns AS (
+    SELECT c, r, x, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(strlen(r) || ':' || r || x)) - 1 AS pos
+    FROM said
+),
+convs AS (SELECT DISTINCT c, {_CRC32.format("CAST(c AS VARCHAR)")} % 4 AS h FROM turns),
+joined AS (
+    SELECT v.c, 0 AS part, pos, r, x FROM convs v JOIN turns t ON t.c = v.c - v.c % 20 AND pos < h
+    UNION ALL SELECT v.c, 1, pos, r, x FROM convs v JOIN turns t ON t.c = v.c AND pos >= h
+),
+steps AS (
+    SELECT c, row_number() OVER w AS d, len(regexp_extract_all(x, '[^\\x20\\x09-\\x0D]+')) AS words,
+           string_agg(strlen(r) || ':' || strlen(x) || ':' || r || x, '') OVER w AS k
+    FROM joined WINDOW w AS (PARTITION BY c ORDER BY part, pos)
+    UNION ALL SELECT c, 0, 0, '' FROM convs
+),
+lengths AS (SELECT c, max(d) AS n FROM steps GROUP BY c),
+nodes AS (
+    SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, min(words) AS words,
+           string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE d = n) AS ends
+    FROM steps JOIN lengths USING (c) GROUP BY d, k
+),
+ups AS (
+    SELECT v.*, s.conv_id AS parent_conv_id
+    FROM nodes v LEFT JOIN steps p ON p.c = v.conv_id AND p.d = v.d - 1 LEFT JOIN nodes s ON s.d = p.d AND s.k = p.k
+),
+kids AS (SELECT parent_conv_id AS conv_id, d - 1 AS d, count(*) AS n_children FROM ups WHERE d > 0 GROUP BY ALL),
+full_ AS (SELECT u.*, coalesce(n_children, 0) AS n_children FROM ups u LEFT JOIN kids USING (conv_id, d)),
+totals AS (
+    SELECT a.d, a.k, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum((n_convs - 1) * f.words) AS saved
+    FROM full_ f JOIN steps a ON a.c = f.conv_id AND a.d <= f.d GROUP BY a.d, a.k
+)
+SELECT conv_id, CAST(d AS BIGINT) AS depth, parent_conv_id, CAST(n_convs AS BIGINT) AS n_convs,
+       CAST(n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM full_ JOIN totals USING (d, k)"""
+
+ORACLE = {"op7_warc": OP7, "op8_decontaminate": OP8, "op11_prefix_trie": OP11}

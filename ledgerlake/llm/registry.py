@@ -7,6 +7,7 @@ from ledgerlake.llm.mixing import op4_mixing
 from ledgerlake.llm.near_join import op9_near_join
 from ledgerlake.llm.oracle import ORACLE
 from ledgerlake.llm.prefix_forest import op2_prefix_forest
+from ledgerlake.llm.prefix_trie import op11_prefix_trie
 from ledgerlake.llm.secrets import op10_secrets
 from ledgerlake.llm.token_counts import op6_token_counts
 from ledgerlake.llm.toxicity import op3_toxicity
@@ -25,6 +26,7 @@ LLM_QUERIES = {
         op8_decontaminate,
         op9_near_join,
         op10_secrets,
+        op11_prefix_trie,
     )
 }
 LLM_ORACLE: dict[str, str] = dict(ORACLE)
