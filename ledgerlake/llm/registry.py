@@ -9,6 +9,7 @@ from ledgerlake.llm.oracle import ORACLE
 from ledgerlake.llm.prefix_forest import op2_prefix_forest
 from ledgerlake.llm.prefix_trie import op11_prefix_trie
 from ledgerlake.llm.secrets import op10_secrets
+from ledgerlake.llm.spelling_variants import op13_spelling_variants
 from ledgerlake.llm.token_counts import op6_token_counts
 from ledgerlake.llm.toxicity import op3_toxicity
 from ledgerlake.llm.warc import op7_warc
@@ -27,6 +28,7 @@ LLM_QUERIES = {
         op9_near_join,
         op10_secrets,
         op11_prefix_trie,
+        op13_spelling_variants,
     )
 }
 LLM_ORACLE: dict[str, str] = dict(ORACLE)
