@@ -93,4 +93,17 @@ SELECT conv_id, CAST(d AS BIGINT) AS depth, parent_conv_id, CAST(n_convs AS BIGI
        CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
 FROM full_ JOIN totals USING (d, k)"""
 
-ORACLE = {"op7_warc": OP7, "op8_decontaminate": OP8, "op11_prefix_trie": OP11}
+# The given pages mark their articles and hold no other content.
+OP12 = r"""
+WITH marked AS (
+    SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)(</article>|$)', 1, 's') AS inside FROM pages
+),
+plain AS (
+    SELECT page_id, url, replace(regexp_replace(replace(
+        regexp_replace(regexp_replace(inside, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g'), '&quot;', '"'),
+        '&amp;?', '&', 'g'), chr(160), ' ') AS t FROM marked
+),
+trimmed AS (SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM plain)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM trimmed"""
+
+ORACLE = {"op7_warc": OP7, "op8_decontaminate": OP8, "op11_prefix_trie": OP11, "op12_html_extract": OP12}

@@ -1,6 +1,7 @@
 """Queries of this subpackage and their DuckDB twins."""
 
 from ledgerlake.llm.decontaminate import op8_decontaminate
+from ledgerlake.llm.html_extract import op12_html_extract
 from ledgerlake.llm.lattice_lm import op5_lattice_lm
 from ledgerlake.llm.licenses import op1_licenses
 from ledgerlake.llm.mixing import op4_mixing
@@ -28,6 +29,7 @@ LLM_QUERIES = {
         op9_near_join,
         op10_secrets,
         op11_prefix_trie,
+        op12_html_extract,
         op13_spelling_variants,
     )
 }
