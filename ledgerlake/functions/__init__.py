@@ -4,6 +4,7 @@ from ledgerlake.functions.numeric import (
     cents,
     complete_flag,
     finite,
+    finite_sql,
     from_cents,
     parse_double,
     pct,
@@ -14,6 +15,6 @@ from ledgerlake.functions.numeric import (
 )
 
 __all__ = [
-    "avg_2dp", "cents", "complete_flag", "finite", "from_cents", "normalise_header",
+    "avg_2dp", "cents", "complete_flag", "finite", "finite_sql", "from_cents", "normalise_header",
     "parse_double", "pct", "safe_bigint", "size_class", "sum_2dp", "year_of",
 ]

@@ -37,6 +37,13 @@ def parse_double(col) -> Column:
     return finite(F.trim(_c(col)).try_cast("double"))
 
 
+def finite_sql(column: str) -> str:
+    """`finite` of a column as SQL text, for projections over many columns: one expression
+    is parsed in the JVM where the functions above take a call each."""
+    c = f"`{column}`"
+    return f"CASE WHEN NOT isnan({c}) AND abs({c}) < double('Infinity') THEN {c} END"
+
+
 def safe_bigint(col, sentinel: str = S.NONE_SENTINEL) -> Column:
     """Text amount -> bigint; the sentinel and malformed text become NULL."""
     return F.nullif(F.trim(_c(col)), F.lit(sentinel)).try_cast("bigint")

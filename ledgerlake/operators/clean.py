@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas as S
-from ledgerlake.functions import normalise_header, parse_double
+from ledgerlake.functions import finite_sql, normalise_header
 
 
 def _typed_select(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -16,15 +16,15 @@ def _typed_select(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     Missing source columns become typed NULLs (schema union over differing files).
     """
     present = set(df.columns)
-    cols = []
+    text, out = [], []
     for src, dst in mapping.items():
-        c = F.col(f"`{src}`") if src in present else F.lit(None).cast("string")
-        if dst in S.COMPANY_NUMERIC:
-            c = parse_double(c.cast("string"))
-        elif dst == "ticker":
-            c = F.nullif(F.trim(c), F.lit(""))
-        cols.append(c.alias(dst))
-    return df.select(*cols)
+        c = f"CAST(`{src}` AS STRING)" if src in present else "CAST(NULL AS STRING)"
+        number = dst in S.COMPANY_NUMERIC
+        text.append(f"try_cast(trim({c}) AS DOUBLE) AS `{dst}`" if number else f"{c} AS `{dst}`")
+        out.append(f"{finite_sql(dst)} AS `{dst}`" if number
+                   else f"nullif(trim(`{dst}`), '') AS `{dst}`" if dst == "ticker" else f"`{dst}`")
+    # Two projections: each number is parsed once, then tested.
+    return df.selectExpr(*text).selectExpr(*out)
 
 
 def typed_company(raw: DataFrame) -> DataFrame:
@@ -35,10 +35,7 @@ def typed_company(raw: DataFrame) -> DataFrame:
 def raw_financials(raw: DataFrame) -> DataFrame:
     """The loaded raw table: normalised headers (P2), numbers typed, nothing dropped."""
     typed = _typed_select(raw, S.COMPANY_HEADER_TO_CANONICAL)
-    return typed.select(
-        *[F.col(canonical).alias(normalise_header(h))
-          for h, canonical in S.COMPANY_HEADER_TO_CANONICAL.items()]
-    )
+    return typed.toDF(*[normalise_header(h) for h in S.COMPANY_HEADER_TO_CANONICAL])
 
 
 def drop_incomplete(df: DataFrame, required: list[str] | None = None) -> DataFrame:

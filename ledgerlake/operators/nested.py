@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas as S
+from ledgerlake.operators import lattice
 
 
 def parse_documents(landed: DataFrame, schema, body: str = "body", alias: str = "doc",
@@ -70,6 +71,16 @@ def explode_statements(docs: DataFrame, fields: list[str], doc: str = "doc",
     return rows.select(*keep, "ticker", *out)
 
 
+def statements_wide(docs: DataFrame, doc: str = "doc", keep: tuple[str, ...] = (),
+                    most_keys: int = lattice.MOST_KEYS) -> DataFrame:
+    """P11 + U1 without a list of fields: one row per report of any kind, one typed column per
+    key that any document has (`lattice.widened`), NULL where a report lacks it."""
+    d = F.col(doc)
+    rows = docs.select(*keep, F.nullif(F.trim(d["symbol"]), F.lit("")).alias("ticker"),
+                       F.explode(d["annualReports"]).alias("report"))
+    return lattice.widened(rows, "report", [*keep, "ticker"], most_keys)
+
+
 def union_statements(frames: dict[str, DataFrame]) -> DataFrame:
     """Bag union of statement kinds over the union of their columns (+ `kind`)."""
     out = None

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake import schemas as S
-from ledgerlake.operators import clean, mart, metrics, nested, quality, reports, staging, topk
+from ledgerlake.operators import clean, lattice, mart, metrics, nested, quality, reports, staging, topk
 from ledgerlake.plans import proxies as P
 from ledgerlake.sinks import files as sinks
 from ledgerlake.sources import files as sources
@@ -255,6 +255,13 @@ def mart_after_top5(spark, d):
                      stg_financials(spark, d))
 
 
+def statements_wide(spark, d):
+    """Reports of all kinds over the keys that their documents have, typed."""
+    parsed = nested.parse_documents(P.statement_documents(spark, d), S.STATEMENT_DOC).select(
+        F.regexp_extract("file_name", r"_(income_statement|balance_sheet|cash_flow)\.json$", 1).alias("kind"), "doc")
+    return nested.statements_wide(parsed, keep=("kind",))
+
+
 # -- checks and inventory ---------------------------------------------------
 
 def key_uniqueness(spark, d):
@@ -268,6 +275,15 @@ def key_uniqueness(spark, d):
     })
 
 
+def source_profile(spark, d):
+    """Kinds, types and ends of the text columns of two sources, one pass each."""
+    out = None
+    for name, raw in (("companies", P.raw_companies(spark, d)), ("income_statements", P.raw_income_statements(spark, d))):
+        part = lattice.source_profile(raw).select(F.lit(name).alias("source"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def table_counts(spark, d):
     """A3."""
     return quality.table_counts(spark, {
@@ -303,6 +319,7 @@ QUERIES: dict[str, Query] = {
     "statements_explode": statements_explode,
     "statements_all_keys": statements_all_keys,
     "statements_union": statements_union,
+    "statements_wide": statements_wide,
     "statements_union_docs": statements_union_docs,
     "facts_annual": facts_annual,
     "facts_top5": facts_top5,
@@ -328,5 +345,6 @@ QUERIES: dict[str, Query] = {
     "clean_counts": clean_counts,
     "parse_rejects": parse_rejects,
     "table_counts": table_counts,
+    "source_profile": source_profile,
     "json_props": json_props,
 }

@@ -34,6 +34,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Noting the call site of every Column call takes longer than most plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.warehouse.dir", warehouse)
     )
     for k, v in DEFAULTS.items():

@@ -70,7 +70,7 @@ def compare(spark_df, con, sql: str, max_diff: int = 5) -> dict:
 
 SPARK_TO_DUCK = {
     "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
-    "boolean": "BOOLEAN",
+    "boolean": "BOOLEAN", "date": "DATE",
 }
 
 
