@@ -44,27 +44,53 @@ LENGTH_CLASSES = (24, 32, 48, 64, 128)
 BINS_PER_UNIT = 20
 LEAST_P = 1e-80  # smaller ones count as this: bounds the histogram
 
-_SPAN = "struct<start:int,kind:int,end:int>"  # sorts by start, then kind
+_SPAN = "struct<start:int,kind:int,end:int,token:string>"  # sorts by start, then kind
 
 
-def _found(text: str, pattern: str, kind: int, group: int, least: int) -> Column:
+def _let(value: Column, body) -> Column:
+    """`body(value)` with the value computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _folded(xs: Column, state: Column, kind: str, step, finish=lambda acc: acc["out"]) -> Column:
+    """Left to right over the array `xs` with a state: `step(acc, x)` gives the next `state` and
+    `out` (an array of `kind`). An array that grows by one costs its length each time; so the
+    fold goes in runs of about the root of the number of items, joined run by run."""
+    empty = F.array().cast(f"array<{kind}>")
+
+    def run(v, acc, at):
+        return F.aggregate(F.slice(v["xs"], at + 1, v["run"]), F.struct(acc["state"].alias("state"), empty.alias("out")), step)
+
+    def outer(v):
+        starts = F.when(F.size(v["xs"]) > 0, F.sequence(F.lit(0), F.size(v["xs"]) - 1, v["run"])).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(
+            starts, F.struct(state.alias("state"), empty.alias("out")),
+            lambda acc, at: _let(run(v, acc, at), lambda r: F.struct(
+                r["state"].alias("state"), F.concat(acc["out"], r["out"]).alias("out"))), finish)
+
+    bound = _let(xs, lambda x: F.struct(x.alias("xs"), F.greatest(F.lit(16), F.ceil(F.sqrt(F.size(x))).cast("int")).alias("run")))
+    return _let(bound, outer)
+
+
+def _found(text: str, pattern: str, kind: int, group: int, least: int, token: bool = False) -> Column:
     """Spans of the leftmost, non-overlapping matches whose `group` has `least` characters:
-    the pieces between matches and the matches, in turn, give the offsets."""
+    the pieces between matches and the matches, in turn, give the offsets. With `token` a
+    span has its `token`, the match, too (null otherwise)."""
     p = F.lit(pattern)
     zipped = F.arrays_zip(
         F.split(F.col(text), pattern, -1).alias("gap"),
         F.regexp_extract_all(F.col(text), p, F.lit(0)).alias("hit"),
         F.regexp_extract_all(F.col(text), p, F.lit(group)).alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
 
     def step(acc, x):
-        begin = acc["at"] + F.length(x["gap"])
+        begin = acc["state"] + F.length(x["gap"])
         end = begin + F.coalesce(F.length(x["hit"]), F.lit(0))  # the last gap has no match
-        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
+        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"),
+                        (x["hit"] if token else F.lit(None).cast("string")).alias("token"))
         out = F.when(F.length(x["value"]) >= least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
-        return F.struct(end.alias("at"), out.alias("out"))
+        return F.struct(end.alias("state"), out.alias("out"))
 
-    return F.when(F.col(text).rlike(pattern), F.aggregate(zipped, start, step, lambda acc: acc["out"])).otherwise(
+    return F.when(F.col(text).rlike(pattern), _folded(zipped, F.lit(0), _SPAN, step)).otherwise(
         F.array().cast(f"array<{_SPAN}>"))
 
 
@@ -104,11 +130,6 @@ def alphabet_of(token: Column) -> Column:
     return out
 
 
-def _let(value: Column, body) -> Column:
-    """`body(value)` with the value computed once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _pairs(xs: Column) -> Column:
     return F.arrays_zip(F.slice(xs, F.lit(1), F.size(xs) - 1).alias("a"), F.slice(xs, F.lit(2), F.size(xs) - 1).alias("b"))
 
@@ -183,20 +204,41 @@ def scanned(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """`docs` with `_base`, the base spans in order, and `_candidates`: span, length class
     and bin (20 a unit of -ln p, rounded down) of each candidate outside the base spans."""
     d = docs.withColumn("_text", common.text_or_empty(text_col))
-    d = d.withColumn("_base", F.array_sort(F.concat(
-        _found("_text", ASSIGN, 0, 2, 8), _found("_text", ACCESS, 1, 0, 16), _found("_text", HEX, 2, 0, 32))))
-    d = d.withColumn("_runs", _found("_text", CANDIDATE, 3, 0, 16))
+    d = d.withColumn("_found", F.array_sort(F.concat(
+        _found("_text", ASSIGN, 0, 2, 8), _found("_text", ACCESS, 1, 0, 16), _found("_text", HEX, 2, 0, 32),
+        _found("_text", CANDIDATE, 3, 0, 16, True))))
 
     def evidence(c):
-        token = F.substring(F.col("_text"), c["start"] + 1, c["end"] - c["start"])
-        return _let(p_ordinary(token), lambda p: F.struct(
+        return _let(p_ordinary(c["token"]), lambda p: F.struct(
             c["start"].alias("start"), c["end"].alias("end"),
             _length_class(c["end"] - c["start"]).alias("length_class"),
             F.when(p.isNotNull(), F.floor(-F.log(F.greatest(p, F.lit(LEAST_P))) * BINS_PER_UNIT)).cast("int").alias("bin")))
 
-    alone = F.filter("_runs", lambda c: ~F.exists("_base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    d = d.withColumn("_candidates", F.filter(F.transform(alone, evidence), lambda c: c["bin"].isNotNull()))
-    return d.drop("_text", "_runs")
+    d = d.withColumn("_runs", _alone("_found"))
+    d = d.withColumn("_candidates", F.filter(F.transform("_runs", evidence), lambda c: c["bin"].isNotNull()))
+    return d.withColumn("_base", F.transform(F.filter("_found", lambda b: b["kind"] < 3), _plain)).drop("_text", "_found", "_runs")
+
+
+def _plain(span: Column) -> Column:
+    return F.struct(*[span[c].alias(c) for c in ("start", "kind", "end")])
+
+
+def _alone(spans: str) -> Column:
+    """The candidates (kind 3) that overlap no base span, in one pass over the sorted spans.
+    Candidates do not overlap each other, so one at most waits for the base span behind it."""
+    zero = F.struct(F.lit(0).alias("base_end"), F.lit(None).cast(_SPAN).alias("waits"))
+    flushed = lambda acc: F.when(acc["state"]["waits"].isNull(), acc["out"]).otherwise(
+        F.concat(acc["out"], F.array(acc["state"]["waits"])))
+
+    def step(acc, s):
+        candidate, base_end, waits = s["kind"] == 3, acc["state"]["base_end"], acc["state"]["waits"]
+        state = F.struct(
+            F.when(candidate, base_end).otherwise(F.greatest(base_end, s["end"])).alias("base_end"),
+            F.when(candidate, F.when(s["start"] >= base_end, s)).otherwise(
+                F.when(waits["end"] <= s["start"], waits)).alias("waits"))
+        return F.struct(state.alias("state"), F.when(candidate, flushed(acc)).otherwise(acc["out"]).alias("out"))
+
+    return _folded(F.col(spans), zero, _SPAN, step, flushed)
 
 
 def discovery_bins(candidates: DataFrame, fdr: float = FDR) -> DataFrame:
@@ -244,22 +286,47 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def redacted(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", fdr: float = FDR) -> DataFrame:
     """`docs` with every span of a text replaced by `mark` (overlapping ones by one); rows
-    without spans are unchanged. The texts are scanned twice: for the histogram, and again
-    for the rows, so that no text is written in between."""
+    without spans are unchanged. The rows are written once with their scan, which the
+    histogram and the result read; a text is scanned once, and its clean form is joined from
+    the pieces between spans (`_without`)."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
-    least = discovery_bins(scanned(docs.select(F.col(text_col).alias("text"))).select("_candidates"), fdr)
-    d = with_spans(scanned(docs.select(whole, F.col(text_col).alias("text"))), least)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc, span):
-        gap = F.substring(F.col("text"), acc["at"] + 1, span["start"] - acc["at"])
-        return F.when(span["start"] >= acc["at"], F.struct(
-            span["end"].alias("at"), F.concat(acc["out"], gap, F.lit(mark)).alias("out"))).otherwise(
-            F.struct(F.greatest(acc["at"], span["end"]).alias("at"), acc["out"].alias("out")))
-
-    clean = F.aggregate("_spans", start, step, lambda acc: F.concat(
-        acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    return d.select(F.when(F.size("_spans") > 0, F.col("_doc").withField(text_col, clean)).otherwise(F.col("_doc")).alias("_doc")).select("_doc.*")
+    scan = common.written(scanned(docs.select(whole, F.col(f"`{text_col}`").alias("text"))).drop("text"), "secrets")
+    d = with_spans(scan, discovery_bins(scan, fdr))
+    text = F.col("_doc")[text_col]
+    clean = _without(text, "_spans", mark)
+    return d.select(F.when(F.size("_spans") > 0, F.col("_doc").withField(f"`{text_col}`", clean)).otherwise(F.col("_doc"))
+                    .alias("_doc")).select("_doc.*")
+
+
+# Characters of the blocks that pieces of a text are cut from, and blocks grow with the root
+# of its length: a piece costs a block, not the text before it.
+BLOCK_CHARS = 4096
+
+
+def _without(text: Column, spans: str, mark: str, block: int = BLOCK_CHARS) -> Column:
+    """The text with the sorted `spans` replaced by `mark`, those that overlap by one."""
+    size = F.char_length(text)
+
+    def step(acc, s):  # the gap before each group of overlapping spans
+        piece = F.struct(acc["state"].alias("start"), s["start"].alias("end"))
+        return F.struct(F.greatest(acc["state"], s["end"]).alias("state"),
+                        F.when(s["start"] >= acc["state"], F.concat(acc["out"], F.array(piece))).otherwise(acc["out"]).alias("out"))
+
+    gaps = _folded(F.col(spans), F.lit(0), "struct<start:int,end:int>", step, lambda acc: F.concat(
+        acc["out"], F.array(F.struct(acc["state"].alias("start"), size.alias("end")))))
+    wide = F.greatest(F.lit(block), (F.sqrt(size) * 16).cast("int"))
+
+    def cut(v):
+        b = v["wide"]
+        one = lambda g: F.array_join(F.transform(
+            F.sequence((g["start"] / b).cast("int"), (g["end"] / b).cast("int")),
+            lambda k: F.substring(v["blocks"][k], F.greatest(g["start"] - k * b, F.lit(0)) + 1,
+                                  F.least(g["end"] - k * b, b) - F.greatest(g["start"] - k * b, F.lit(0)))), "")
+        return F.array_join(F.transform(v["gaps"], one), mark)
+
+    blocks = lambda w: F.transform(
+        F.sequence(F.lit(0), (size / w).cast("int")), lambda k: F.substring(text, k * w + 1, w))
+    return _let(wide, lambda w: _let(F.struct(w.alias("wide"), blocks(w).alias("blocks"), gaps.alias("gaps")), cut))
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
