@@ -524,10 +524,15 @@ def labelled(pages: list[str]) -> list[Tree]:
 
 
 def sample(pages: DataFrame, key: str, html: str, n: int = SAMPLE_PAGES, chars: int = SAMPLE_CHARS) -> list[str]:
-    """The first `chars` characters of `n` pages; equal pages count once."""
-    rows = pages.where(F.length(f"`{html}`") > 0).select(F.substring(F.col(f"`{html}`"), 1, chars).alias("page"),
-                                                         F.xxhash64(F.col(f"`{key}`")).alias("draw"))
-    return sorted({r.page for r in rows.orderBy("draw", F.xxhash64("page")).limit(n).select("page").collect()})
+    """The first `chars` characters of `n` pages. The draws are made on numbers (`n` a task
+    reach the driver), then the pages of the drawn ones are read, one for equal draws."""
+    draw = F.xxhash64(F.col(f"`{key}`"), F.col(f"`{html}`"))
+    some = pages.where(F.length(f"`{html}`") > 0)
+    least = [r.draw for r in some.select(draw.alias("draw")).distinct().orderBy("draw").limit(n).collect()]
+    if not least:
+        return []
+    drawn = some.where(draw <= least[-1]).select(draw.alias("draw"), F.substring(F.col(f"`{html}`"), 1, chars).alias("page"))
+    return sorted(r.page for r in drawn.groupBy("draw").agg(F.min("page").alias("page")).collect())
 
 
 def extract(pages: DataFrame, carry: list[str], key: str = "page_id", html: str = "html", model: Model | None = None

@@ -115,13 +115,15 @@ def _search(index: pa.Table, queries: pa.Table, k: int) -> pa.Table:
         q_code, q_id, level = (queries[c].to_numpy() for c in ("code", "query", "level"))
         low, high = _ranges(codes, q_code, level)
         whole = (low == 0) & (high == len(codes))
+        slack = 1e-14 * x.shape[1] * np.sqrt((x * x).sum(axis=1).max())
 
         def put(i: int, at: np.ndarray, scores: np.ndarray) -> None:
-            if len(at) > 2 * k:
-                at = at[np.argpartition(-scores, k + k // 2)[:k + k // 2 + 1]]
+            if len(at) > 2 * k:  # all that reach the cut, whatever the product's rounding
+                cut = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
+                at = at[scores >= cut - slack * np.sqrt((q[i] * q[i]).sum())]
             if len(at):
                 exact = (x[at] * q[i]).sum(axis=1)
-                best = np.argsort(-exact, kind="stable")[:k + 1]
+                best = np.lexsort((names[at], -exact))[:k + 1]
                 columns[0].extend([int(q_id[i])] * len(best))
                 columns[1].extend(names[at[best]].tolist())
                 columns[2].extend(exact[best].tolist())
@@ -204,7 +206,8 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     first = common.written(_searched(index, routed(
         ask.withColumn("head", head(F.col("code"))).withColumn("level", F.lit(-1))), k), "descended")
     # The own entry has the largest score of all (or is one of a few): one more than k.
-    by_score = Window.partitionBy("query").orderBy(F.desc("score"))
+    # An entry is the smallest id of its vector: of equal scores the smaller entries are better.
+    by_score = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
     bound = first.groupBy("query", "entry").agg(F.max("score").alias("score")).withColumn(
         "n", F.row_number().over(by_score)).where(F.col("n") <= k + 1).groupBy("query").agg(
         F.min("score").alias("bound"), F.count("*").alias("n"))

@@ -342,6 +342,33 @@ def recall(got, want):
     return np.mean([len(set(mine[q]) & set(w)) / len(w) for q, w in want.items() if w]), mine
 
 
+@pytest.mark.parametrize("kind", ["tied", "binary", "quantised", "one-hot"])
+def test_neighbours_with_ties(spark, kind):
+    """Many different vectors with one score: the smaller ids, whatever tree finds them."""
+    rng = np.random.default_rng(8)
+    n = 1200
+    if kind == "tied":  # one coordinate is all that a product with a query sees
+        x = np.concatenate([np.full((n, 1), 2.0), rng.normal(size=(n, 6)) * (np.arange(n) % 20 != 0)[:, None]], axis=1)
+    elif kind == "binary":
+        x = (rng.random((n, 12)) < 0.5).astype(float)
+        x[:, 0] = 1
+    elif kind == "quantised":
+        x = rng.integers(-2, 3, size=(n, 5)).astype(float)
+        x[:, 0] = 3
+    else:
+        x = np.eye(16)[rng.integers(0, 16, n)]
+    rows = [(int(i), v.tolist()) for i, v in zip(rng.permutation(n), x)] if kind != "tied" else [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = prefix_forest.nearest(df, F.col("id") % 20 == 0, 20).collect()
+    r, mine = recall(got, want := brute_nearest(rows, 20))
+    assert r >= 0.95, r
+    assert sum(mine[q] == want[q] for q in want) >= 0.9 * len(want)
+    lists = collections.defaultdict(list)
+    for g in got:
+        lists[g.query_id].append((g["rank"], -g.score, g.vec_id))
+    assert all([x[1:] for x in sorted(v)] == sorted(x[1:] for x in v) for v in lists.values())
+
+
 def test_neighbours_against_brute_force(spark):
     rows = [(r.vec_id, r.embedding) for r in common.table(spark, SF001, "embeddings").collect()]
     got = prefix_forest.op2_prefix_forest(spark, SF001).collect()
