@@ -120,7 +120,7 @@ def raw_table_load(spark: SparkSession, csv_path: str, api_dir: str, sec_dir: st
     """
     if (write is None) != (read is None):
         raise ValueError("pass `read` with `write`: counts are those of the target")
-    write = write or (lambda df, name: sinks.swap_refresh(spark, df, name))
+    write = write or (lambda df, name: sinks.swap_refresh(spark, df, name, keep=3))
     read = read or (lambda name: spark.table(name) if spark.catalog.tableExists(name) else None)
     frames: dict[str, DataFrame | None] = {}
 

@@ -7,6 +7,9 @@ reads prune directories.
 
 from __future__ import annotations
 
+import time
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,23 +62,70 @@ def overwrite_table(df: DataFrame, name: str, fmt: str = "parquet",
     w.saveAsTable(name)
 
 
-def swap_refresh(spark: SparkSession, df: DataFrame, name: str, fmt: str = "parquet") -> str:
+_VERSION_KEY, _TIME_KEY = "refresh.version", "refresh.time"
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
+def _versions(spark: SparkSession, name: str) -> dict[int, str]:
+    prefix = f"{name}__v"
+    found = [t.name for t in spark.catalog.listTables() if t.name.startswith(prefix)]
+    return {int(t[len(prefix):]): t for t in found if t[len(prefix):].isdigit()}
+
+
+def swap_refresh(spark: SparkSession, df: DataFrame, name: str, fmt: str = "parquet",
+                 keep: int | None = None, min_age_seconds: float = 3600.0) -> str:
     """K4 without a window of missing data: write the new content to a fresh versioned
     table `name__vN`, then repoint the view `name` at it in one catalog statement.
-    Readers of the previous version keep reading it; nothing they read is deleted
-    (old versions are left for a retention job). Returns the new table's name."""
-    prefix = f"{name}__v"
-    versions = [t.name for t in spark.catalog.listTables() if t.name.startswith(prefix)]
-    nxt = 1 + max([int(v[len(prefix):]) for v in versions if v[len(prefix):].isdigit()] or [0])
-    table = f"{prefix}{nxt}"
+    Returns the new table's name.
+
+    A version is claimed by creating its empty table, which the catalog grants to one writer
+    only: of two refreshes at a time each gets a version of its own. The view remembers its
+    version, and a refresh that ends after a later one leaves the view alone. Readers of an
+    earlier version keep reading it; with `keep`, versions before the `keep` newest are dropped
+    (`drop_old_versions`) once they are published over."""
     if spark.catalog.tableExists(name) and not any(
             t.name == name and t.tableType == "VIEW" for t in spark.catalog.listTables()):
         raise ValueError(f"{name} exists and is not a view; refusing to replace a table")
-    df.write.mode("errorifexists").format(fmt).saveAsTable(table)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
+    columns = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    version = max(_versions(spark, name), default=0) + 1
+    while True:
+        table = f"{name}__v{version}"
+        try:
+            spark.sql(f"CREATE TABLE {table} ({columns}) USING {fmt} "
+                      f"TBLPROPERTIES ('{_VERSION_KEY}' = '{version}', '{_TIME_KEY}' = '{time.time()}')")
+            break
+        except AnalysisException as e:  # another writer has it
+            if "ALREADY_EXISTS" not in str(e):
+                raise
+            version += 1
+    df.write.mode("append").format(fmt).saveAsTable(table)
+    shown = int(_properties(spark, name).get(_VERSION_KEY, 0)) if spark.catalog.tableExists(name) else 0
+    if version > shown:
+        spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{_VERSION_KEY}' = '{version}') AS SELECT * FROM {table}")
+    if keep is not None:
+        drop_old_versions(spark, name, keep, min_age_seconds)
     return table
 
 
+def drop_old_versions(spark: SparkSession, name: str, keep: int = 2, min_age_seconds: float = 3600.0) -> list[str]:
+    """Drop the versions of `swap_refresh` that came before the view's `keep` newest (its own
+    included) and are older than `min_age_seconds`, the longest that a reader may take: a
+    plan that was made from the view before it moved still reads them until then. Versions
+    above the view's are being written and stay. Returns the dropped tables."""
+    shown = int(_properties(spark, name).get(_VERSION_KEY, 0))
+    published = sorted((v for v in _versions(spark, name) if v <= shown), reverse=True)
+    dropped = []
+    for v in published[max(1, keep):]:
+        table = f"{name}__v{v}"
+        if time.time() - float(_properties(spark, table).get(_TIME_KEY, 0)) >= min_age_seconds:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            dropped.append(table)
+    return dropped
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
                batchsize: int = 500, num_partitions: int | None = None,
                mode: str = "overwrite", truncate: bool = True) -> None:

@@ -133,6 +133,34 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None
                            numPartitions=num_partitions or spark.sparkContext.defaultParallelism, properties=props)
 
 
+def quantile_predicates(keys: DataFrame, column: str, num_partitions: int, accuracy: int = 10_000,
+                        quote: str = '"') -> list[str]:
+    """WHERE clauses that cut a table's rows into about equal parts by `column` (numeric):
+    the quantiles of `keys`, by one sketch aggregate. The clauses cover every row once, the
+    rows without a key in the first; a value that many rows share is never cut, so fewer
+    clauses than asked for may come back."""
+    name = f"{quote}{column}{quote}"
+    shares = [i / num_partitions for i in range(1, num_partitions)]
+    found = keys.agg(F.percentile_approx(column, shares, accuracy)).first()[0] if shares else []
+    cuts = sorted(set(found or []))
+    if not cuts:
+        return ["1 = 1"]
+    return [f"{name} < {cuts[0]} OR {name} IS NULL",
+            *[f"{name} >= {a} AND {name} < {b}" for a, b in zip(cuts, cuts[1:])], f"{name} >= {cuts[-1]}"]
+
+
+def read_jdbc_balanced(spark: SparkSession, url: str, table: str, partition_column: str,
+                       num_partitions: int | None = None, properties: dict | None = None,
+                       quote: str = '"') -> DataFrame:
+    """S9 over JDBC for keys that are not spread evenly: a first query reads the key column
+    alone (in parallel, by equal ranges) for its quantiles; the table is then read by ranges
+    of about equally many rows, one task each. `quote` is the database's quote of names."""
+    n = num_partitions or spark.sparkContext.defaultParallelism
+    ranges = read_jdbc(spark, url, table, properties, partition_column, num_partitions=n)
+    clauses = quantile_predicates(ranges.select(partition_column), partition_column, n, quote=quote)
+    return spark.read.jdbc(url, table, predicates=clauses, properties=dict(properties or {}))
+
+
 def has_rows(df: DataFrame) -> bool:
     """S11 guard: True when the frame has at least one row (reads at most one row)."""
     return not df.isEmpty()
