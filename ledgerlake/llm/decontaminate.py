@@ -10,8 +10,9 @@ The benchmark goes to the workers as text, in blocks whose windows hold at most
 `block_bytes` x `window` characters (those of about `block_bytes` of text): each may become
 a node of the automaton, so that is what bounds a worker's memory. The windows of a long
 item are split over blocks. A worker builds the automaton of a block once. A benchmark
-beyond one block takes a pass per block, whose result is written to the shared folder
-before the next.
+beyond one block takes a pass per block, which reads the texts and writes nothing but the
+hits, under the text's hash; the hits of all blocks meet in one grouping and join the rows
+once. No text is written, whatever the number of blocks.
 
 Defined results: null and word-less texts have no words and no hits; null or word-less
 items have no windows; equal windows of several items count for each of them; repeated
@@ -22,18 +23,26 @@ an empty benchmark hits nothing; input columns other than id and text are ignore
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from itertools import chain
 
 import ahocorasick
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ledgerlake.llm import common
 
 WINDOW = 10
 BLOCK_BYTES = 256 * 1024
 
+# A word of the original text, as `common.words_of` cuts it.
+_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+
 #: The automaton that this worker process built last, under its block's key.
 _held: dict[str, ahocorasick.Automaton | None] = {}
 
@@ -159,14 +168,42 @@ def _pass(docs: DataFrame, carry: list[str], text_col: str, block: list, window:
     return common.map_texts(docs, carry, text_col, _FIELDS, make)
 
 
-# Ranges of two passes with their spans as one sorted, merged list.
-_MERGED = """aggregate(array_sort(transform(concat(arrays_zip(hits, spans), arrays_zip(old.hits, old.spans)),
-    x -> named_struct('first', x.hits.first, 'last', x.hits.last, 'start', x.spans.start, 'end', x.spans.end))),
-  cast(array() as array<struct<first:int,last:int,start:bigint,end:bigint>>),
-  (l, x) -> if(size(l) > 0 and x.first <= element_at(l, -1).last,
-    concat(slice(l, 1, size(l) - 1), array(named_struct('first', element_at(l, -1).first,
-      'last', greatest(element_at(l, -1).last, x.last), 'start', element_at(l, -1).start,
-      'end', greatest(element_at(l, -1).end, x.end)))), concat(l, array(x))))"""
+def united(parts: list[dict]) -> tuple[list[dict], list[str], list[dict]]:
+    """Hits, items and spans of one text from those of several blocks."""
+    ranges = sorted((h["first"], h["last"], s["start"], s["end"])
+                    for part in parts for h, s in zip(part["hits"], part["spans"]))
+    out: list[tuple[int, int, int, int]] = []
+    for first, last, start, end in ranges:
+        if out and first <= out[-1][1]:
+            f, l, a, b = out[-1]
+            out[-1] = (f, max(l, last), a, max(b, end))
+        else:
+            out.append((first, last, start, end))
+    return ([{"first": r[0], "last": r[1]} for r in out], sorted({i for part in parts for i in part["items"]}),
+            [{"start": r[2], "end": r[3]} for r in out])
+
+
+def _all_hits(texts: DataFrame, blocks: Iterable[list], window: int) -> DataFrame:
+    """(t1, t2, hits, items, spans) of every different text that any block hits; `texts` has
+    text, t1 and t2."""
+    passes = [common.written(
+        _pass(texts, ["t1", "t2"], "text", block, window).where(F.size("hits") > 0).select(
+            "doc.*", F.struct("hits", "items", "spans").alias("part")), "hits") for block in blocks]
+    # Rows of one text have equal hits, so a group holds at most one part a block.
+    parts = reduce(DataFrame.union, passes).groupBy("t1", "t2").agg(F.collect_set("part").alias("parts"))
+    schema = StructType.fromDDL("t1 long, t2 long, hits array<struct<first:int,last:int>>, items array<string>, "
+                                "spans array<struct<start:long,end:long>>")
+    kinds = to_arrow_schema(schema)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            results = [united(x) for x in batch.column(2).to_pylist()]
+            columns = [[r[i] for r in results] for i in range(3)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *[pa.array(x, k.type) for x, k in zip(columns, list(kinds)[2:])]],
+                names=kinds.names)
+
+    return common.written(parts.mapInArrow(work, schema), "hits")
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, carry: list[str], text_col: str = "text",
@@ -179,20 +216,14 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, carry: list[str], text
     block, more = next(blocks, []), next(blocks, None)
     if more is None:
         return _pass(docs, carry, text_col, block, window)
-    source = docs.select(F.struct(*carry).alias("doc"), F.col(text_col).alias("text"),
-                         F.lit(None).cast(f"struct<{_FIELDS}>").alias("old"))
-    while block is not None:
-        out = _pass(source, ["doc", "text", "old"], "text", block, window)
-        block, more = more, next(blocks, None)
-        both = F.expr(_MERGED.replace("old.", "doc.old."))
-        out = common.written(out.select("doc.doc", "doc.text", F.when(
-            F.col("doc.old").isNull(), F.struct("n_words", "hits", "items", "spans")).otherwise(
-            F.struct("n_words", F.transform(both, lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last"))).alias("hits"),
-                     F.array_sort(F.array_union("items", "doc.old.items")).alias("items"),
-                     F.transform(both, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("spans"))
-            ).alias("old")), "decontaminate")
-        source = out
-    return source.select("doc", "old.*")
+    text = F.col(f"`{text_col}`")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("doc"), text.alias("text"),
+                        F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"))
+    hits = _all_hits(keyed.select("text", "t1", "t2").where("text is not null"), chain([block, more], blocks), window)
+    n_words = F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long")
+    none = [F.coalesce(c, F.array().cast(hits.schema[c].dataType)).alias(c) for c in ("hits", "items", "spans")]
+    return keyed.select("doc", n_words.alias("n_words"), "t1", "t2").join(hits, ["t1", "t2"], "left").select(
+        "doc", "n_words", *none)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
@@ -200,7 +231,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """One row per document: n_words, n_hit, n_items, items_sha256, contaminated, spans."""
     n_hit = F.expr("aggregate(hits, 0L, (n, h) -> n + h.last - h.first)")
     return scan_documents(docs, benchmark, [id_col], text_col, **options).select(
-        f"doc.{id_col}", "n_words", n_hit.alias("n_hit"),
+        f"doc.`{id_col}`", "n_words", n_hit.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"), "spans")
