@@ -18,7 +18,7 @@ family's templates; otherwise it is reported as unconfirmed.
 
 Every line and window of every text is classified; a line or block without any word of a
 template that is not a stop word is unknown without looking further, as it can hold `CONFIRM`
-of none. A window replaces what the lines it touches gave by its words alone.
+of none (a number is no such word). A window replaces what the lines it touches gave by its words alone.
 
 Defined results: a null text is an empty text; empty texts have no paragraphs; repeated rows
 get equal results; an empty table gives an empty result; columns other than id and text are
@@ -29,9 +29,11 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from bisect import bisect_right
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +49,10 @@ COPIES = 60
 DROPPED = 0.2
 LEAST = 0.5
 CONFIRM = 0.6
+# Paragraphs whose features are held at a time, and characters that are looked through for
+# an anchor word at a time: they bound the memory of a long text.
+SLICE = 1000
+STEP_CHARS = 65_536
 STRETCH = 2
 STEPS = 300
 RATE = 0.3
@@ -81,7 +87,12 @@ for _at, (_c, _i) in enumerate(PLACES):
     for _pair in TEMPLATE_PAIRS[_c][_i]:
         HOLDERS.setdefault(_pair, []).append(_at)
 LENGTHS = tuple(STRETCH * len(_words(TEMPLATES[FAMILIES[c]][i])) for c, i in PLACES)
-ANCHORS = frozenset(w.encode() for f in FAMILIES for t in TEMPLATES[f] for w in _words(t) if w not in STOP_WORDS)
+ANCHORS = frozenset(w.encode() for f in FAMILIES for t in TEMPLATES[f] for w in _words(t)
+                    if w not in STOP_WORDS and not w.isdigit())
+# Only the templates' words take part in n-grams and pairs; all others are one, so that a
+# word of a long text costs a reference.
+KNOWN = {w.encode(): w for f in FAMILIES for t in TEMPLATES[f] for w in _words(t)}
+OTHER = "\0"
 
 
 @dataclass
@@ -149,11 +160,12 @@ def train(lines: list[str]) -> Model:
 
 
 def sample_lines(docs: DataFrame, id_col: str, text_col: str) -> list[str]:
-    """Lines of `SAMPLE_DOCS` documents at most, the same in every rerun."""
+    """Lines of `SAMPLE_DOCS` texts at most (also if many share an id), the same in every rerun."""
     order = F.xxhash64(F.lit("licences"), "_id")
     ids = docs.select(F.col(id_col).alias("_id")).where("_id is not null").distinct().orderBy(order, "_id").limit(SAMPLE_DOCS)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(
-        F.length("_text") <= SAMPLE_CHARS).join(F.broadcast(ids), "_id").select("_text").distinct()
+        F.length("_text") <= SAMPLE_CHARS).join(F.broadcast(ids), "_id").select("_text").distinct().orderBy(
+        F.xxhash64("_text"), "_text").limit(SAMPLE_DOCS)
     return sorted(line for (text,) in rows.toLocalIterator() for line in text.split("\n") if line.strip())
 
 
@@ -161,9 +173,10 @@ def _candidates(words: list[str]) -> list[tuple[int, int, int]]:
     """(template, from, to) of the windows that hold `CONFIRM` of a template's pairs: for each
     last pair the longest that is not too long, without repeated pairs at its start."""
     hits: dict[int, list[int]] = {}
-    pair_at = list(zip(words, words[1:]))
-    for i, pair in enumerate(pair_at):
+    pair_at: dict[int, tuple[str, str]] = {}
+    for i, pair in enumerate(zip(words, islice(words, 1, None))):
         for at in HOLDERS.get(pair, ()):
+            pair_at[i] = pair
             hits.setdefault(at, []).append(i)
     out = []
     for at, places in hits.items():
@@ -218,27 +231,46 @@ def _alike(c: int, mine: set) -> float:
     return max(len(t & mine) / len(t) for t in TEMPLATE_PAIRS[c])
 
 
-def _classified(paragraphs: list[list[str]], model: Model) -> list[tuple[int, float, float] | None]:
-    """(family, probability, similarity) of each paragraph, or nothing if it is unknown."""
-    if not paragraphs:
-        return []
+def _classified(ranges: list[tuple[int, int]], words: list[str], model: Model) -> list[tuple[int, float, float] | None]:
+    """(family, probability, similarity) of each range of words, or nothing if it is unknown."""
     out: list[tuple[int, float, float] | None] = []
-    for words, row in zip(paragraphs, model.probabilities(paragraphs)):
-        c = int(row.argmax())
-        out.append(None if c == UNKNOWN or row[c] < LEAST else (c, float(row[c]), _alike(c, pairs(words))))
+    for at in range(0, len(ranges), SLICE):
+        part = [words[a:b] for a, b in ranges[at:at + SLICE]]
+        for paragraph, row in zip(part, model.probabilities(part)):
+            c = int(row.argmax())
+            out.append(None if c == UNKNOWN or row[c] < LEAST else (c, float(row[c]), _alike(c, pairs(paragraph))))
     return out
 
 
-def _in_block(block: list[tuple[int, int, list[str]]], model: Model) -> list[dict]:
-    """Licence paragraphs of adjacent lines (start, end, words)."""
-    starts, words = [], []
-    for _, _, ws in block:
-        starts.append(len(words))
-        words += ws
-    ends = [*starts[1:], len(words)]
+@dataclass
+class Block:
+    """Adjacent lines: where each starts and ends in the text, its first word's place among
+    the words, and the lines that hold an anchor word."""
+
+    line_starts: array = field(default_factory=lambda: array("q"))
+    line_ends: array = field(default_factory=lambda: array("q"))
+    starts: array = field(default_factory=lambda: array("q"))
+    words: list[str] = field(default_factory=list)
+    asked: list[int] = field(default_factory=list)
+
+    def add(self, start: int, end: int, words: list[bytes]) -> None:
+        if not ANCHORS.isdisjoint(words):
+            self.asked.append(len(self.starts))
+        self.line_starts.append(start)
+        self.line_ends.append(end)
+        self.starts.append(len(self.words))
+        self.words.extend(KNOWN.get(w, OTHER) for w in words)
+
+
+def _in_block(block: Block, model: Model) -> list[dict]:
+    """Licence paragraphs of a block."""
+    starts, words, asked = block.starts, block.words, block.asked
+
+    def end(i: int) -> int:
+        return starts[i + 1] if i + 1 < len(starts) else len(words)
+
     spans = windows(words)
-    asked = [i for i, (_, _, ws) in enumerate(block) if not ANCHORS.isdisjoint(w.encode() for w in ws)]
-    got = _classified([words[a:b] for a, b in spans] + [block[i][2] for i in asked], model)
+    got = _classified(spans + [(starts[i], end(i)) for i in asked], words, model)
     # Confirmed windows: [first line, last line], words, result.
     firm = [(bisect_right(starts, a) - 1, bisect_right(starts, b - 1) - 1, a, b, r)
             for (a, b), r in zip(spans, got) if r and r[2] >= CONFIRM]
@@ -262,24 +294,37 @@ def _in_block(block: list[tuple[int, int, list[str]]], model: Model) -> list[dic
             for _, _, a, b, _ in sorted(on, key=lambda w: w[2]):
                 free |= pairs(words[at:max(at, a)])
                 at = max(at, b)
-            if _alike(r[0], free | pairs(words[at:ends[i]])) < CONFIRM:
+            if _alike(r[0], free | pairs(words[at:end(i)])) < CONFIRM:
                 continue
         found[i, i, r[0]] = r
-    return [{"family": FAMILIES[c], "start": block[i][0], "end": block[j][1], "probability": r[1],
+    return [{"family": FAMILIES[c], "start": block.line_starts[i], "end": block.line_ends[j], "probability": r[1],
              "similarity": r[2], "confirmed": r[2] >= CONFIRM} for (i, j, c), r in sorted(found.items())]
 
 
+def _has_anchor(text: str) -> bool:
+    """Whether the text holds an anchor word, by stretches of whole lines."""
+    at = 0
+    while at < len(text):
+        end = text.find("\n", at + STEP_CHARS)
+        end = len(text) if end < 0 else end
+        if not ANCHORS.isdisjoint(common.words_of(text[at:end])):
+            return True
+        at = end
+    return False
+
+
 def find(text: str, model: Model) -> list[dict]:
     """Licence paragraphs of a text, in order, with [start, end) code points."""
-    if not text or ANCHORS.isdisjoint(common.words_of(text)):
+    if not text or not _has_anchor(text):
         return []
     out: list[dict] = []
-    block: list[tuple[int, int, list[bytes]]] = []
+    block = Block()
 
     def close() -> None:
-        if any(not ANCHORS.isdisjoint(ws) for _, _, ws in block):
-            out.extend(_in_block([(a, b, [w.decode("utf-8", "replace") for w in ws]) for a, b, ws in block], model))
-        block.clear()
+        nonlocal block
+        if block.asked:
+            out.extend(_in_block(block, model))
+        block = Block()
 
     at = 0
     for m in _LINE.finditer(text):
@@ -288,7 +333,7 @@ def find(text: str, model: Model) -> list[dict]:
             close()
         at = m.end()
         if words:
-            block.append((*m.span(), words))
+            block.add(*m.span(), words)
     close()
     return out
 

@@ -7,6 +7,7 @@ import itertools
 import math
 import re
 import textwrap
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -134,6 +135,30 @@ def test_contamination_edges_and_offsets(spark):
     assert decontaminate.contamination(docs.limit(0), bench).collect() == []
 
 
+def test_several_blocks_write_hits_only(spark, monkeypatch):
+    """Documents are not written per block; dotted and clashing names and null texts pass."""
+    names, write = [], common.written
+
+    def noted(df, name):
+        names.append((name, df.columns))
+        return write(df, name)
+
+    monkeypatch.setattr(common, "written", noted)
+    rows = [(i, " ".join(f"w{k}" for k in range(i, i + 12)) if i % 5 else None, "z", "y") for i in range(300)]
+    rows += [(1000 + i, rows[7][1], "z", "y") for i in range(40)]
+    docs = spark.createDataFrame(rows, "`a.id` long, `a.text` string, t1 string, hits string")
+    items = [(i, " ".join(f"w{k}" for k in range(i * 3, i * 3 + 11))) for i in range(60)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    options = dict(text_col="a.text", block_bytes=60)
+    got = decontaminate.contamination(docs, bench, "a.id", **options).collect()
+    assert sorted(tuple(r[c] for c in ("a.id", "n_words", "n_hit", "items_sha256", "contaminated")) for r in got) == sorted(
+        brute_hits([r[:2] for r in rows], items))
+    assert len(names) > 5 and {n for n, _ in names} == {"hits"} and not any("text" in c for _, c in names)
+    kept = decontaminate.decontaminate(docs, bench, **options)
+    assert kept.columns == docs.columns
+    assert sorted(r["a.id"] for r in kept.collect()) == sorted(r["a.id"] for r in got if not r.contaminated)
+
+
 # -- op1 ---------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
@@ -209,6 +234,22 @@ def test_licence_edges(spark, licence_model):
     assert licenses.scan(edge(spark).limit(0), licence_model, ["doc_id"]).collect() == []
 
 
+def test_a_long_text_without_blank_lines_needs_little_memory(licence_model):
+    rows = "".join(f"{i % 7},{i},{i % 3}\n{i} license of {i}\n" for i in range(50_000))
+    text = f"Licensed under the MIT License.\n{rows}Released under the BSD License."
+    tracemalloc.start()
+    found = licenses.find(text, licence_model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [x["family"] for x in found if x["confirmed"]] == ["MIT", "BSD"]
+    assert peak < 40 * len(text)
+
+
+def test_an_id_of_many_texts_keeps_the_sample_bounded(spark):
+    docs = spark.range(licenses.SAMPLE_DOCS * 3).select(F.lit(1).alias("doc_id"), F.concat(F.lit("line "), "id").alias("text"))
+    assert len(licenses.sample_lines(docs, "doc_id", "text")) == licenses.SAMPLE_DOCS
+
+
 # -- op3 ---------------------------------------------------------------------
 
 def test_marginals_equal_enumeration():
