@@ -2,15 +2,18 @@
 
 Texts are sets of hashed word five-grams (a text of fewer words is one gram). Rows with
 equal sets are one set from then on, whatever their number. Band and row counts are the
-cheapest that find a pair at the threshold with `RECALL`; sets are shuffled on band hashes
-and each bucket links its members to its smallest one. Buckets that share members form a
-candidate group, in which all pairs are verified on the full gram sets, once per pair: a
-group is cut into chunks and a task gets two chunks, so a pair needs neither a row of its
-own nor its bucket in one task. A task returns per set the number of links and one link
-that keeps its sets connected; the links' components are the classes.
-
-Work is linear in the rows but for sets of one candidate group that really differ: their
-pairs are counted (not emitted) in blocks of `CHUNK_SETS`, as every link between different
+cheapest that find a pair at the threshold with `RECALL`; sets are shuffled on band hashes.
+Buckets with the same members are one. In a bucket, members whose MinHash sketches agree as
+often as those of a pair at the threshold do (all but a tenth of what `RECALL` leaves) are
+connected, so sets that only share boilerplate, which meets in many buckets, do not become
+one group. In the candidate groups all pairs are verified on the full gram sets, once per
+pair: a group is cut into chunks and a task gets two chunks, so a pair needs neither a row
+of its own nor its bucket in one task. A task returns per set the number of links and one
+link that keeps its sets connected; the links' components are the classes.
+
+Work is linear in the rows but for sets of one bucket or candidate group that really differ:
+those of a bucket are compared by sketches, until all are connected, and the pairs of a
+group are counted (not emitted) in blocks of `CHUNK_SETS`, as every link between different
 texts counts.
 
 Defined results: null, empty and word-less texts have no grams, link to nothing and are
@@ -40,6 +43,7 @@ RECALL = 0.9995
 MOST_HASHES = 128
 CHUNK_SETS = 512
 CHUNK_GRAMS = 1_000_000
+BUCKET_SETS = 4096
 GRAM_COLUMNS = 8192
 
 
@@ -55,6 +59,18 @@ def banding(threshold: float, recall: float = RECALL, most: int = MOST_HASHES) -
     return best
 
 
+def agreeing(threshold: float, hashes: int, recall: float = RECALL) -> int:
+    """The least number of equal MinHashes that a pair at the threshold reaches, but for a
+    tenth of the share that the recall leaves."""
+    below, least = 0.0, 0
+    while least < hashes:
+        below += math.comb(hashes, least) * threshold ** least * (1 - threshold) ** (hashes - least)
+        if below > (1 - recall) / 10:
+            break
+        least += 1
+    return least
+
+
 def gram_sets(texts: list[str | None], n: int = WORDS) -> list[np.ndarray]:
     """The sorted, distinct 64-bit hashes of each text's word n-grams."""
     lists = [common.words_of(t) for t in texts]
@@ -82,25 +98,30 @@ def gram_sets(texts: list[str | None], n: int = WORDS) -> list[np.ndarray]:
     return out
 
 
-def band_hashes(sets: list[np.ndarray], bands: int, rows: int) -> list[list[int]]:
-    """Per set one signed 64-bit hash a band (band numbers are part of it); none if empty."""
+def band_hashes(sets: list[np.ndarray], bands: int, rows: int) -> tuple[list[list[int]], list[bytes]]:
+    """Per set one signed 64-bit hash a band (band numbers are part of it), and 16 bits of each
+    MinHash; none if empty."""
     full = [i for i, s in enumerate(sets) if len(s)]
     out: list[list[int]] = [[] for _ in sets]
+    sketches = [b""] * len(sets)
     if not full:
-        return out
+        return out, sketches
     grams = np.concatenate([sets[i] for i in full])
     starts = np.concatenate([[0], np.cumsum([len(sets[i]) for i in full])[:-1]])
     xors, factors = common.mix64(np.arange(bands * rows), 1), common.mix64(np.arange(bands * rows), 2) | np.uint64(1)
     bucket = np.zeros((len(full), bands), np.uint64)
+    sketch = np.zeros((len(full), bands * rows), np.uint16)
     with np.errstate(over="ignore"):
         for b in range(bands):
             h = np.full(len(full), b, np.uint64)
             for k in range(b * rows, (b + 1) * rows):
-                h = common.mix64(h) + np.minimum.reduceat((grams ^ xors[k]) * factors[k], starts)
+                least = common.mix64(np.minimum.reduceat((grams ^ xors[k]) * factors[k], starts))
+                sketch[:, k] = (least >> np.uint64(48)).astype(np.uint16)
+                h = common.mix64(h) + least
             bucket[:, b] = common.mix64(h)
-    for i, row in zip(full, bucket.view(np.int64).tolist()):
-        out[i] = row
-    return out
+    for i, row, mine in zip(full, bucket.view(np.int64).tolist(), sketch):
+        out[i], sketches[i] = row, mine.tobytes()
+    return out, sketches
 
 
 def set_names(sets: list[np.ndarray]) -> list[str | None]:
@@ -117,24 +138,25 @@ def _row_key(docs: DataFrame):
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, n: int) -> DataFrame:
-    """(id, r1, r2, set, grams, buckets) of every row, written once."""
+    """(id, r1, r2, set, grams, buckets, sketch) of every row, written once."""
     keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), _row_key(docs).alias("key")).select(
         "id", "text", "key.*")
 
     def make():
         def work(texts: list) -> list:
-            out: list[list] = [[], [], []]
+            out: list[list] = [[], [], [], []]
             for a, b in common.byte_batches([t or "" for t in texts], 2_000_000):
                 sets = gram_sets(texts[a:b], n)
                 out[0] += set_names(sets)
                 out[1] += [len(s) for s in sets]
-                out[2] += band_hashes(sets, bands, rows)
+                for column, got in zip(out[2:], band_hashes(sets, bands, rows)):
+                    column += got
             return out
 
         return work
 
-    signed = common.map_texts(keyed, ["id", "r1", "r2"], "text", "set string, grams int, buckets array<long>", make)
-    return common.written(signed.select("doc.*", "set", "grams", "buckets"), "signatures")
+    signed = common.map_texts(keyed, ["id", "r1", "r2"], "text", "set string, grams int, buckets array<long>, sketch binary", make)
+    return common.written(signed.select("doc.*", "set", "grams", "buckets", "sketch"), "signatures")
 
 
 def _first(*columns: str):
@@ -142,15 +164,67 @@ def _first(*columns: str):
     return F.min(F.struct(F.col("id").isNull().alias("last"), "id", *columns))
 
 
-def candidate_groups(sets: DataFrame) -> DataFrame:
-    """(node, root): the sets that share a bucket with another, and their group."""
+def _by_task(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[tuple]]]:
+    """The rows of each task; batches are sorted by their first column, the task."""
+    now, rows = None, []
+    for batch in batches:
+        for task, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if task != now:
+                if rows:
+                    yield now, rows
+                now, rows = task, []
+            rows.append(tuple(row))
+    if rows:
+        yield now, rows
+
+
+def connected(sketches: np.ndarray, least: int) -> np.ndarray:
+    """Per sketch the number of the first one that it is connected to by pairs with `least`
+    equal hashes. Only sketches that nothing has reached yet are compared with the next."""
+    root = np.full(len(sketches), -1)
+    left = np.arange(len(sketches))
+    for first in range(len(sketches)):
+        if root[first] >= 0:
+            continue
+        root[first], front = first, [first]
+        left = left[left != first]
+        while front and len(left):
+            near = (sketches[left] == sketches[front.pop()]).sum(axis=1) >= least
+            if near.any():
+                root[left[near]] = first
+                front += left[near].tolist()
+                left = left[~near]
+    return root
+
+
+def candidate_groups(sets: DataFrame, least: int) -> DataFrame:
+    """(node, root): the sets that a bucket connects with another, and their group."""
     members = sets.select("set", F.explode("buckets").alias("bucket"))
-    # Keyed by the complement, so that this side of the join has an exchange of its own and
-    # the adaptive skew join can split a bucket that very many sets share.
-    shared = members.groupBy("bucket").agg(F.min("set").alias("b"), F.count("*").alias("n")).where("n > 1").select(
-        F.bitwise_not("bucket").alias("code"), "b")
-    edges = members.select(F.col("set").alias("a"), F.bitwise_not("bucket").alias("code")).join(shared, "code").select("a", "b")
-    return components(edges)
+    lists = members.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("set")).alias("x"),
+        F.bit_xor(F.xxhash64(F.lit(1), "set")).alias("y")).where("n > 1")
+    # Keyed by the complement and written, so that both sides of the join have an exchange of
+    # their own and the adaptive skew join can split a bucket that very many sets share.
+    shared = common.written(lists.groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select(
+        F.bitwise_not("bucket").alias("code"), F.ceil(F.col("n") / BUCKET_SETS).cast("int").alias("chunks")), "buckets")
+    own = F.pmod(F.xxhash64("set", F.lit(2)), F.col("chunks")).cast("int")
+    dealt = sets.select("set", "sketch", F.explode("buckets").alias("bucket")).withColumn(
+        "code", F.bitwise_not("bucket")).join(shared, "code").withColumn("mine", own).select(
+        "code", "set", "sketch", "mine", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    task = F.struct("code", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _by_task(batches):
+            if len(rows) > 1:
+                names, sketches = zip(*rows)
+                root = connected(np.frombuffer(b"".join(sketches), np.uint16).reshape(len(rows), -1), least)
+                held = np.flatnonzero(root != np.arange(len(rows))).tolist()
+                if held:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([names[i] for i in held]), pa.array([names[root[i]] for i in held])], names=["a", "b"])
+
+    edges = dealt.select(task.alias("task"), "set", "sketch").repartition("task").sortWithinPartitions("task", "set")
+    return components(edges.mapInArrow(work, "a string, b string"))
 
 
 def verified(docs: DataFrame, sets: DataFrame, groups: DataFrame, text_col: str, n: int, threshold: float) -> DataFrame:
@@ -173,20 +247,15 @@ def verified(docs: DataFrame, sets: DataFrame, groups: DataFrame, text_col: str,
     dealt = gram.select("doc.*", "grams").withColumn("mine", mine).select(
         "root", "node", "copies", "grams", "mine", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
     task = F.struct("root", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    dealt = dealt.select(task.alias("task"), (F.col("mine") == F.least("mine", "other")).alias("left"), "node", "copies", "grams")
+    dealt = dealt.select(task.alias("task"), "node", (F.col("mine") == F.least("mine", "other")).alias("left"), "copies", "grams")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows, out = None, [], []
-        for batch in batches:
-            for task, left, node, copies, grams in zip(*(c.to_pylist() for c in batch.columns)):
-                if task != now:
-                    out += _links(now, rows, t)
-                    now, rows = task, []
-                rows.append((node, left, copies, grams))
+        out: list[tuple] = []
+        for task, rows in _by_task(batches):
+            out += _links(task, rows, t)
             if len(out) > 10_000:
                 yield _link_batch(out)
                 out = []
-        out += _links(now, rows, t)
         if out:
             yield _link_batch(out)
 
@@ -198,9 +267,9 @@ def _link_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n, pa.int64())], names=["a", "b", "links"])
 
 
-def _links(task: dict | None, rows: list[tuple], t: Fraction) -> list[tuple[str, str, int]]:
+def _links(task: dict, rows: list[tuple], t: Fraction) -> list[tuple[str, str, int]]:
     """Links of one task: between two chunks, or within one."""
-    if task is None or len(rows) < 2:
+    if len(rows) < 2:
         return []
     sets = [np.frombuffer(r[3], np.uint64) for r in rows]
     size = np.array([len(s) for s in sets])
@@ -247,9 +316,9 @@ def near_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     signed = signatures(docs, id_col, text_col, bands, rows, words)
     sets = common.written(signed.where("set is not null").groupBy("set").agg(
         _first("r1", "r2").alias("least"), F.count("*").alias("copies"), F.first("buckets").alias("buckets"),
-        F.first("grams").alias("grams")), "sets")
-    groups = candidate_groups(sets)
-    links = common.written(verified(docs, sets.drop("buckets"), groups, text_col, words, threshold), "links")
+        F.first("grams").alias("grams"), F.first("sketch").alias("sketch")), "sets")
+    groups = candidate_groups(sets, agreeing(threshold, bands * rows, recall))
+    links = common.written(verified(docs, sets.drop("buckets", "sketch"), groups, text_col, words, threshold), "links")
     classes = components(links.select("a", "b"))
     per_set = sets.select("set", "least", "copies").join(
         links.groupBy(F.col("a").alias("set")).agg(F.sum("links").alias("links")), "set", "left").join(
@@ -259,7 +328,7 @@ def near_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     per_set = common.written(per_set.join(least, "root").select(
         "set", "class_least", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "set-classes")
     own = F.struct(F.col("id").isNull().alias("last"), "id", "r1", "r2")
-    return signed.drop("buckets", "grams").join(per_set, "set", "left").select(
+    return signed.drop("buckets", "grams", "sketch").join(per_set, "set", "left").select(
         "id", "r1", "r2", F.coalesce("class_least", own).alias("least"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")).withColumn("class_id", F.col("least.id"))
 

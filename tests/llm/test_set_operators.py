@@ -92,6 +92,56 @@ def test_banding_meets_its_recall():
         assert 1 - (1 - t ** rows) ** bands >= 0.99 and bands * rows <= near_join.MOST_HASHES
 
 
+def test_sketches_of_near_pairs_agree_often_enough():
+    from math import comb
+    for t in (0.5, 0.8, 0.9):
+        least = near_join.agreeing(t, 100, 0.99)
+        missed = sum(comb(100, k) * t ** k * (1 - t) ** (100 - k) for k in range(least))
+        assert missed <= 0.001 < missed + comb(100, least) * t ** least * (1 - t) ** (100 - least)
+
+
+@pytest.mark.parametrize("size", [2, 40])
+def test_connected_sketches_equal_plain_search(size):
+    rng = np.random.default_rng(size)
+    sketches = rng.integers(0, 3, (size, 12)).astype(np.uint16)
+    root = list(range(size))
+    for _ in range(size):
+        for i in range(size):
+            for j in range(size):
+                if (sketches[i] == sketches[j]).sum() >= 7:
+                    root[i] = root[j] = min(root[i], root[j])
+    assert near_join.connected(sketches, 7).tolist() == root
+
+
+def chain(n, step, length=100):
+    """Texts of which neighbours share all but `step` words."""
+    words = [f"w{i}" for i in range(n * step + length)]
+    return [(i, " ".join(words[i * step:i * step + length])) for i in range(n)]
+
+
+def test_a_chain_of_half_similar_texts_stays_in_small_groups(spark, monkeypatch):
+    """Neighbours (similarity 0.5) share buckets, but nothing connects the whole chain."""
+    largest, run = [], near_join.candidate_groups
+
+    def noted(sets, least):
+        groups = run(sets, least)
+        largest.append(max((r["count"] for r in groups.groupBy("root").count().collect()), default=0))
+        return groups
+
+    monkeypatch.setattr(near_join, "candidate_groups", noted)
+    rows = chain(400, 32) + [(1000 + i, t + " more words at its end") for i, t in chain(20, 32)]
+    assert joined(spark.createDataFrame(rows, "doc_id long, text string")) == sorted(brute_classes(rows))
+    assert largest[0] <= 8
+
+
+@pytest.mark.parametrize("chunk", [near_join.BUCKET_SETS, 3])
+def test_a_chain_of_near_copies_is_one_class(spark, monkeypatch, chunk):
+    monkeypatch.setattr(near_join, "BUCKET_SETS", chunk)
+    rows = chain(60, 6)
+    got = joined(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == sorted(brute_classes(rows)) and {r[1] for r in got} == {0}
+
+
 def test_near_join_edges(spark):
     rows = [(1, None), (2, ""), (2, ""), (3, "a b"), (4, "A, b!"), (4, "A, b!"), (None, "q r s"), (7, "x " * 20000), (8, "?!")]
     df = spark.createDataFrame([(*r, "set", 1) for r in rows], "doc_id long, text string, set string, n_links int")
