@@ -29,7 +29,7 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import common
@@ -178,14 +178,20 @@ def summaries(p: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> list[tuple[str, int]]:
     """Distinct (text, label) of at most `SAMPLE_DOCS` training rows of each label, the same
-    in every rerun. Ids are chosen from the labels, so only their texts travel."""
+    in every rerun. Ids are chosen from the labels, so only their texts travel; an id that
+    many rows share with different texts counts as often as it has texts."""
     train = labels.where(F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col))).select(
         F.col(id_col).alias("_id"), F.col(label_col).alias("_label")).distinct()
     order = F.xxhash64(F.lit("toxicity"), "_id")
     ids = [train.where(F.col("_label") == y).orderBy(order, "_id").limit(SAMPLE_DOCS[y]) for y in (0, 1)]
     chosen = F.broadcast(ids[0].unionByName(ids[1]))  # sum(SAMPLE_DOCS) rows at most
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(
         F.length("_text") <= SAMPLE_CHARS).join(chosen, "_id").select("_text", "_label").distinct()
+    # The larger limit is applied before the shuffle, each label's own after it.
+    first = Window.partitionBy("_label").orderBy(F.xxhash64(F.lit("toxicity"), "_text"), "_text")
+    most = F.when(F.col("_label") == 0, SAMPLE_DOCS[0]).otherwise(SAMPLE_DOCS[1])
+    rows = texts.withColumn("_n", F.row_number().over(first)).where(
+        F.col("_n") <= max(SAMPLE_DOCS)).where(F.col("_n") <= most).select("_text", "_label")
     return sorted((r[0], int(r[1])) for r in rows.toLocalIterator())
 
 

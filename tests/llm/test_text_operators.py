@@ -252,6 +252,19 @@ def test_an_id_of_many_texts_keeps_the_sample_bounded(spark):
 
 # -- op3 ---------------------------------------------------------------------
 
+def test_an_id_of_many_texts_keeps_the_toxicity_sample_bounded(spark):
+    n = toxicity.SAMPLE_DOCS[1] + 500
+    labelled = spark.range(40).select(F.col("id"), (F.col("id") % 2).cast("int").alias("toxic")).where(
+        ~toxicity.held_out(F.col("id")))
+    hot = labelled.where("toxic = 1").first().id
+    texts = spark.range(n).select(F.lit(hot).alias("doc_id"), F.concat(F.lit("bad "), "id").alias("text")).unionByName(
+        labelled.select(F.col("id").alias("doc_id"), F.concat(F.lit("word "), "id").alias("text")))
+    rows = toxicity.sample(texts, labelled.withColumnRenamed("id", "doc_id"), "doc_id", "text", "toxic")
+    assert sum(y for _, y in rows) == toxicity.SAMPLE_DOCS[1]
+    assert sum(1 - y for _, y in rows) == labelled.where("toxic = 0").count()
+    assert rows == toxicity.sample(texts.repartition(5), labelled.withColumnRenamed("id", "doc_id"), "doc_id", "text", "toxic")
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(0)
     lengths, moves = np.array([3, 0, 1, 5, 2]), np.exp(rng.normal(size=(2, 2)))
