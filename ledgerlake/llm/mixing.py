@@ -1,6 +1,6 @@
 """Mixing sources to target weights with DataFrame functions only.
 
-1. Pack: the documents of a source follow each other in hash order; its words are cut into
+1. Pack: the documents of a source follow each other in hash order, equal rows together; its words are cut into
    blocks of `BLOCK_WORDS`. Offsets are prefix sums in two steps (within chunks of a source,
    over its chunks), so a source that holds a third of all rows is dealt over many tasks.
 2. Targets: sources by code point, null last, weigh 3, 1, 2, repeating, and share `SHARE` of
@@ -20,6 +20,10 @@ Defined results: null and word-less texts have size 0 and are taken 0 times; a n
 is a source of its own; repeated rows are packed one after the other; an empty table gives
 an empty result; a source without words has target 0. Names of input columns other than
 id, text and source do not matter.
+
+Fully equal rows are one row with a count until their places are known, so a row that makes up
+a third of the table is neither one task's work nor dealt by chance: copy j starts j sizes
+after the first.
 """
 
 from __future__ import annotations
@@ -37,6 +41,7 @@ BLOCK_WORDS = 128
 SHARD_SLOTS = 4096
 CHUNK_DOCS = 2_000
 SLOTS_PER_TASK = 1_000_000
+COPIES_PER_ROW = 16_384
 SEED = 20240229
 ROUNDS = 4
 # Walks leave a grid's excess with probability 1 - 1/sqrt(n) a step, and no walk is longer
@@ -68,12 +73,26 @@ def _walk(g: Column, key: tuple[Column, ...]) -> Column:
     return first[0]
 
 
+KEY = ["named", "source", "size", "hash", "other"]
+
+
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, keep_text: bool = False) -> DataFrame:
-    """(id, source, size, hash) of every row, with its text if asked."""
+    """(named, source, size, hash, other, id, copies) of every different row, with its text if
+    asked. The two hashes are the row's key; `named` tells a null source from an empty one, so
+    that no part of the key is null."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                       F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-                       F.xxhash64(id_col, text_col).alias("hash"), *[text.alias("text")] * keep_text)
+    rows = docs.select(
+        F.col(source_col).isNotNull().alias("named"), F.coalesce(F.col(source_col), F.lit("")).alias("source"),
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.xxhash64(id_col, text_col).alias("hash"),
+        F.xxhash64(F.lit("row"), F.col(id_col).isNull(), id_col, F.col(text_col).isNull(), text_col).alias("other"),
+        F.col(id_col).alias("id"), *[text.alias("text")] * keep_text)
+    return rows.groupBy(*KEY).agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"),
+                                  *[F.min("text").alias("text")] * keep_text)
+
+
+def sizes_by_source(sizes: DataFrame) -> DataFrame:
+    """(source, size) for `targets`: all copies of each row of `sized`."""
+    return sizes.select(F.when(F.col("named"), F.col("source")).alias("source"), (F.col("size") * F.col("copies")).alias("size"))
 
 
 def targets(sizes: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -102,24 +121,39 @@ def targets(sizes: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
 
 def placed(sizes: DataFrame, by_source: DataFrame, docs: int) -> DataFrame:
-    """`sizes` with number, source_size, target and `start`, the document's first word in its
-    source (null for a document without words). `docs`: about the number of rows."""
+    """`sizes` with number, source_size, target and `start`, the first word of a row's first
+    copy in its source (null for a document without words). `docs`: about the number of rows."""
     chunks = max(1, -(-docs // CHUNK_DOCS))
     d = sizes.withColumn("chunk", F.pmod("hash", F.lit(chunks)))
-    # A null source equals itself in the joins.
-    d = d.withColumn("named", F.col("source").isNotNull()).withColumn("source", F.coalesce("source", F.lit("")))
-    within = Window.partitionBy("named", "source", "chunk").orderBy("hash", "id", "size")
-    d = d.withColumn("start", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    sums = d.groupBy("named", "source", "chunk").agg(F.sum("size").alias("words"))
+    words = F.col("size") * F.col("copies")
+    within = Window.partitionBy("named", "source", "chunk").orderBy("hash", "other", "size")
+    d = d.withColumn("start", F.sum(words).over(within.rowsBetween(Window.unboundedPreceding, 0)) - words)
+    sums = d.groupBy("named", "source", "chunk").agg(F.sum(words).alias("words"))
     over = Window.partitionBy("named", "source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
     named = by_source.withColumn("named", F.col("source").isNotNull()).withColumn("source", F.coalesce("source", F.lit("")))
     sums = sums.withColumn("before", F.sum("words").over(over) - F.col("words")).drop("words").join(
         named.select("named", "source", "number", "source_size", "target"), ["named", "source"])
     return d.join(sums, ["named", "source", "chunk"]).select(
-        "id", "size", "number", "source_size", "target", *[c for c in sizes.columns if c == "text"],
+        *KEY, "id", "copies", "number", "source_size", "target",
         F.when(F.col("size") > 0, F.col("start") + F.col("before")).alias("start"))
 
 
+def copied(place: DataFrame, most: int = COPIES_PER_ROW) -> DataFrame:
+    """One row per copy, each at its own start. Rows of more than `most` copies are cut into
+    runs first, which are dealt before they are unfolded."""
+    run = F.struct(F.col("from").alias("from"), F.least("copies", F.col("from") + most).alias("to"))
+    many = place.where(F.col("copies") > most).select("*", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.col("copies") - 1, F.lit(most).cast("long"))).alias("from")).repartition("hash", "from")
+    few = place.where(F.col("copies") <= most).withColumn("from", F.lit(0).cast("long"))
+
+    def unfolded(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("run", run).select("*", F.explode(F.sequence(
+            F.col("run.from"), F.col("run.to") - 1)).alias("copy")).withColumn(
+            "start", F.col("start") + F.col("copy") * F.col("size")).drop("copies", "from", "run", "copy")
+
+    return unfolded(few).unionByName(unfolded(many))
+
+
 def slots(by_source: DataFrame) -> DataFrame:
     """(number, block, shard, position): one row per output slot. Slots are made in groups,
     which are dealt before they are unfolded."""
@@ -174,15 +208,16 @@ def _merged(rows: DataFrame) -> DataFrame:
 
 
 def plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> tuple[DataFrame, DataFrame]:
-    """(placed documents, sources), written once to the shared folder (numbers only)."""
+    """(placed documents, equal ones once; sources), written once to the shared folder (numbers only)."""
     sizes = common.written(sized(docs, id_col, text_col, source_col), "mix-sizes")
-    by_source = common.written(targets(sizes), "mix-sources")
+    by_source = common.written(targets(sizes_by_source(sizes)), "mix-sources")
     return common.written(placed(sizes, by_source, sizes.count()), "mix-placed"), by_source
 
 
 def taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(id, size, source_size, target, taken) of every row."""
     place, by_source = plan(docs, id_col, text_col, source_col)
+    place = copied(place)
     words = manifest(place, by_source).groupBy("number", "start").agg(F.sum("words").alias("taken"))
     return place.join(words, ["number", "start"], "left").select(
         F.col("id").alias(id_col), "size", "source_size", "target",
@@ -191,11 +226,12 @@ def taken(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself, one row per slot: shard, position, source, block, n_words, doc_ids and
-    text (words joined by one space). A block's pieces meet by its number; slots then join
-    them in the same partitioning."""
-    sizes = common.written(sized(docs, id_col, text_col, source_col), "mix-sizes")
-    by_source = common.written(targets(sizes), "mix-sources")
-    place = placed(sized(docs, id_col, text_col, source_col, keep_text=True), by_source, sizes.count())
+    text (words joined by one space). Texts meet their places in the partitioning that made
+    equal rows one; a block's pieces meet by its number; slots then join them in the same
+    partitioning."""
+    place, by_source = plan(docs, id_col, text_col, source_col)
+    texts = sized(docs, id_col, text_col, source_col, keep_text=True).select(*KEY, "text")
+    place = copied(place.join(texts, KEY))
     piece = F.struct("at", "id", "words", "text")
     blocks = pieces(place).groupBy("number", "block").agg(F.array_sort(F.collect_list(piece)).alias("pieces"))
     filled = _merged(slots(by_source)).join(blocks, ["number", "block"])

@@ -309,6 +309,30 @@ def test_mix_edges(spark):
     assert abs(mixing.taken(one).first().taken - 75_000) <= mixing.BLOCK_WORDS
 
 
+def test_a_repeated_row_is_one_row_until_placed(spark):
+    hot = spark.range(2000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s").alias("source"))
+    rest = spark.range(300).select((F.col("id") + 100).alias("doc_id"), F.concat(F.lit("w "), F.col("id")).alias("text"),
+                                   F.when(F.col("id") % 3 > 0, "s").alias("source"))
+    docs = hot.unionByName(rest)
+    sizes = mixing.sized(docs, "doc_id", "text", "source").cache()
+    assert sizes.count() == 301
+    by_source = mixing.targets(mixing.sizes_by_source(sizes))
+    place = mixing.placed(sizes, by_source, 301)
+    whole = sorted(map(tuple, mixing.copied(place).collect()))
+    assert whole == sorted(map(tuple, mixing.copied(place, most=64).collect())) and len(whole) == 2300
+    names = mixing.copied(place).columns
+    for number in {dict(zip(names, r))["number"] for r in whole}:
+        runs = sorted((d["start"], d["size"]) for d in (dict(zip(names, r)) for r in whole) if d["number"] == number)
+        assert all(a + n == b for (a, n), (b, _) in zip(runs, runs[1:])) and runs[0][0] == 0
+    sizes.unpersist()
+    got = mixing.taken(docs).collect()
+    assert len(got) == 2300 and sum(r.doc_id == 7 for r in got) == 2000
+    assert all(r.taken <= 2 * r.size for r in got)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, mixing.taken(docs.repartition(7)).collect()))
+    blocks = mixing.mixed(docs).collect()
+    assert sum(b.n_words for b in blocks) == sum(r.taken for r in got)
+
+
 # -- op7 ---------------------------------------------------------------------
 
 def test_archives_equal_plain_python(spark):
