@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake import schemas as S
-from ledgerlake.operators import clean, lattice, mart, metrics, nested, quality, reports, staging, topk
+from ledgerlake.operators import clean, large_documents, lattice, mart, metrics, nested, quality, reports, staging, topk
 from ledgerlake.plans import proxies as P
 from ledgerlake.sinks import files as sinks
 from ledgerlake.sources import files as sources
@@ -178,6 +178,15 @@ def facts_top5_array(spark, d):
     return _merged_top5(rows).select(*FACT_OUT, "period_rank")
 
 
+def facts_top5_pieces(spark, d):
+    """S7, F6, F7, F9, W1b for documents of any length: the filing documents cut into pieces
+    that are parsed in parallel, then the same top 5."""
+    facts = large_documents.facts(large_documents.pieces_of(P.filing_documents(spark, d), "file_name"))
+    doc_id = F.regexp_extract("doc", r"/(\d+)\.json$", 1).cast("bigint").alias("doc_id")
+    rows = large_documents.key_metric_rows(facts, F.split_part("doc", F.lit("/"), F.lit(1)), keep=(doc_id,))
+    return _merged_top5(rows).select(*FACT_OUT, "period_rank")
+
+
 def facts_explode_full(spark, d):
     """K9 shape and S6 parse with all keys of the facts: key-metric documents as JSON text
     and back, then W1 over their rows."""
@@ -325,6 +334,7 @@ QUERIES: dict[str, Query] = {
     "facts_top5": facts_top5,
     "facts_top5_distinct_period": facts_top5_distinct_period,
     "facts_top5_array": facts_top5_array,
+    "facts_top5_pieces": facts_top5_pieces,
     "facts_explode": facts_explode,
     "facts_explode_full": facts_explode_full,
     "document_rejects": document_rejects,
