@@ -10,7 +10,7 @@ from __future__ import annotations
 import time
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -140,17 +140,22 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = No
     out.write.jdbc(url, table, mode=mode, properties=props)
 
 
+def body_digest(body: Column) -> Column:
+    return F.coalesce(F.sha2(body, 256), F.lit(""))
+
+
 def land_documents(spark: SparkSession, src: str, glob: str, source: str, out: str,
                    mode: str = "append") -> DataFrame:
     """K7: raw-zone landing. Documents are kept unparsed as rows `(source, file_name,
-    body)` of a Parquet table partitioned by source; parsing later runs per row with
-    `from_json`, so one large document is one row, not one serial multi-line scan."""
+    body, digest)` of a Parquet table partitioned by source; parsing later runs per row with
+    `from_json`, so one large document is one row, not one serial multi-line scan. Later
+    loads tell by the digest, without reading bodies, which documents changed."""
     # `wholetext` must go through `text()`: its keyword default overrides an option.
     docs = (spark.read.option("pathGlobFilter", glob)
             .option("recursiveFileLookup", True).text(src, wholetext=True)
             .select(F.lit(source).alias("source"),
                     F.col("_metadata.file_name").alias("file_name"),
-                    F.col("value").alias("body")))
+                    F.col("value").alias("body"), body_digest(F.col("value")).alias("digest")))
     # Dynamic overwrite on this write: re-landing one source replaces only its own
     # partition, whatever the session's default overwrite mode is.
     (docs.write.mode(mode).option("partitionOverwriteMode", "dynamic")
