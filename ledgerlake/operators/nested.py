@@ -24,17 +24,19 @@ def parse_documents(landed: DataFrame, schema, body: str = "body", alias: str =
     gives a NULL struct, so half a document never passes for a whole one, and
     `quality.document_rejects` counts them. With `strict` a corrupt document fails the job.
     A single value of the wrong type is no corruption: it is NULL and the rest is kept.
+    The parsed value and the status pass an `explode`, which no filter is moved through, so that
+    a text is parsed once, however often later steps name the document.
     """
     text = F.col(body)
-    parsed = landed.select("*", F.from_json(
-        text, S.with_corrupt(schema), {"columnNameOfCorruptRecord": S.CORRUPT}).alias("_parsed"))
+    parsed = landed.select("*", F.explode(F.array(F.from_json(
+        text, S.with_corrupt(schema), {"columnNameOfCorruptRecord": S.CORRUPT}))).alias("_parsed"))
     # Only what the parser complained about is checked as a whole.
     bad = F.col("_parsed")[S.CORRUPT].isNotNull() & F.try_parse_json(text).isNull()
     if strict:
         bad = F.when(bad, F.raise_error(F.concat(F.lit("corrupt document: "), F.left(text, F.lit(80)))).cast("boolean")).otherwise(bad)
     status = (F.when(text.isNull() | (F.trim(text) == ""), F.lit("empty"))
               .when(bad, F.lit("corrupt")).otherwise(F.lit("ok")))
-    return (parsed.withColumn("status", status)
+    return (parsed.withColumn("status", F.explode(F.array(status)))
             .withColumn(alias, F.when(F.col("status") == "ok", F.col("_parsed").dropFields(S.CORRUPT)))
             .drop("_parsed"))
 
@@ -157,15 +159,17 @@ def explode_key_metrics(docs: DataFrame, doc: str = "km", keep: tuple[str, ...]
 
     `pos` is the position in the list, kept so later ordering can honour it; `keep`
     names document-level columns carried onto every row, `more` further keys of the facts.
+    The outer forms keep the optimizer from asking each document first whether its map is empty,
+    which would make the map twice.
     """
     d = F.col(doc)
     per_metric = docs.select(
         *keep,
         F.nullif(F.trim(d["ticker"]), F.lit("")).alias("ticker"),
         F.coalesce(d["company_name"], F.lit("")).alias("company_name"),
-        F.explode(d["metrics"]).alias("metric_name", "vals"))
+        F.explode_outer(d["metrics"]).alias("metric_name", "vals")).where("metric_name is not null")
     rows = per_metric.select(*keep, "ticker", "company_name", "metric_name",
-                             F.posexplode("vals").alias("pos", "v"))
+                             F.posexplode_outer("vals").alias("pos", "v")).where("pos is not null")
     return rows.select(
         *keep, "ticker", "company_name", "metric_name",
         F.coalesce(F.col("v.end"), F.lit("")).alias("period_end"),
