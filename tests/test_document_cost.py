@@ -3,7 +3,7 @@
 import pytest
 
 from conftest import SF0001
-from ledgerlake.operators import nested, quality
+from ledgerlake.operators import large_documents, nested, quality
 from ledgerlake.plans import proxies
 from ledgerlake.plans.catalog import QUERIES
 from ledgerlake import schemas as S
@@ -56,3 +56,24 @@ def test_documents_of_null_and_equal_keys(spark, tmp_path):
     covered = quality.coverage_from_filings(docs, keep=("doc_id",)).where("not missing").select("ticker", "doc_id", "metric_name", "records_found")
     assert sorted(map(str, map(tuple, covered.collect()))) == sorted(map(str, [
         ("9", 0, "NetIncomeLoss", 4), ("9", None, "StockholdersEquity", 1), (None, 0, "Liabilities", 1)]))
+
+
+def test_pieces_are_cut_and_read_once(spark):
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = QUERIES["facts_top5_pieces"](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert p.count("FileScan") == 1 and p.count("ReusedExchange") >= 2, p
+
+
+def test_braces_of_pieces_are_those_outside_strings(spark):
+    docs = ['{"a\\"{": {"facts": "{", "b}": "{}"}, "facts": {"us-gaap": {"x\\\\": {"units": {"{": [{"val": 1, "fp": "}{"}, {"val": 2}]}}}}}',
+            '{"facts": {"us-gaap": {"M": {"units": {"USD": [{"val": 3}, {"val": 4}]}}}}, "entityName": "N{}"}',
+            '{"facts": {"us-gaap": {"M": {"units": {"USD": [{"val": 5}, {"val": 6}]}}}']
+    landed = spark.createDataFrame(list(enumerate(docs)), "name int, body string")
+    for per_block in (1, 2, 4096):
+        got = large_documents.facts(large_documents.pieces_of(landed, "name", per_block=per_block))
+        assert sorted(map(tuple, got.select("doc", "company_name", "metric_name", "unit", "fact.val").collect())) == [
+            (0, None, "x\\", "{", 1), (0, None, "x\\", "{", 2), (1, "N{}", "M", "USD", 3), (1, "N{}", "M", "USD", 4)]
